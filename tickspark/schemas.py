@@ -9,15 +9,11 @@ ENVELOPE = T.StructType([
     T.StructField("data", T.StringType()),
 ])
 
-# Numbers arrive as JSON strings or numbers; they are read as text and cast with try_cast so that
-# one bad field sends one message to quarantine instead of failing the job.
-BOOK_TICKER_WIRE = T.StructType([T.StructField(n, T.StringType()) for n in ("E", "s", "u", "b", "B", "a", "A")])
-AGG_TRADE_WIRE = T.StructType([T.StructField(n, T.StringType()) for n in ("E", "T", "s", "a", "p", "q", "m")])
-_LEVELS_WIRE = T.ArrayType(T.ArrayType(T.StringType()))
-DEPTH_WIRE = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("e", "E", "s", "U", "u", "pu")]
-    + [T.StructField("b", _LEVELS_WIRE), T.StructField("a", _LEVELS_WIRE)]
-)
+# Field names differ only by case (b and B), so a message is read as a map, whose keys are exact. All
+# values are text; they are cast with try_cast, so that one bad field sends one message to
+# quarantine instead of failing the job.
+MESSAGE = T.MapType(T.StringType(), T.StringType())
+LEVELS_WIRE = T.ArrayType(T.ArrayType(T.StringType()))
 
 LEVEL = T.StructType([T.StructField("price", T.DoubleType()), T.StructField("qty", T.DoubleType())])
 

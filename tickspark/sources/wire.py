@@ -10,22 +10,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickspark import functions as X
-from tickspark.schemas import AGG_TRADE_WIRE, BOOK_TICKER_WIRE, DEPTH_WIRE, ENVELOPE
+from tickspark.schemas import ENVELOPE, LEVELS_WIRE, MESSAGE
 
 # Event names of the feed and the stream markers they travel under.
 BOOK_TICKER, AGG_TRADE, DEPTH = "bookTicker", "aggTrade", "depthUpdate"
 STREAM_MARKS = {"@bookTicker": BOOK_TICKER, "@aggTrade": AGG_TRADE, "@depth": DEPTH}
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column whose parsing runs once per message.
+
+    A filter on columns derived from it would otherwise be pushed below the projection with the
+    parser copied into every condition; nothing is pushed through a generator's output.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def read_envelope(df: DataFrame) -> DataFrame:
     """Split ``{stream, data}`` and name the event kind; messages lacking either are dropped."""
-    env = F.from_json("value", ENVELOPE)
     kind = F.lit(None).cast("string")
     for mark, name in reversed(STREAM_MARKS.items()):
         kind = F.when(F.col("stream").contains(mark), name).otherwise(kind)
     rest = [c for c in df.columns if c != "value"]
     return (
-        df.select(*rest, env.alias("_e")).select(*rest, F.col("_e.stream").alias("stream"), F.col("_e.data").alias("data"))
+        _once(df, "_e", F.from_json("value", ENVELOPE))
+        .select(*rest, F.col("_e.stream").alias("stream"), F.col("_e.data").alias("data"))
         .filter("stream IS NOT NULL AND data IS NOT NULL")
         .withColumn("kind", kind)
     )
@@ -51,14 +60,29 @@ def _ingest(df: DataFrame) -> Column:
     return F.col("ts_ingest") if "ts_ingest" in df.columns else F.current_timestamp()
 
 
+def _text(field: str) -> Column:
+    return F.try_element_at("_m", F.lit(field))
+
+
+def _message(df: DataFrame) -> DataFrame:
+    return _once(df, "_m", F.from_json("data", MESSAGE))
+
+
+def _side(name: str) -> Column:
+    return F.from_json(_text(name), LEVELS_WIRE).alias(name)
+
+
 def _number(field: str, kind: str = "double") -> Column:
-    return F.col("_m")[field].try_cast(kind)
+    return _text(field).try_cast(kind)
 
 
-def _parsed(df: DataFrame, kind: str, schema, columns: dict[str, Column], required: list[str]) -> DataFrame:
+def _parsed(df: DataFrame, kind: str, columns: dict[str, Column], required: list[str]) -> DataFrame:
     rows = df.filter(F.col("kind") == kind) if "kind" in df.columns else df
-    typed = rows.withColumn("_m", F.from_json("data", schema)).select(
-        "data", F.col("_m")["s"].alias("symbol"), _ingest(df).alias("ts_ingest"),
+    parsed = _message(rows)
+    if kind == DEPTH:
+        parsed = _once(parsed, "_sides", F.struct(_side("b"), _side("a")))
+    typed = parsed.select(
+        "data", _text("s").alias("symbol"), _ingest(df).alias("ts_ingest"),
         *[c.alias(n) for n, c in columns.items()])
     missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in ["symbol", *required]]))
     return typed.withColumn("reject_reason", F.when(F.size(missing) > 0, F.concat(
@@ -78,7 +102,7 @@ def parse_book_ticker(df: DataFrame) -> DataFrame:
         "ts_exchange": X.from_epoch_ms(_number("E", "bigint")), "update_id": _number("u", "bigint"),
         "best_bid": _number("b"), "best_ask": _number("a"), "bid_qty": _number("B"), "ask_qty": _number("A"),
     }
-    parsed = _parsed(df, BOOK_TICKER, BOOK_TICKER_WIRE, cols,
+    parsed = _parsed(df, BOOK_TICKER, cols,
                      ["ts_exchange", "best_bid", "best_ask", "bid_qty", "ask_qty"])
     return parsed.withColumns({"spread": X.spread(), "mid": X.mid()})
 
@@ -88,12 +112,12 @@ def parse_agg_trade(df: DataFrame, time_field: str = "E") -> DataFrame:
         "ts_exchange": X.from_epoch_ms(_number(time_field, "bigint")), "agg_trade_id": _number("a", "bigint"),
         "price": _number("p"), "qty": _number("q"), "is_buyer_maker": _number("m", "boolean"),
     }
-    return _parsed(df, AGG_TRADE, AGG_TRADE_WIRE, cols,
+    return _parsed(df, AGG_TRADE, cols,
                    ["ts_exchange", "agg_trade_id", "price", "qty", "is_buyer_maker"])
 
 
 def _levels(side: str) -> Column:
-    return F.transform(F.col("_m")[side], lambda level: F.struct(
+    return F.transform(F.col("_sides")[side], lambda level: F.struct(
         F.try_element_at(level, F.lit(1)).try_cast("double").alias("price"),
         F.try_element_at(level, F.lit(2)).try_cast("double").alias("qty")))
 
@@ -106,17 +130,21 @@ def parse_depth(df: DataFrame, missing_prev: int | None = None) -> DataFrame:
         "prev_final_update_id": F.coalesce(_number("pu", "bigint"), F.lit(missing_prev).cast("bigint")),
         "bids": _levels("b"), "asks": _levels("a"),
     }
-    return _parsed(df, DEPTH, DEPTH_WIRE, cols, ["ts_exchange", "first_update_id", "final_update_id", "bids", "asks"])
+    return _parsed(df, DEPTH, cols, ["ts_exchange", "first_update_id", "final_update_id", "bids", "asks"])
+
+
+def _checked(df: DataFrame) -> DataFrame:
+    complete = _text("e") == DEPTH
+    for field in ("E", "s", "b", "a"):
+        complete = complete & _text(field).isNotNull()
+    sides = (F.size("_sides.b") > 0) | (F.size("_sides.a") > 0)
+    parsed = _once(_message(df), "_sides", F.struct(_side("b"), _side("a")))
+    return parsed.withColumn("is_valid", F.coalesce(complete & sides, F.lit(False)))
 
 
 def validate_depth_message(df: DataFrame) -> DataFrame:
     """Add ``is_valid``: all five fields, the right event name and at least one non-empty side."""
-    m = F.col("_m")
-    fields = [m[f].isNotNull() for f in ("e", "E", "s", "b", "a")]
-    ok = fields[0] & fields[1] & fields[2] & fields[3] & fields[4]
-    sides = (F.size(m["b"]) > 0) | (F.size(m["a"]) > 0)
-    return df.withColumn("_m", F.from_json("data", DEPTH_WIRE)).withColumn(
-        "is_valid", F.coalesce(ok & (m["e"] == DEPTH) & sides, F.lit(False))).drop("_m")
+    return _checked(df).drop("_m", "_sides")
 
 
 def depth_to_l1(df: DataFrame, exchange: str) -> DataFrame:
@@ -124,17 +152,14 @@ def depth_to_l1(df: DataFrame, exchange: str) -> DataFrame:
 
     The first level of a side is its best; either side may be absent, not both.
     """
-    m = F.col("_m")
-
     def best(side, i):
-        return F.try_element_at(F.try_element_at(m[side], F.lit(1)), F.lit(i)).try_cast("double")
+        return F.try_element_at(F.try_element_at(F.col("_sides")[side], F.lit(1)), F.lit(i)).try_cast("double")
 
-    local = F.unix_micros(_ingest(df))
     return (
-        validate_depth_message(df).filter("is_valid").withColumn("_m", F.from_json("data", DEPTH_WIRE))
+        _checked(df).filter("is_valid")
         .select(
-            F.lit(exchange).alias("exchange"), m["s"].alias("symbol"),
-            (m["E"].try_cast("bigint") * 1000).alias("timestamp"), local.alias("local_timestamp"),
+            F.lit(exchange).alias("exchange"), _text("s").alias("symbol"),
+            (_number("E", "bigint") * 1000).alias("timestamp"), F.unix_micros(_ingest(df)).alias("local_timestamp"),
             best("a", 2).alias("ask_amount"), best("a", 1).alias("ask_price"),
             best("b", 1).alias("bid_price"), best("b", 2).alias("bid_amount"))
         .filter("ask_price IS NOT NULL OR bid_price IS NOT NULL")

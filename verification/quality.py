@@ -6,7 +6,7 @@ from tickspark.operators import bars as B
 from tickspark.operators import joins as J
 from tickspark.operators import profile as P
 from tickspark.operators import quality as Q
-from tickspark.operators.ticks import recent
+from tickspark.sources import wire
 from verification.bars import HOUR_STATS, RECENT_JOIN
 from verification.features import tiers
 from verification.registry import ASOF, LAT, RECENT, query
@@ -175,15 +175,16 @@ def _(m):
         Q.freshness_check(m.bt, "quotes", ASOF, RECENT)))
 
 
-HEALTH = f"""SELECT j.symbol, bt_count AS book_ticker_count, tr_count AS trades_count, last_bt AS last_book_ticker,
+HEALTH = f"""SELECT *, status_message = 'OK' AS is_healthy FROM (
+       SELECT j.symbol, bt_count AS book_ticker_count, tr_count AS trades_count, last_bt AS last_book_ticker,
        last_tr AS last_trade, coalesce(avg_latency_ms, 0) AS avg_latency_ms, coalesce(q.ml, 0) AS max_latency_ms,
-       coalesce(q.inv, 0) AS invalid_spreads, coalesce(q.bad, 0) AS invalid_prices, status_message = 'OK' AS is_healthy,
-       CASE WHEN coalesce(avg_latency_ms, 0) > 46 THEN 'High latency' WHEN coalesce(q.inv, 0) > 10
+       coalesce(q.inv, 0) AS invalid_spreads, coalesce(q.bad, 0) AS invalid_prices,
+       CASE WHEN coalesce(j.avg_latency_ms, 0) > 46 THEN 'High latency' WHEN coalesce(q.inv, 0) > 10
        THEN 'High invalid spreads' WHEN last_bt IS NULL THEN 'No data'
        WHEN (epoch_us({NOW}) - epoch_us(last_bt)) / 1000000.0E0 > 7200 THEN 'No updates' ELSE 'OK' END AS status_message
        FROM ({RECENT_JOIN.format(symbols='symbols')}) j LEFT JOIN (SELECT symbol_id, count(*) FILTER (WHERE spread <= 0)
        AS inv, count(*) FILTER (WHERE best_bid <= 0 OR best_ask <= 0) AS bad, max({LAT}) AS ml FROM recent_bt GROUP BY 1) q
-       ON q.symbol_id = j.symbol_id"""
+       ON q.symbol_id = j.symbol_id)"""
 
 
 @query("q13_symbol_health", HEALTH, dbl="avg_latency_ms max_latency_ms")
@@ -250,15 +251,11 @@ def _(m):
        count(*) FILTER (WHERE event_type = 'error') / count(*) AS error_rate FROM keyed WHERE event_type <> 'purchase'""",
        dbl="error_rate")
 def _(m):
-    from tickspark.sources import wire
-
     return Q.rejects_summary(wire.parse_book_ticker(wire.read_envelope(m.messages)))
 
 
 @query("q12_quarantine_rows", """SELECT symbol_id, count(*) AS rejected FROM keyed WHERE event_type = 'error' GROUP BY 1""")
 def _(m):
-    from tickspark.sources import wire
-
     bad = wire.rejected(wire.parse_book_ticker(wire.read_envelope(m.messages)))
     sid = F.regexp_extract(F.get_json_object("data", "$.s"), r"_(\d+)$", 1).cast("bigint")
     return bad.groupBy(sid.alias("symbol_id")).agg(F.count(F.lit(1)).alias("rejected"))

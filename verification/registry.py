@@ -1,7 +1,9 @@
 """Registry of queries. Each entry pairs a Spark query with SQL that any engine can run.
 
-Both sides round doubles to six decimals, since the order of a floating-point sum is not defined,
-and both give timestamps without a zone and whole numbers as BIGINT.
+Both sides round doubles to six decimals, since the order of a floating-point sum is not defined.
+Means of prices in cents often end exactly on a half of the last digit, which a sum may reach from
+either side; ``NUDGE`` moves the rounding border off such values. Timestamps have no zone and whole
+numbers are BIGINT.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from verification.bindings import Market
 ASOF = "2024-01-30 23:30:00"
 RECENT = "2 DAYS"
 DAY = "2024-01-15"
+NUDGE = 3e-8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,7 +29,7 @@ def canonical(df: DataFrame) -> DataFrame:
     def one(f: T.StructField):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), 6) + F.lit(0.0)
+            c = F.round(c.cast("double") + F.lit(NUDGE), 6) + F.lit(0.0)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
@@ -49,7 +52,7 @@ def query(name: str, sql: str | None = None, dbl: str = "", big: str = ""):
 
 
 def _finish(sql: str, dbl: str, big: str) -> str:
-    fixes = [f"round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}" for c in dbl.split()]
+    fixes = [f"round(CAST({c} AS DOUBLE) + {NUDGE!r}, 6) + 0.0 AS {c}" for c in dbl.split()]
     fixes += [f"CAST({c} AS BIGINT) AS {c}" for c in big.split()]
     replace = f" REPLACE ({', '.join(fixes)})" if fixes else ""
     return f"{PRELUDE}\nSELECT *{replace} FROM (\n{sql.strip()}\n) AS result"
