@@ -1,5 +1,6 @@
-"""Time bars. Every bar is one groupBy of partially aggregable functions: map-side combine, one
-shuffle of pre-aggregated rows, no sort, and a hot symbol or bucket costs no more than another."""
+"""Time bars. Every bar is one groupBy of partially aggregable functions over primitive buffers: a hash
+aggregate with map-side combine, one shuffle of pre-aggregated rows and no sort. A hot symbol or
+bucket shuffles no more than any other."""
 
 from __future__ import annotations
 
@@ -11,16 +12,12 @@ from tickspark import functions as X
 SECOND = "1 second"
 
 
-def _at(event_id: str) -> Column:
-    return F.struct("ts_exchange", event_id)
+def _first(value, event_id: str, w: str) -> Column:
+    return F.min_by(value, X.order_in_bucket("ts_exchange", event_id, w))
 
 
-def _first(value, event_id: str) -> Column:
-    return F.min_by(value, _at(event_id))
-
-
-def _last(value, event_id: str) -> Column:
-    return F.max_by(value, _at(event_id))
+def _last(value, event_id: str, w: str) -> Column:
+    return F.max_by(value, X.order_in_bucket("ts_exchange", event_id, w))
 
 
 class _Bucketed:
@@ -48,10 +45,10 @@ def quote_bars_mid(bt: DataFrame, w: str = SECOND) -> DataFrame:
     """Mid OHLC, spread statistics, mean total quantity, update count and mean latency."""
     mid, spread = X.mid(), X.spread()
     return _bucketed(bt, w, "ts_second").agg(
-        _first(mid, "update_id").alias("mid_open"),
+        _first(mid, "update_id", w).alias("mid_open"),
         F.max(mid).alias("mid_high"),
         F.min(mid).alias("mid_low"),
-        _last(mid, "update_id").alias("mid_close"),
+        _last(mid, "update_id", w).alias("mid_close"),
         F.avg(spread).alias("spread_mean"),
         F.min(spread).alias("spread_min"),
         F.max(spread).alias("spread_max"),
@@ -70,12 +67,12 @@ def quote_bars_bidask(bt: DataFrame, w: str = SECOND) -> DataFrame:
     aggs = []
     for side, price in (("bid", "best_bid"), ("ask", "best_ask")):
         aggs += [
-            _first(price, "update_id").alias(f"{side}_open"), _last(price, "update_id").alias(f"{side}_close"),
+            _first(price, "update_id", w).alias(f"{side}_open"), _last(price, "update_id", w).alias(f"{side}_close"),
             F.max(price).alias(f"{side}_high"), F.min(price).alias(f"{side}_low"), F.avg(price).alias(f"{side}_avg"),
         ]
     for q in ("bid_qty", "ask_qty"):
         aggs += [
-            _first(q, "update_id").alias(f"{q}_open"), _last(q, "update_id").alias(f"{q}_close"),
+            _first(q, "update_id", w).alias(f"{q}_open"), _last(q, "update_id", w).alias(f"{q}_close"),
             F.max(q).alias(f"{q}_max"), F.min(q).alias(f"{q}_min"), F.avg(q).alias(f"{q}_avg"),
         ]
     return _bucketed(bt, w, "ts_bucket").agg(
@@ -91,8 +88,8 @@ def quote_bars_table(bt: DataFrame, w: str = SECOND) -> DataFrame:
     """The table form of the quote bar with quantity means and the quantity-weighted mid."""
     mid, spread, qty = X.mid(), X.spread(), F.col("bid_qty") + F.col("ask_qty")
     return _bucketed(bt, w, "ts_second").agg(
-        _first(mid, "update_id").alias("mid_open"), F.max(mid).alias("mid_high"),
-        F.min(mid).alias("mid_low"), _last(mid, "update_id").alias("mid_close"),
+        _first(mid, "update_id", w).alias("mid_open"), F.max(mid).alias("mid_high"),
+        F.min(mid).alias("mid_low"), _last(mid, "update_id", w).alias("mid_close"),
         F.avg(spread).alias("spread_mean"), F.stddev_samp(spread).alias("spread_std"),
         F.min(spread).alias("spread_min"), F.max(spread).alias("spread_max"),
         F.avg("bid_qty").alias("bid_qty_mean"), F.avg("ask_qty").alias("ask_qty_mean"),
@@ -120,10 +117,10 @@ def trade_bars(tr: DataFrame, w: str = SECOND) -> DataFrame:
         F.when(vol > 0, F.sum(X.trade_value()) / vol).alias("vwap"),
         _side_sum(F.col("qty"), True).alias("buy_vol"),
         _side_sum(F.col("qty"), False).alias("sell_vol"),
-        _first("price", "agg_trade_id").alias("price_open"),
+        _first("price", "agg_trade_id", w).alias("price_open"),
         F.max("price").alias("price_high"),
         F.min("price").alias("price_low"),
-        _last("price", "agg_trade_id").alias("price_close"),
+        _last("price", "agg_trade_id", w).alias("price_close"),
     )
 
 
@@ -131,7 +128,7 @@ def trade_bars_ext(tr: DataFrame, w: str = SECOND) -> DataFrame:
     """Trade bars with quote volume, trade sizes, side counts and the share of buys."""
     n = F.count(F.lit(1))
     return _bucketed(tr, w, "ts_bucket").agg(
-        _first("price", "agg_trade_id").alias("price_open"), _last("price", "agg_trade_id").alias("price_close"),
+        _first("price", "agg_trade_id", w).alias("price_open"), _last("price", "agg_trade_id", w).alias("price_close"),
         F.max("price").alias("price_high"), F.min("price").alias("price_low"),
         F.sum("qty").alias("volume"), F.sum(X.trade_value()).alias("quote_volume"), n.alias("trade_count"),
         F.avg("qty").alias("avg_trade_size"), F.max("qty").alias("max_trade_size"),
@@ -172,8 +169,8 @@ def depth_bars(de: DataFrame, w: str = SECOND) -> DataFrame:
     slim = de.select("ts_exchange", "symbol_id", "final_update_id", *[c.alias(n) for n, c in best.items()])
     return _bucketed(slim, w, "ts_bucket").agg(
         F.count(F.lit(1)).alias("update_count"),
-        *[_last(n, "final_update_id").alias(f"last_{n}") for n in best],
-        *[_first(n, "final_update_id").alias(f"first_{n}") for n in best],
+        *[_last(n, "final_update_id", w).alias(f"last_{n}") for n in best],
+        *[_first(n, "final_update_id", w).alias(f"first_{n}") for n in best],
     )
 
 

@@ -67,15 +67,10 @@ def latest_in_bucket_join(bt_bars: DataFrame, topn: DataFrame, w: str = "1 secon
     """The last book row inside each bar's interval; bars without a book stay."""
     cols = ["ts_exchange", "b1_price", "b1_qty", "a1_price", "a1_qty", "microprice", "i1", "i5",
             "total_bid_qty", "total_ask_qty"]
-    latest = (
-        topn.groupBy("symbol_id", X.time_bucket("ts_exchange", w).alias("ts_second"))
-        .agg(F.max_by(F.struct(*cols), F.struct("ts_exchange", "final_update_id")).alias("_book"))
-    )
-    return (
-        bt_bars.select(*BAR_KEY, "mid_close", "spread_mean", "update_count").join(latest, BAR_KEY, "left")
-        .select(*BAR_KEY, "mid_close", "spread_mean", "update_count",
-                *[F.col("_book")[c].alias("book_ts" if c == "ts_exchange" else c) for c in cols])
-    )
+    at = X.order_in_bucket("ts_exchange", "final_update_id", w)
+    latest = topn.groupBy("symbol_id", X.time_bucket("ts_exchange", w).alias("ts_second")).agg(
+        *[F.max_by(c, at).alias("book_ts" if c == "ts_exchange" else c) for c in cols])
+    return bt_bars.select(*BAR_KEY, "mid_close", "spread_mean", "update_count").join(latest, BAR_KEY, "left")
 
 
 def left_recent_join(symbols: DataFrame, bt: DataFrame, tr: DataFrame) -> DataFrame:

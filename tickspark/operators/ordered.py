@@ -14,6 +14,7 @@ from tickspark.functions.time import time_bucket, width_us
 
 TICK_BLOCK = "10 minutes"
 BAR_BLOCK = "1 day"
+CHUNK_ROWS = 50_000
 
 INDEX = "_row"
 TOTAL = "_rows"
@@ -68,14 +69,14 @@ def with_row_index(df: DataFrame, keys: list[str], order: list[str], block: str
 
 
 def row_chunks(df: DataFrame, keys: list[str], order: list[str], before: int = 0, after: int = 0,
-               rows: int = 50_000, block: str = BAR_BLOCK) -> DataFrame:
+               rows: int | None = None, block: str = BAR_BLOCK) -> DataFrame:
     """Cut each key into chunks of equally many rows, each with copies of its neighbours' rows.
 
     A chunk holds its own rows, the ``before`` rows ahead of it and the ``after`` rows behind it
     (marked by ``_halo``). A row frame of that reach computed over :func:`chunk_window` is exact on
     the chunk's own rows; finish with :func:`own_rows`.
     """
-    size = max(rows, before, after, 1)
+    size = max(rows or CHUNK_ROWS, before, after)
     at = F.col(INDEX) - 1
     home = F.floor(at / size)
     pos = F.pmod(at, F.lit(size))

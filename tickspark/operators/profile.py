@@ -97,19 +97,16 @@ def feature_summary(features: DataFrame, columns: list[str] | None = None) -> Da
     """Count, mean, population deviation, minimum and maximum of each feature, in long form."""
     columns = columns or SUMMARY_FEATURES
     measure = {"count": F.count, "mean": F.avg, "std": F.stddev_pop, "min": F.min, "max": F.max}
+    # A single distinct aggregate is planned as a pre-aggregation per symbol.
     wide = features.agg(
-        _n().alias("total_records"), F.min("ts_exchange").alias("range_start"),
-        F.max("ts_exchange").alias("range_end"),
+        _n().alias("total_records"), F.count_distinct("symbol_id").alias("symbols"),
+        F.min("ts_exchange").alias("range_start"), F.max("ts_exchange").alias("range_end"),
         *[measure[m](c).alias(f"{c}__{m}") for c in columns for m in SIDE_STATS])
-    symbols = features.groupBy("symbol_id").agg(F.lit(1).alias("_s")).agg(_n().alias("symbols"))
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), *[F.col(f"{c}__{m}").alias(m) for m in SIDE_STATS])
                      for c in columns])
-    return (
-        wide.crossJoin(symbols)  # one row each
-        .select("total_records", "symbols", "range_start", "range_end", F.explode(rows).alias("_f"))
-        .select("_f.feature", *[F.col(f"_f.{m}").alias(m) for m in SIDE_STATS], "total_records", "symbols",
-                "range_start", "range_end")
-    )
+    return wide.select("total_records", "symbols", "range_start", "range_end", F.explode(rows).alias("_f")).select(
+        "_f.feature", *[F.col(f"_f.{m}").alias(m) for m in SIDE_STATS], "total_records", "symbols", "range_start",
+        "range_end")
 
 
 def ingestion_counts(symbols: DataFrame, bt: DataFrame, tr: DataFrame, asof: str, interval: str = "1 HOUR"):
@@ -197,14 +194,21 @@ def ingestion_stats_hourly(events: DataFrame) -> DataFrame:
     """
     return events.groupBy(F.date_trunc("hour", "ts_exchange").alias("date_hour"), "symbol_id", "stream_type").agg(
         F.count_if("ok").alias("events_processed"), F.count_if(~F.col("ok")).alias("events_failed"),
-        F.max_by(_latency(), F.struct("ts_exchange", "event_id")).alias("last_latency_ms"))
+        F.max_by(_latency(), X.order_in_bucket("ts_exchange", "event_id", "1 hour")).alias("last_latency_ms"))
 
 
 def ingestion_offsets(events: DataFrame) -> DataFrame:
-    """Last update id, event time and processing time per symbol and stream."""
-    return events.groupBy("symbol_id", "stream_type").agg(
-        F.max_by("event_id", F.struct("ts_exchange", "event_id")).alias("last_update_id"),
-        F.max("ts_exchange").alias("last_event_time"), F.max("ts_ingest").alias("last_processed_at"))
+    """Last update id, event time and processing time per symbol and stream.
+
+    Hours are reduced first in a hash aggregate; what is ordered by (time, id) is one row per hour.
+    """
+    keys = ["symbol_id", "stream_type"]
+    hours = events.groupBy(*keys, X.time_bucket("ts_exchange", "1 hour").alias("_hour")).agg(
+        F.max_by("event_id", X.order_in_bucket("ts_exchange", "event_id", "1 hour")).alias("_id"),
+        F.max("ts_exchange").alias("_ts"), F.max("ts_ingest").alias("_in"))
+    return hours.groupBy(*keys).agg(
+        F.max_by("_id", F.col("_ts")).alias("last_update_id"), F.max("_ts").alias("last_event_time"),
+        F.max("_in").alias("last_processed_at"))
 
 
 def volatility_stats(bt: DataFrame, min_rows: int = 100) -> DataFrame:
@@ -247,9 +251,11 @@ def book_snapshot_asof(topn: DataFrame, at: str, lookback: str | None = None) ->
     if lookback:
         seen = seen.filter(F.col("ts_exchange") >= X.before(at, lookback))
     rest = [c for c in topn.columns if c != "symbol_id"]
+    # The newest instants come from two narrow columns; whole books are read for those instants only.
+    newest = seen.groupBy("symbol_id").agg(F.max("ts_exchange").alias("ts_exchange"))
     return (
-        seen.groupBy("symbol_id")
-        .agg(F.max_by(F.struct(*rest), F.struct("ts_exchange", "final_update_id")).alias("_book"))
+        seen.join(newest, ["symbol_id", "ts_exchange"]).groupBy("symbol_id")
+        .agg(F.max_by(F.struct(*rest), F.col("final_update_id")).alias("_book"))
         .select("symbol_id", *[F.col("_book")[c].alias(c) for c in rest])
     )
 

@@ -236,8 +236,9 @@ def verify_ingestion(tables: dict[str, DataFrame], asof: str, required: list[str
 
     checks = union_all(*[one(name, df) for name, df in tables.items()])
     needed = F.col("table_name").isin(required)
-    verdict = checks.agg(F.bool_and(~needed | (F.col("fresh_ok") & F.col("rate_ok"))).alias("overall_ok"))
-    return checks.crossJoin(verdict)  # one row per table x one row
+    ok = F.bool_and(~needed | (F.col("fresh_ok") & F.col("rate_ok")))
+    rows = F.collect_list(F.struct(*checks.columns))  # one row per table
+    return checks.agg(rows.alias("_rows"), ok.alias("overall_ok")).select(F.inline("_rows"), "overall_ok")
 
 
 def check_freshness(symbols: DataFrame, bt: DataFrame, tr: DataFrame, asof: str, interval: str = "1 HOUR"):

@@ -6,7 +6,7 @@ A message that does not yield a complete row keeps a ``reject_reason``; nothing
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickspark import functions as X
@@ -181,12 +181,10 @@ def attach_symbol_id(rows: DataFrame, symbols: DataFrame) -> DataFrame:
 
 def new_symbols(rows: DataFrame, symbols: DataFrame, exchange: str, quote: str = "USDT") -> DataFrame:
     """Dimension rows for symbols seen in a feed but not listed; ids continue after the largest."""
-    from pyspark.sql import Window
-
     seen = rows.select("symbol").distinct().join(symbols.select("symbol"), "symbol", "left_anti")
-    top = symbols.agg(F.coalesce(F.max("id"), F.lit(0)).alias("_top"))
-    return seen.crossJoin(top).select(  # distinct new symbols x one row
-        (F.col("_top") + F.row_number().over(Window.orderBy("symbol"))).alias("id"),
+    top = symbols.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    return seen.select(  # a dimension: one row per new symbol
+        (top + F.row_number().over(Window.orderBy("symbol"))).alias("id"),
         F.lit(exchange).alias("exchange"), "symbol", F.lit("perp").alias("instrument_type"),
         X.base_asset("symbol", quote).alias("base_asset"), F.lit(quote).alias("quote_asset"),
         F.lit(True).alias("is_active"))
