@@ -179,10 +179,15 @@ def quantile_cont(df: DataFrame, keys: list[str], value: str, p: float, name: st
     )
 
 
+def disc_rank(p: float) -> Column:
+    """0-based rank of the discrete quantile among ``n`` rows."""
+    return F.greatest(F.ceil(F.lit(p) * F.col("n")) - 1, F.lit(0))
+
+
 def quantile_disc(df: DataFrame, keys: list[str], value: str, p: float, name: str,
                   bin_width: int = 65_536) -> DataFrame:
     """Exact discrete quantile: the first value whose cumulative share reaches ``p``."""
-    rank = F.greatest(F.ceil(F.lit(p) * F.col("n")) - 1, F.lit(0))
+    rank = disc_rank(p)
     return (
         value_ranks(df, keys, value, bin_width)
         .filter((F.col("lo") <= rank) & (F.col("hi") >= rank))
