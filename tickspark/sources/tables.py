@@ -27,10 +27,24 @@ def scan_ticks(spark: SparkSession, path: str, start: str, end: str, ids: list[i
     return optional_symbol_filter(time_slice(spark.read.parquet(path), start, end, ts), ids)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path) and len(fs.listStatus(jvm_path)) > 0
+def _root(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _days(spark: SparkSession, path: str) -> list[str]:
+    """Partition days, from the directory names; no data is read."""
+    root, fs = _root(spark, path)
+    if not fs.exists(root):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(DATE + "="))
+
+
+def _drop_days(spark: SparkSession, path: str, days: list[str]) -> None:
+    _, fs = _root(spark, path)
+    for day in days:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DATE}={day}"), True)
 
 
 def write_partitioned(df: DataFrame, path: str, sort: list[str], mode: str = "append", **options) -> None:
@@ -59,8 +73,8 @@ def write_ticks_idempotent(df: DataFrame, path: str, key: list[str], sort: list[
     """
     spark = df.sparkSession
     rows = with_event_date(dedup_first(df, key, first_by), ts)
-    if _exists(spark, path):
-        live = spark.read.parquet(path)
+    if _days(spark, path):
+        live = spark.read.schema(rows.schema).parquet(path)
         rows = anti_existing(rows, live if all_days else _touched_days(live, rows), key)
     write_partitioned(rows, path, sort or ["symbol_id", ts])
 
@@ -77,11 +91,11 @@ def upsert_latest(new: DataFrame, path: str, key: list[str], ts: str = "ts_excha
     """Insert or replace rows by key: the new row wins. Only the touched days are rewritten."""
     spark = new.sparkSession
     rows = with_event_date(new, ts).withColumn("_version", F.lit(1))
-    if _exists(spark, path):
-        live = _touched_days(spark.read.parquet(path), rows)
+    if _days(spark, path):
+        live = _touched_days(spark.read.schema(rows.drop("_version").schema).parquet(path), rows)
         rows = rows.unionByName(live.withColumn("_version", F.lit(0)))
     rest = [c for c in rows.columns if c not in key]
-    merged = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col("_version")).alias("_r"))
+    merged = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct("_version", *rest)).alias("_r"))
     out = merged.select(*key, *[F.col("_r")[c].alias(c) for c in rest if c != "_version"])
     # Files of the days read above are replaced only when the job commits, after all reads.
     write_partitioned(out, path, key, "overwrite", partitionOverwriteMode="dynamic")
@@ -120,21 +134,6 @@ def load_fallback_csv(spark: SparkSession, path: str, schema=L1_CSV) -> DataFram
                           timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", columnNameOfCorruptRecord="_corrupt_record")
 
 
-def _days(spark: SparkSession, path: str) -> list[str]:
-    """Partition days, from the directory names; no data is read."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(DATE + "="))
-
-
-def _drop_days(spark: SparkSession, path: str, days: list[str]) -> None:
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for day in days:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DATE}={day}"), True)
-
-
 def retention(spark: SparkSession, path: str, cutoff: str, ts: str = "ts_exchange",
               sort: list[str] | None = None) -> None:
     """Drop rows before ``cutoff``: whole days by directory, the boundary day by rewriting it."""
@@ -159,7 +158,7 @@ def archive(spark: SparkSession, path: str, archive_path: str, cutoff: str, ts:
     """
     live = spark.read.parquet(path)
     old = live.filter((F.col(DATE) <= F.to_date(F.lit(cutoff[:10]))) & (F.col(ts) < X.instant(cutoff)))
-    if _exists(spark, archive_path):
+    if _days(spark, archive_path):
         kept = _touched_days(spark.read.parquet(archive_path), old)
         old = old.unionByName(kept).dropDuplicates()
     write_partitioned(old, archive_path, sort or ["symbol_id", ts], "overwrite", partitionOverwriteMode="dynamic",
