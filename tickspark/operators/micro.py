@@ -86,21 +86,22 @@ def with_volume_ratios(bars: DataFrame) -> DataFrame:
     })
 
 
+def _vpin(bars: DataFrame, n: int) -> DataFrame:
+    traded = bars.select("symbol_id", "ts_bucket", "buy_volume", "sell_volume").withColumn(
+        "_total", F.col("buy_volume") + F.col("sell_volume")).filter("_total > 0")
+    last_n = chunk_window(["symbol_id"], -(n - 1), 0)
+    measured = row_chunks(traded, ["symbol_id"], BAR_ORDER, before=n - 1).withColumns(
+        {"_seen": F.count(F.lit(1)).over(last_n), "_mean": F.avg("_total").over(last_n)})
+    return own_rows(measured).select("symbol_id", "ts_bucket", F.when(F.col("_seen") < 2, 0.0).otherwise(
+        F.abs(F.col("buy_volume") - F.col("sell_volume")) / F.col("_mean")).alias("vpin"))
+
+
 def vpin_like(bars: DataFrame, n: int = 10) -> DataFrame:
     """|buy - sell| over the mean volume of the last n traded bars, current one included.
 
     0 while fewer than two bars have traded, NULL on bars without trades.
     """
-    keys = ["symbol_id", "ts_bucket"]
-    traded = bars.select(*keys, "buy_volume", "sell_volume").withColumn(
-        "_total", F.col("buy_volume") + F.col("sell_volume")).filter("_total > 0")
-    last_n = chunk_window(["symbol_id"], -(n - 1), 0)
-    measured = own_rows(
-        row_chunks(traded, ["symbol_id"], BAR_ORDER, before=n - 1)
-        .withColumns({"_seen": F.count(F.lit(1)).over(last_n), "_mean": F.avg("_total").over(last_n)})
-    ).select(*keys, F.when(F.col("_seen") < 2, 0.0).otherwise(
-        F.abs(F.col("buy_volume") - F.col("sell_volume")) / F.col("_mean")).alias("vpin"))
-    return bars.join(measured, keys, "left")
+    return bars.join(_vpin(bars, n), ["symbol_id", "ts_bucket"], "left")
 
 
 def _mid_of_bar() -> Column:
@@ -140,23 +141,27 @@ def market_features(bars: DataFrame, n: int = 10, ask_sign: str = "reference") -
     from the column of that name when the bars carry depth, else it repeats ``i1``.
     """
     quote = ["bid_close", "ask_close", "bid_qty_close", "ask_qty_close"]
+    keys = ["symbol_id", "ts_bucket"]
     row = chunk_window(["symbol_id"])
     frame = chunk_window(["symbol_id"], -(n - 2), 0)
     mid = F.col("mid_price")
-    whole = vpin_like(with_volume_ratios(split_volume(bars)), n).withColumn("mid_price", _mid_of_bar())
+    volumes = with_volume_ratios(split_volume(bars))
+    carried = [c for c in ("i10",) if c in bars.columns]
     chunks = (
-        row_chunks(whole, ["symbol_id"], BAR_ORDER, before=n)
+        row_chunks(volumes.select(*keys, *quote, "volume_imbalance", "buy_volume_ratio", *carried,
+                                  _mid_of_bar().alias("mid_price")), ["symbol_id"], BAR_ORDER, before=n)
         .withColumns({"prev_" + c: F.lag(c).over(row) for c in [*quote, "mid_price"]})
         .withColumn("_ret", _step_return(mid, F.col("prev_mid_price"), F.lit(0.0)))
         .withColumn("price_volatility", F.coalesce(F.stddev_pop("_ret").over(frame), F.lit(0.0)))
     )
     i1 = X.imbalance("bid_qty_close", "ask_qty_close")
     gap = F.col("ask_close") - F.col("bid_close")
-    return own_rows(chunks).select(
+    # vpin joins last: nothing upstream of the chunks is computed for it twice.
+    return own_rows(chunks).join(_vpin(volumes, n), keys, "left").select(
         F.col("ts_bucket").alias("ts_exchange"), "symbol_id",
         X.microprice(*quote).alias("microprice"), "mid_price", gap.alias("spread_abs"),
         F.when(mid > 0, gap / mid).otherwise(0.0).alias("spread_rel"),
-        i1.alias("i1"), (F.coalesce("i10", i1) if "i10" in bars.columns else i1).alias("i10"),
+        i1.alias("i1"), (F.coalesce("i10", i1) if carried else i1).alias("i10"),
         ofi_column(*quote, ask_sign=ask_sign).alias("ofi"),
         "volume_imbalance", "buy_volume_ratio", "vpin", "price_volatility",
         _step_return(mid, F.col("prev_mid_price"), None).alias("return_1s"),
@@ -169,14 +174,20 @@ def _sorted_side(levels: str, best_first_desc: bool) -> Column:
     return F.sort_array(kept, asc=not best_first_desc)
 
 
+def _wall_price(side: str, qty: str, n: int) -> Column:
+    """Price of the nearest level that holds the wall's quantity."""
+    return F.coalesce(*[F.when(F.col(f"{side}{i}_qty") == F.col(qty), F.col(f"{side}{i}_price")) for i in range(1, n + 1)])
+
+
 def flatten_topn(de: DataFrame, n: int = 5) -> DataFrame:
     """One wide row per depth update: n levels per side, totals and book features.
 
     Levels of quantity 0 are deletions and are dropped. A wall is the largest level of its side
     among the top n, ties going to the nearest one, with its distance from the mid in bps;
-    ``wall_size_bps`` is the distance of the larger wall.
+    ``wall_size_bps`` is the distance of the larger wall. Only cutting the two sides works on arrays;
+    everything after it is arithmetic on columns, which is compiled.
     """
-    base = de.select(
+    cut = de.select(
         "ts_exchange", "symbol_id", "final_update_id",
         F.slice(_sorted_side("bids", True), 1, n).alias("_b"), F.slice(_sorted_side("asks", False), 1, n).alias("_a"))
     cols = []
@@ -184,31 +195,33 @@ def flatten_topn(de: DataFrame, n: int = 5) -> DataFrame:
         for i in range(n):
             level = F.try_element_at(f"_{side}", F.lit(i + 1))
             cols += [level["price"].alias(f"{side}{i + 1}_price"), level["qty"].alias(f"{side}{i + 1}_qty")]
-    flat = base.select(
-        "ts_exchange", "symbol_id", "final_update_id", *cols,
-        X.side_qty("_b").alias("total_bid_qty"), X.side_qty("_a").alias("total_ask_qty"),
-        _wall("_b").alias("_wb"), _wall("_a").alias("_wa"))
-    best = ("b1_price", "a1_price", "b1_qty", "a1_qty")
-    two_sided = F.col("b1_price").isNotNull() & F.col("a1_price").isNotNull()
+    flat = cut.select("ts_exchange", "symbol_id", "final_update_id", *cols)
+
+    def qtys(side):
+        return [F.col(f"{side}{i}_qty") for i in range(1, n + 1)]
+
+    def largest(side):
+        return F.greatest(*qtys(side)) if n > 1 else qtys(side)[0]
+
+    sums = {f"total_{name}_qty": sum((F.coalesce(q, F.lit(0.0)) for q in qtys(side)[1:]),
+                                     F.coalesce(qtys(side)[0], F.lit(0.0))) for side, name in (("b", "bid"), ("a", "ask"))}
     mid = X.mid("b1_price", "a1_price")
-    out = flat.withColumns({
-        "microprice": F.when(two_sided, X.microprice(*best)),
-        "i1": F.when(two_sided, X.imbalance("b1_qty", "a1_qty")).otherwise(0.0),
-        f"i{n}": F.when(two_sided, X.imbalance("total_bid_qty", "total_ask_qty")).otherwise(0.0),
-        "wall_size_bid": F.col("_wb")["qty"], "wall_size_ask": F.col("_wa")["qty"],
-        "wall_dist_bid_bps": F.when(mid > 0, F.abs(F.col("_wb")["price"] - mid) / mid * 10000.0),
-        "wall_dist_ask_bps": F.when(mid > 0, F.abs(F.col("_wa")["price"] - mid) / mid * 10000.0),
-    })
-    return out.withColumn("wall_size_bps", F.when(
-        F.col("wall_size_bid") >= F.col("wall_size_ask"), F.col("wall_dist_bid_bps")).otherwise(
-        F.col("wall_dist_ask_bps"))).drop("_wb", "_wa")
+    two_sided = F.col("b1_price").isNotNull() & F.col("a1_price").isNotNull()
 
+    def distance(side, qty):
+        return F.when(mid > 0, F.abs(_wall_price(side, qty, n) - mid) / mid * 10000.0)
 
-def _wall(side: str) -> Column:
-    """The largest level of a side sorted best first; the earliest of equals wins."""
-    return F.aggregate(
-        F.col(side), F.try_element_at(side, F.lit(1)),
-        lambda best, level: F.when(level["qty"] > best["qty"], level).otherwise(best))
+    return (
+        flat.withColumns({**sums, "wall_size_bid": largest("b"), "wall_size_ask": largest("a")})
+        .withColumns({
+            "microprice": F.when(two_sided, X.microprice("b1_price", "a1_price", "b1_qty", "a1_qty")),
+            "i1": F.when(two_sided, X.imbalance("b1_qty", "a1_qty")).otherwise(0.0),
+            f"i{n}": F.when(two_sided, X.imbalance("total_bid_qty", "total_ask_qty")).otherwise(0.0),
+            "wall_dist_bid_bps": distance("b", "wall_size_bid"), "wall_dist_ask_bps": distance("a", "wall_size_ask"),
+        })
+        .withColumn("wall_size_bps", F.when(F.col("wall_size_bid") >= F.col("wall_size_ask"), F.col("wall_dist_bid_bps"))
+                    .otherwise(F.col("wall_dist_ask_bps")))
+    )
 
 
 def book_walls(topn: DataFrame) -> DataFrame:

@@ -57,6 +57,13 @@ def training_rows(bt_bars: DataFrame, tr_bars: DataFrame, day: str, symbol_id: i
         X.volume_imbalance("buy_vol", "sell_vol").alias("buy_sell_imbalance"))
 
 
+def training_view(bt_bars: DataFrame, tr_bars: DataFrame, day: str, name: str | None = None) -> str:
+    """Register :func:`training_rows` of a day as a temporary view and return its name."""
+    name = name or f"training_{day.replace('-', '_')}"
+    training_rows(bt_bars, tr_bars, day).createOrReplaceTempView(name)
+    return name
+
+
 def hourly_ml_features(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFrame, start: str, end: str,
                        ids: list[int] | None = None, topn: DataFrame | None = None) -> DataFrame:
     """Hourly bars of ``[start, end]`` with returns, lags and indicators; depth means if given."""
@@ -170,12 +177,13 @@ def symbol_metadata(symbols: DataFrame) -> DataFrame:
     return symbols.select(F.col("id").alias("symbol_id"), *[c for c in symbols.columns if c != "id"]).orderBy("symbol")
 
 
-# Upper list positions (exclusive) of liquidity tiers and priority groups.
+# Upper list positions (exclusive) of liquidity tiers, priority groups and frequency classes.
 LIQUIDITY_TIERS = [
     ("tier1_medium", 10), ("tier2_moderate", 30), ("tier3_low", 50), ("tier4_very_low", 70), ("tier5_micro", 90),
     ("tier6_nano", 110), ("tier7_defi", 130), ("tier8_newer", 150), ("tier9_lowcap", 170), ("tier10_ultra", 200),
 ]
 PRIORITY_GROUPS = [("critical", 20), ("high", 60), ("medium", 120), ("low", 200)]
+FREQUENCY_CLASSES = [("high_frequency", 10), ("medium_frequency", 50), ("low_frequency", 200)]
 
 
 def _band(position, bands):
@@ -185,11 +193,13 @@ def _band(position, bands):
     return expr
 
 
-def tier_dimension(ranked: DataFrame, tiers=None, priorities=None, position: str = "position") -> DataFrame:
-    """Tier and priority of each symbol from its 0-based position in the symbol list."""
+def tier_dimension(ranked: DataFrame, tiers=None, priorities=None, frequencies=None,
+                   position: str = "position") -> DataFrame:
+    """Tier, priority and frequency class of each symbol from its 0-based place in the symbol list."""
     at = F.col(position)
     return ranked.select("symbol", position, _band(at, tiers or LIQUIDITY_TIERS).alias("liquidity_tier"),
-                         _band(at, priorities or PRIORITY_GROUPS).alias("priority"))
+                         _band(at, priorities or PRIORITY_GROUPS).alias("priority"),
+                         _band(at, frequencies or FREQUENCY_CLASSES).alias("frequency"))
 
 
 def enrich_tier(df: DataFrame, tiers: DataFrame) -> DataFrame:

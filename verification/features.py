@@ -10,7 +10,7 @@ from tickspark.operators import profile as P
 from tickspark.operators import ticks as K
 from tickspark.plans import datasets as L
 from verification.bars import DEPTH_HOURLY, DH, JOINED, MK, OHLC, QB, ROLLUP
-from verification.registry import ASOF, DAY, H, MICRO, query
+from verification.registry import ASOF, DAY, H, MICRO, canonical, query, rounded
 
 QUOTE = "best_bid best_ask bid_qty ask_qty"
 OFI = ("CASE WHEN p{b} IS NULL THEN 0 ELSE "
@@ -200,16 +200,17 @@ DECIMALS = {"microprice": "20, 8", "spread_rel": "10, 6", "ofi": "20, 4", "buy_v
 
 
 @query("p12_decimal_to_double", "SELECT ts_exchange, symbol_id, " + ", ".join(
-    f"CAST({c} AS DECIMAL({p})) AS {c}" for c, p in DECIMALS.items()) + f" FROM ({FEATURES})", dbl=" ".join(DECIMALS))
+    f"CAST({rounded(c)} AS DECIMAL({p})) AS {c}" for c, p in DECIMALS.items()) + f" FROM ({FEATURES})",
+    dbl=" ".join(DECIMALS))
 def _(m):
-    features = K.to_feature_decimals(M.market_features(market(m)))
+    features = K.to_feature_decimals(canonical(M.market_features(market(m))))
     return K.decimal_to_double(features).select("ts_exchange", "symbol_id", *DECIMALS)
 
 
 @query("p13_to_feature_decimals", "SELECT ts_exchange, symbol_id, " + ", ".join(
-    f"CAST(CAST({c} AS DECIMAL({p})) AS VARCHAR) AS {c}" for c, p in DECIMALS.items()) + f" FROM ({FEATURES})")
+    f"CAST(CAST({rounded(c)} AS DECIMAL({p})) AS VARCHAR) AS {c}" for c, p in DECIMALS.items()) + f" FROM ({FEATURES})")
 def _(m):
-    features = K.to_feature_decimals(M.market_features(market(m)))
+    features = K.to_feature_decimals(canonical(M.market_features(market(m))))
     return features.select("ts_exchange", "symbol_id", *[F.col(c).cast("string").alias(c) for c in DECIMALS])
 
 
@@ -371,7 +372,7 @@ def _(m):
        AND t.symbol_id = b.symbol_id WHERE {ON_DAY.replace('ts_second', 'b.ts_second')}""",
        dbl="mid_close spread_mean vwap buy_sell_imbalance")
 def _(m):
-    return L.training_rows(*hour_bars(m), DAY)
+    return m.spark.table(L.training_view(*hour_bars(m), DAY))
 
 
 @query("n2_ordered_aggregates", """SELECT symbol_id, first(best_bid ORDER BY ts_exchange, update_id) AS first_bid,
@@ -487,14 +488,15 @@ def _(m):
 TIERS, GROUPS = [("top", 5), ("middle", 15), ("tail", 24)], [("critical", 3), ("high", 12), ("low", 25)]
 TIER_SQL = """SELECT symbol, id AS position, CASE WHEN id < 5 THEN 'top' WHEN id < 15 THEN 'middle' WHEN id < 24 THEN 'tail'
        END AS liquidity_tier, CASE WHEN id < 3 THEN 'critical' WHEN id < 12 THEN 'high' WHEN id < 25 THEN 'low' END
-       AS priority FROM symbols"""
+       AS priority, CASE WHEN id < 10 THEN 'high_frequency' WHEN id < 50 THEN 'medium_frequency' END AS frequency
+       FROM symbols"""
 
 
 def tiers(m):
     return L.tier_dimension(m.symbols.withColumn("position", F.col("id")), TIERS, GROUPS)
 
 
-@query("l12_enrich_tier", f"""SELECT s.symbol, s.id, position, liquidity_tier, priority FROM symbols s
+@query("l12_enrich_tier", f"""SELECT s.symbol, s.id, position, liquidity_tier, priority, frequency FROM symbols s
        LEFT JOIN ({TIER_SQL}) t ON t.symbol = s.symbol""")
 def _(m):
     return L.enrich_tier(m.symbols.select("symbol", "id"), tiers(m))

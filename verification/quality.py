@@ -236,7 +236,7 @@ def _(m):
        UNION ALL SELECT 'wrong quote suffix', count(*) FROM symbols WHERE NOT ends_with(symbol, '1')
        UNION ALL SELECT 'without tier', count(*) FROM symbols WHERE id >= 24
        UNION ALL SELECT 'traded but not listed', count(*) FROM (SELECT DISTINCT symbol_id FROM trades) WHERE symbol_id NOT IN (SELECT id FROM active)
-       UNION ALL SELECT 'listed but never traded', 0)""", big="offending")
+       UNION ALL SELECT 'listed but never traded', count(*) FROM symbols WHERE id NOT IN (SELECT symbol_id FROM trades))""", big="offending")
 def _(m):
     covered = tiers(m).filter("liquidity_tier IS NOT NULL")
     listed = m.symbols

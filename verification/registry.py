@@ -51,8 +51,12 @@ def query(name: str, sql: str | None = None, dbl: str = "", big: str = ""):
     return wrap
 
 
+def rounded(column: str) -> str:
+    return f"(round(CAST({column} AS DOUBLE) + {NUDGE!r}, 6) + 0.0)"
+
+
 def _finish(sql: str, dbl: str, big: str) -> str:
-    fixes = [f"round(CAST({c} AS DOUBLE) + {NUDGE!r}, 6) + 0.0 AS {c}" for c in dbl.split()]
+    fixes = [f"{rounded(c)} AS {c}" for c in dbl.split()]
     fixes += [f"CAST({c} AS BIGINT) AS {c}" for c in big.split()]
     replace = f" REPLACE ({', '.join(fixes)})" if fixes else ""
     return f"{PRELUDE}\nSELECT *{replace} FROM (\n{sql.strip()}\n) AS result"

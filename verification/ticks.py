@@ -151,7 +151,7 @@ def _(m):
     return m.de.select("final_update_id", F.size("bids").alias("bids"), X.side_qty("bids").alias("bid_qty"))
 
 
-@query("f11_math", """SELECT update_id, abs(spread) AS abs_spread, ln(best_bid) AS log_bid, round(best_bid, 1) AS r1,
+@query("f11_math", """SELECT update_id, abs(spread) AS abs_spread, CASE WHEN best_bid > 0 THEN ln(best_bid) END AS log_bid, round(best_bid, 1) AS r1,
        sign(best_ask - best_bid) AS s FROM quotes""", dbl="abs_spread log_bid r1 s")
 def _(m):
     return m.bt.select("update_id", F.abs(X.spread()).alias("abs_spread"), F.ln("best_bid").alias("log_bid"),
