@@ -146,10 +146,16 @@ def hourly_returns(hourly: DataFrame) -> DataFrame:
     })
 
 
-def technical_indicators(hourly: DataFrame, close: str = "h_close", ts: str = "hour_bucket") -> DataFrame:
-    """Moving averages, RSI, MACD and Bollinger bands sharing one chunking and one window sort."""
+def technical_indicators(hourly: DataFrame, close: str = "h_close", ts: str = "hour_bucket",
+                         lagged: tuple[str, ...] = ()) -> DataFrame:
+    """Moving averages, RSI, MACD and Bollinger bands sharing one chunking and one window sort.
+
+    ``lagged`` columns get their previous value as ``prev_<column>`` on the way.
+    """
     reach = _reach(26) + _reach(9)
     chunks = row_chunks(hourly, KEY, [ts], before=reach, rows=EMA_CHUNK, block=HOUR_BLOCK)
+    if lagged:
+        chunks = chunks.withColumns({"prev_" + c: F.lag(c).over(chunk_window(KEY)) for c in lagged})
     chunks = chunks.withColumns({"sma_5": _sma(close, 5), "sma_20": _sma(close, 20)})
     chunks = _with_macd(_with_rsi(chunks, close, 14), close, 12, 26, 9)
     return own_rows(_with_bollinger(chunks, close, 20, 2.0))

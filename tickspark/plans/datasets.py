@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickspark import functions as X
 from tickspark.operators.bars import depth_hourly, hourly_rollup
 from tickspark.operators.indicators import (
-    forward_return, hour_lags, hourly_returns, lag_features, rolling_sma_vol, technical_indicators)
+    forward_return, hourly_returns, lag_features, rolling_sma_vol, technical_indicators)
 from tickspark.operators.joins import enrich_symbols, join_bars, merge_depth_hourly, pair_bars
 from tickspark.operators.ordered import INDEX, TOTAL, chunk_window, fill_forward, own_rows, row_chunks
 from tickspark.operators.ticks import (
@@ -72,8 +72,9 @@ def hourly_ml_features(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFram
     def cut(df, ts="ts_second"):
         return optional_symbol_filter(time_slice(df, start, until, ts), ids)
 
-    hourly = hour_lags(hourly_returns(hourly_rollup(cut(bt_bars), cut(tr_bars))))
-    features = enrich_symbols(technical_indicators(hourly), symbols).withColumn(
+    hourly = hourly_returns(hourly_rollup(cut(bt_bars), cut(tr_bars)))
+    measured = technical_indicators(hourly, lagged=("h_close", "h_volume"))
+    features = enrich_symbols(measured, symbols).withColumn(
         "timestamp", X.epoch_seconds("hour_bucket")).drop("h_buy_vol", "h_sell_vol")
     if topn is not None:
         features = merge_depth_hourly(features, depth_hourly(cut(topn, "ts_exchange")))
@@ -93,8 +94,8 @@ def realtime_features(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFrame
     """Recent bars with short-term mean and deviation, for inference."""
     quotes = optional_symbol_filter(recent(bt_bars, asof, lookback, "ts_second"), ids)
     trades = recent(tr_bars, asof, lookback, "ts_second")
-    joined = enrich_symbols(join_bars(quotes, trades), active_symbols(symbols))
-    return rolling_sma_vol(joined, preceding).select(
+    rolled = enrich_symbols(rolling_sma_vol(quotes, preceding), active_symbols(symbols))
+    return join_bars(rolled, trades).select(
         "ts_second", "symbol", "symbol_id", F.col("mid_close").alias("price"), F.col("spread_mean").alias("spread"),
         F.col("total_qty_mean").alias("liquidity"), "update_count", "volume", "vwap", "sma_5min", "volatility_5min",
         X.epoch_seconds("ts_second").alias("timestamp"))
@@ -103,10 +104,10 @@ def realtime_features(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFrame
 def supervised_table(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFrame, h: int = 5,
                      threshold: float = LABEL_THRESHOLD) -> DataFrame:
     """Features with the forward return, its sign and a three-class label."""
-    base = enrich_symbols(
-        pair_bars(bt_bars, tr_bars, ["trade_count", "volume_sum", "vwap", "imbalance_ratio"]), symbols)
+    # The return needs quotes only, so the windows run before the join.
+    base = pair_bars(forward_return(bt_bars, h), tr_bars, ["trade_count", "volume_sum", "vwap", "imbalance_ratio"])
     ret = F.col(f"ret_{h}s")
-    return forward_return(base, h).withColumns({
+    return enrich_symbols(base, symbols).withColumns({
         "label": F.signum(ret).cast("long"),
         "label3": F.when(ret > threshold, 1).when(ret < -threshold, -1).otherwise(0).cast("long"),
     })

@@ -96,7 +96,8 @@ def _(m):
 
 @query("s7_new_symbols", """SELECT row_number() OVER (ORDER BY symbol) + (SELECT max(id) FROM active) AS id,
        'spot' AS exchange, symbol, 'perp' AS instrument_type, split_part(symbol, '_', 1) AS base_asset, '_' AS quote_asset,
-       true AS is_active FROM symbols WHERE NOT is_active""")
+       true AS is_active FROM symbols WHERE NOT is_active AND id IN (
+       SELECT symbol_id FROM keyed WHERE event_type NOT IN ('purchase', 'error'))""")
 def _(m):
     quotes = W.accepted(W.parse_book_ticker(W.read_envelope(m.messages)))
     return W.new_symbols(quotes, m.symbols.filter("is_active"), "spot", "_")
