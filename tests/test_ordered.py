@@ -98,3 +98,12 @@ def test_quantiles(spark, p, width):
         assert cont[k] == pytest.approx(g.quantile(p))
         ordered = sorted(g)
         assert disc[k] == ordered[max(math.ceil(p * len(ordered)) - 1, 0)]
+
+
+def test_fit_block_follows_the_fullest_block(spark):
+    rows = [(1, 60 * i) for i in range(100)] + [(2, 7200 + i % 30) for i in range(90)]
+    df = spark.createDataFrame(rows, "symbol_id long, s long").select("symbol_id", F.timestamp_seconds("s").alias("ts"))
+    assert O.fit_block(df, KEY, "ts", limit=1000) == "1 day"
+    assert O.fit_block(df, KEY, "ts", limit=95) == "1 hour"
+    assert O.fit_block(df, KEY, "ts", limit=10) == "1 second"
+    assert O.fit_block(df, KEY, "ts", limit=1) == "1 millisecond"

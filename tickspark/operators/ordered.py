@@ -7,6 +7,8 @@ the few rows a piece needs from its neighbours. Results equal those of the unbou
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,23 @@ def _order_struct(order: list[str]) -> Column:
     return F.struct(*order)
 
 
+def fit_block(df: DataFrame, keys: list[str], ts: str, limit: int = 5_000_000,
+              widths: tuple[str, ...] = ("1 day", "1 hour", "10 minutes", "1 minute", "1 second", "1 millisecond")) -> str:
+    """The widest block whose fullest (key, block) has at most ``limit`` rows, else the narrowest.
+
+    For data with bursts: pass the result as ``block``. Runs one aggregation of counts, each width
+    built on the next narrower one, and brings back one number per width.
+    """
+    fullest, counts = [], None
+    for width in reversed(widths):
+        block = time_bucket(ts if counts is None else _BLOCK, width).alias(_BLOCK)
+        rows = F.count(F.lit(1)) if counts is None else F.sum("_n")
+        counts = (df if counts is None else counts).groupBy(*keys, block).agg(rows.alias("_n"))
+        fullest.append(counts.agg(F.max("_n").alias("_n")).select(F.lit(width).alias("width"), "_n"))
+    sizes = {r.width: r["_n"] or 0 for r in reduce(DataFrame.unionByName, fullest).collect()}
+    return next((w for w in widths if sizes[w] <= limit), widths[-1])
+
+
 def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list[str],
                   block: str = TICK_BLOCK, prefix: str = "prev_") -> DataFrame:
     """Add the previous row's ``values`` per key, NULL on the first row of a key.
