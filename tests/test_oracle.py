@@ -4,8 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from verification.compare import compare, connect
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from verification.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
