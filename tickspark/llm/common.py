@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -44,6 +47,29 @@ def fitting_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each Spark context."""
+    context = spark.sparkContext
+    if getattr(context, "_tickspark_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = os.path.join(tempfile.mkdtemp(prefix="tickspark-code-"), "tickspark.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(os.path.join(top, "tickspark")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, top))
+    context.addPyFile(path)
+    context._tickspark_shipped = True
+
+
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def batches_by_key(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Whole groups out of batches that are sorted by ``keys``."""
     held: list[pa.Table] = []
@@ -84,7 +110,7 @@ def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], dict[str
             if made is not None:
                 yield pa.RecordBatch.from_pydict({f.name: pa.array(made[f.name], f.type) for f in out}, out)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return map_batches(df.repartition(*keys).sortWithinPartitions(*keys), run, schema)
 
 
 def list_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
