@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickspark.llm.common import map_batches, map_groups, stored, words
-from tickspark.llm.components import components
+from tickspark.llm.components import components, named_groups, spanning_forest
 
 TILE_DOCS = 256
 TILE_GRAMS = 500_000
@@ -144,25 +144,6 @@ def stars(classes: DataFrame) -> DataFrame:
     return map_batches(rows.repartition("band", "hash").sortWithinPartitions("band", "hash", "cls"), run, "u bigint, v bigint")
 
 
-def _forest(links: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """A spanning forest of ``links`` (pairs of indices)."""
-    parent = np.arange(n)
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    kept = []
-    for a, b in links:
-        x, y = root(a), root(b)
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            kept.append((a, b))
-    return kept
-
-
 def similar(sets: list[np.ndarray], pairs: np.ndarray, threshold: float) -> np.ndarray:
     """Which of ``pairs`` of sets reach the Jaccard similarity, decided on the full sets."""
     size = np.array([len(s) for s in sets], np.int64)
@@ -236,7 +217,7 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5,
             return None
         count = np.bincount(pairs[:, 0], copies[pairs[:, 1]], len(cls)) + np.bincount(pairs[:, 1], copies[pairs[:, 0]], len(cls))
         linked = np.flatnonzero(count)
-        forest = np.array(_forest(pairs, len(cls)))
+        forest = np.array(spanning_forest(pairs, len(cls)))
         return {"u": [*cls[linked], *cls[forest[:, 0]]], "v": [*[None] * len(linked), *cls[forest[:, 1]]],
                 "n": [*count[linked].astype(np.int64), *[None] * len(forest)]}
 
@@ -276,16 +257,4 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     its rows.
     """
     signed, per_class, forest = links(docs, key, text, n, threshold, recall)
-    groups = components(forest)
-    named = per_class.join(groups, F.col("cls") == F.col("node"), "left").select(
-        "cls", "copies", "rep", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "cls").alias("component"))
-    named = stored(named, "named")
-    smallest = named.groupBy("component").agg(F.min("rep").alias("smallest"))
-    full = stored(named.join(smallest, "component").select(
-        F.col("cls").alias("_cls"), "rep", (F.col("copies") - 1 + F.col("n")).alias("n"), "smallest"), "classes-named")
-    with_class = signed.where("cls IS NOT NULL").join(full, F.col("cls") == F.col("_cls")).select(
-        key, F.col("rep").alias("class_id"), F.col("n").alias("n_links"), F.col("smallest").alias("component_id"),
-        F.col(key).eqNullSafe(F.col("smallest")).alias("kept"))
-    alone = signed.where("cls IS NULL").select(
-        key, F.col(key).alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.col(key).alias("component_id"), F.lit(True).alias("kept"))
-    return with_class.unionByName(alone)
+    return named_groups(signed, per_class, forest, key)
