@@ -1,7 +1,7 @@
 """All queries of this folder and their SQL."""
 
-from tickspark.llm import q_chat_format, q_embedding_dedup, q_language_id, q_mixing, q_ngram_join, q_packing, q_pii
+from tickspark.llm import q_chat_format, q_embedding_dedup, q_language_id, q_line_dedup, q_mixing, q_ngram_join, q_packing, q_pii
 
-MODULES = [q_chat_format, q_embedding_dedup, q_language_id, q_mixing, q_ngram_join, q_packing, q_pii]
+MODULES = [q_chat_format, q_embedding_dedup, q_language_id, q_line_dedup, q_mixing, q_ngram_join, q_packing, q_pii]
 QUERIES = {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
