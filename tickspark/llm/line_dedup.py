@@ -67,9 +67,10 @@ def later_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", min_w
     return found.groupBy("key", "h", "pos").agg(F.max("lines").alias("lines")).withColumnRenamed("key", key)
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 8) -> DataFrame:
-    """``docs`` with later copies of repeated runs taken out of ``text``, and ``n_lines`` and ``n_deleted``."""
-    docs = docs.drop("n_lines", "n_deleted")
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 8, n_lines: str = "n_lines",
+                n_deleted: str = "n_deleted") -> DataFrame:
+    """``docs`` with later copies of repeated runs taken out of ``text``, and columns ``n_lines`` and ``n_deleted``."""
+    docs = docs.drop(n_lines, n_deleted)
     spans = later_copies(docs, key, text, min_words).groupBy(F.col(key).alias("k"), F.col("h").alias("h")).agg(
         F.collect_list(F.struct("pos", "lines")).alias("runs"))
     spans = stored(spans, "deleted")
@@ -77,7 +78,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     wide = docs.join(spans.select(F.col("k").alias(k), F.col("h").alias(h), F.col("runs").alias(runs)),
                      F.col(key).eqNullSafe(F.col(k)) & (F.xxhash64(text) == F.col(h)), "left").select(*docs.columns, runs)
     place = docs.columns.index(text)
-    schema = StructType([*docs.schema.fields, StructField("n_lines", LongType()), StructField("n_deleted", LongType())])
+    schema = StructType([*docs.schema.fields, StructField(n_lines, LongType()), StructField(n_deleted, LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,6 +98,6 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
                 texts.append(t)
             columns = [*batch.columns[:-1], pa.array(total, pa.int64()), pa.array(gone, pa.int64())]
             columns[place] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "n_lines", "n_deleted"])
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], n_lines, n_deleted])
 
     return map_batches(wide, run, schema)

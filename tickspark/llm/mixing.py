@@ -20,6 +20,7 @@ table. Other columns stay where ``mixed_documents`` returns documents.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickspark.llm.common import WORD, map_batches, stored
+from tickspark.llm.common import WORD, fitting_name, map_batches, stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 ROWS_PER_BUCKET = 20_000
@@ -179,6 +180,47 @@ class Mix:
             *self.cols, F.col("_size").alias("size"), "source_size", "target", F.coalesce("_taken", F.lit(0)).alias("taken"))
 
 
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``: a row for each round in which words of a document are taken.
+
+    A document taken whole keeps its text; of others the taken stretches are left, one to a line. Rows with equal
+    key and text are one document here; what their other columns hold is taken from one of them.
+    """
+    empty, number, hashed, cuts = (fitting_name(docs, c) for c in ("key_null", "key_text", "text_hash", "cuts"))
+    named = docs.withColumn(empty, F.col(key).isNull()).withColumn(number, F.coalesce(F.col(key).cast("string"), F.lit(""))).withColumn(
+        hashed, F.xxhash64(text))
+    ids = [empty, number, hashed]
+    source = options.get("source", "source")
+    mix = plan_mix(named.select(*ids, source, text).dropDuplicates(ids), text=text, keep=ids, **options)
+    stretches = mix.parts().groupBy("sid", "_at", "round").agg(
+        F.sort_array(F.collect_list(F.struct("first", "words"))).alias(cuts))
+    wanted = stored(mix.placed.where("_size > 0").select("sid", "_at", "_size", *ids).join(stretches, ["sid", "_at"]).select(
+        *ids, F.when(F.aggregate(cuts, F.lit(0).cast("bigint"), lambda a, c: a + c["words"]) < F.col("_size"), F.col(cuts)).alias(cuts)), "taken")
+    chosen = named.dropDuplicates(ids).join(wanted, ids).select(*docs.columns, cuts)
+    place = docs.columns.index(text)
+    word = re.compile(WORD)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for t, parts in zip(batch.column(place).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+                if parts is not None:
+                    spans = [m.span() for m in word.finditer(t)]
+                    joined: list[list[int]] = []
+                    for p in parts:
+                        if joined and joined[-1][1] == p["first"]:
+                            joined[-1][1] += p["words"]
+                        else:
+                            joined.append([p["first"], p["first"] + p["words"]])
+                    t = "\n".join(t[spans[a][0]: spans[b - 1][1]] for a, b in joined)
+                texts.append(t)
+            columns = batch.columns[:-1]
+            columns[place] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+
+    return map_batches(chosen, run, docs.schema)
+
+
 def _key(seed: int, sid: int, round_: int) -> list[int]:
     return [seed, sid, round_]
 
