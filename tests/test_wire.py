@@ -28,10 +28,11 @@ def bare(spark, *messages):
     return W.read_bare(feed(spark, *messages))
 
 
-def test_envelope_routes_and_drops(spark):
+def test_envelope_routes_every_message(spark):
     got = W.read_envelope(feed(spark, wrap("bookTicker", {"s": "A"}), wrap("aggTrade", {}), wrap("depth5@100ms", depth()),
                                {"data": {}}, {"stream": "x@depth"}, "not json", wrap("kline", {}))).collect()
-    assert sorted(str(r.kind) for r in got) == ["None", "aggTrade", "bookTicker", "depthUpdate"]
+    assert sorted(str(r.kind) for r in got) == ["None"] * 4 + ["aggTrade", "bookTicker", "depthUpdate"]
+    assert sorted(r.unrouted_reason for r in got if r.kind is None) == ["no data", "no stream", "not JSON", "unknown stream"]
 
 
 def test_bare_messages_route_by_event_or_fields(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,14 +69,18 @@ def before(asof: str, interval: str) -> Column:
 
 
 def order_in_bucket(ts: Column | str, event_id: Column | str, width: str) -> Column:
-    """One BIGINT that orders the rows of a bucket by (time, id).
+    """One number that orders the rows of a bucket by (time, id), for any 64-bit id.
 
-    The offset in the bucket takes the upper bits and the id the rest. A primitive key lets min_by and
-    max_by run in a hash aggregate, where a struct key would sort the ticks first. With more id bits
-    than fit, rows of the same microsecond are ordered by the lower bits of their ids; 43 bits remain
-    for one-second buckets.
+    The offset in the bucket takes the digits above the twentieth, the id, shifted to be positive, those
+    below; a NULL id comes before all others. A decimal is a fixed-width key, which lets min_by and max_by
+    run in a hash aggregate, where a struct key would sort the ticks first.
     """
-    us = width_us(width)
-    id_bits = 63 - (us - 1).bit_length()
-    offset = F.shiftleft(F.pmod(F.unix_micros(_col(ts)), F.lit(us)), id_bits)
-    return offset.bitwiseOR(F.coalesce(_col(event_id), F.lit(0)).cast("bigint").bitwiseAND(F.lit((1 << id_bits) - 1)))
+    offset = F.pmod(F.unix_micros(_col(ts)), F.lit(width_us(width))).cast("decimal(12,0)")
+    place = F.coalesce(_col(event_id).cast("decimal(20,0)") + F.expr("9223372036854775809BD"), F.lit(0).cast("decimal(21,0)"))
+    return (offset * F.expr("100000000000000000000BD") + place).cast("decimal(35,0)")
+
+
+def utc_instant(value: str) -> datetime:
+    """The instant a text names, as a UTC time; a text without a zone is in UTC."""
+    at = datetime.fromisoformat(value.strip())
+    return at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)

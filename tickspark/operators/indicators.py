@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickspark import functions as X
-from tickspark.operators.ordered import INDEX, chunk_window, own_rows, row_chunks, with_previous
+from tickspark.operators.ordered import CHUNK, INDEX, chunk_window, own_rows, row_chunks, with_previous
 
 KEY = ["symbol_id"]
 HOUR_BLOCK = "28 days"
@@ -81,44 +81,63 @@ def rsi(bars: DataFrame, n: int = 14, close: str = "h_close", ts: str = "hour_bu
 
 def _reach(span: int) -> int:
     """Rows after which an exponential weight of this span is below double precision."""
+    if span <= 1:
+        return 1
     return math.ceil(-math.log(1e-17) / -math.log(1 - 2 / (span + 1)))
 
 
 EMA_CHUNK = 1000
+# Powers relative to the chunk's start stay within double range up to this natural logarithm.
+MAX_POWER = 600.0
 
 
-def _ema(value: str, span: int) -> Column:
-    """Exponential mean with weights (1 - a)^age normalised by their sum, a = 2 / (span + 1).
+def _chunk_size(reach: int) -> int:
+    return max(EMA_CHUNK, reach)
 
-    Weights are taken relative to the chunk's start, which turns the mean into one running sum:
-    constant work per row. The chunk and its halo are short enough to stay within double range.
+
+def _ema(value: str, span: int, size: int) -> Column:
+    """Exponential mean with weights (1 - a)^age normalised by their sum, a = 2 / (span + 1), in chunks of ``size``.
+
+    A NULL has no weight but counts as a step of age, and takes the mean of the rows before it. Weights
+    are taken relative to the chunk's start, which turns the mean into two running sums: constant work
+    per row. Where the powers of a long chunk leave double range, the few rows that still weigh
+    anything, fewer than a fifteenth of the chunk, are folded instead.
     """
+    if span <= 1:
+        return F.last(value, ignorenulls=True).over(chunk_window(KEY, Window.unboundedPreceding, 0))
     keep = 1.0 - 2.0 / (span + 1.0)
-    at = F.pmod(F.col(INDEX) - 1, F.lit(EMA_CHUNK)) + F.when(F.col("_halo"), -EMA_CHUNK).otherwise(0)
-    running = F.sum(F.col(value) * F.pow(F.lit(keep), -at.cast("double"))).over(
-        chunk_window(KEY, Window.unboundedPreceding, 0))
-    weights = (1.0 - F.pow(F.lit(keep), F.col(INDEX).cast("double"))) / (1.0 - keep)
-    return F.pow(F.lit(keep), at.cast("double")) * running / weights
+    if -math.log(keep) * size > MAX_POWER:
+        rows = F.collect_list(F.struct(F.col(value).alias("v"))).over(chunk_window(KEY, -_reach(span), 0))
+        zero = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("weight"))
+        return F.aggregate(rows, zero, lambda acc, row: F.struct(
+            (acc["sum"] * keep + F.coalesce(row["v"].cast("double"), F.lit(0.0))).alias("sum"),
+            (acc["weight"] * keep + F.when(row["v"].isNull(), 0.0).otherwise(1.0)).alias("weight")),
+            lambda acc: F.when(acc["weight"] > 0, acc["sum"] / acc["weight"]))
+    at = (F.col(INDEX) - 1 - F.col(CHUNK) * size).cast("double")
+    weight = F.when(F.col(value).isNotNull(), F.pow(F.lit(keep), -at))
+    past = chunk_window(KEY, Window.unboundedPreceding, 0)
+    return F.sum(F.col(value) * weight).over(past) / F.sum(weight).over(past)
 
 
 def ema(bars: DataFrame, span: int, value: str = "h_close", ts: str = "hour_bucket",
         name: str | None = None) -> DataFrame:
-    chunks = row_chunks(bars, KEY, [ts], before=_reach(span), rows=EMA_CHUNK, block=HOUR_BLOCK)
-    return own_rows(chunks.withColumn(name or f"ema_{span}", _ema(value, span)))
+    size = _chunk_size(_reach(span))
+    chunks = row_chunks(bars, KEY, [ts], before=_reach(span), rows=size, block=HOUR_BLOCK)
+    return own_rows(chunks.withColumn(name or f"ema_{span}", _ema(value, span, size)))
 
 
 def macd(bars: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, close: str = "h_close",
          ts: str = "hour_bucket") -> DataFrame:
     """Difference of two exponential means and its own exponential mean, in one chunking."""
-    reach = _reach(slow) + _reach(signal)
-    chunks = row_chunks(bars, KEY, [ts], before=reach, rows=EMA_CHUNK, block=HOUR_BLOCK)
-    return own_rows(_with_macd(chunks, close, fast, slow, signal))
+    reach = max(_reach(fast), _reach(slow)) + _reach(signal)
+    chunks = row_chunks(bars, KEY, [ts], before=reach, rows=_chunk_size(reach), block=HOUR_BLOCK)
+    return own_rows(_with_macd(chunks, close, fast, slow, signal, _chunk_size(reach)))
 
 
-def _with_macd(chunks: DataFrame, close: str, fast: int, slow: int, signal: int) -> DataFrame:
+def _with_macd(chunks: DataFrame, close: str, fast: int, slow: int, signal: int, size: int) -> DataFrame:
     return (
-        chunks.withColumn("macd", _ema(close, fast) - _ema(close, slow))
-        .withColumn("macd_signal", _ema("macd", signal))
+        chunks.withColumn("macd", _ema(close, fast, size) - _ema(close, slow, size))
+        .withColumn("macd_signal", _ema("macd", signal, size))
     )
 
 
@@ -153,9 +172,9 @@ def technical_indicators(hourly: DataFrame, close: str = "h_close", ts: str = "h
     ``lagged`` columns get their previous value as ``prev_<column>`` on the way.
     """
     reach = _reach(26) + _reach(9)
-    chunks = row_chunks(hourly, KEY, [ts], before=reach, rows=EMA_CHUNK, block=HOUR_BLOCK)
+    chunks = row_chunks(hourly, KEY, [ts], before=reach, rows=_chunk_size(reach), block=HOUR_BLOCK)
     if lagged:
         chunks = chunks.withColumns({"prev_" + c: F.lag(c).over(chunk_window(KEY)) for c in lagged})
     chunks = chunks.withColumns({"sma_5": _sma(close, 5), "sma_20": _sma(close, 20)})
-    chunks = _with_macd(_with_rsi(chunks, close, 14), close, 12, 26, 9)
+    chunks = _with_macd(_with_rsi(chunks, close, 14), close, 12, 26, 9, _chunk_size(reach))
     return own_rows(_with_bollinger(chunks, close, 20, 2.0))

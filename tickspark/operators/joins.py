@@ -4,6 +4,9 @@ measured size is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles oth
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,8 +106,10 @@ def semi_symbols(df: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def anti_existing(new: DataFrame, live: DataFrame, key: list[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not stored in ``live`` yet."""
-    return new.join(live.select(*key), key, "left_anti")
+    """Rows of ``new`` whose key is not stored in ``live`` yet. NULL is a key value like any other."""
+    stored = live.select(*[F.col(k).alias(f"_stored_{k}") for k in key])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_stored_{k}")) for k in key])
+    return new.join(stored, same, "left_anti")
 
 
 def merge_depth_hourly(hourly: DataFrame, depth: DataFrame) -> DataFrame:

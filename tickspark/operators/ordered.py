@@ -125,10 +125,9 @@ def time_halo(df: DataFrame, ts: str, reach: str, block: str) -> DataFrame:
     """Cut rows into time blocks, copying rows within ``reach`` of the next block into it.
 
     For trailing time ranges: a range frame of ``reach`` over (key, ``_chunk``) is exact on the
-    rows that are not ``_halo``.
+    rows that are not ``_halo``. Blocks are at least as long as the reach.
     """
-    span = width_us(block)
-    assert width_us(reach) <= span, "the reach must not exceed the block"
+    span = max(width_us(block), width_us(reach))
     us = F.unix_micros(F.col(ts))
     home = F.floor(us / span)
     places = F.array_compact(F.array(home, F.when(F.pmod(us, F.lit(span)) >= span - width_us(reach), home + 1)))

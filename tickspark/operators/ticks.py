@@ -47,7 +47,7 @@ def time_slice(df: DataFrame, start: str, end: str, ts: str = "ts_exchange") ->
     sliced = df.filter((F.col(ts) >= X.instant(start)) & (F.col(ts) < X.instant(end)))
     if "event_date" in df.columns:
         sliced = sliced.filter(F.col("event_date").between(
-            F.to_date(F.lit(start[:10])), F.to_date(F.lit(end[:10]))))
+            F.lit(X.utc_instant(start).date()), F.lit(X.utc_instant(end).date())))
     return sliced
 
 
@@ -83,12 +83,24 @@ def decimal_to_double(df: DataFrame) -> DataFrame:
 
 
 def to_feature_decimals(features: DataFrame) -> DataFrame:
-    """Cast features to the sink's decimals; a value that does not fit becomes NULL."""
+    """Cast features to the sink's decimals; a value that does not fit becomes NULL.
+
+    :func:`feature_overflows` lists those values.
+    """
     return features.select(*[
         F.col(c).try_cast(T.DecimalType(*FEATURE_DECIMALS[c])).alias(c) if c in FEATURE_DECIMALS else F.col(c)
         for c in features.columns])
 
 
+def feature_overflows(features: DataFrame, key: list[str]) -> DataFrame:
+    """``key``, ``feature`` and ``value`` of every value that :func:`to_feature_decimals` cannot keep."""
+    listed = F.array(*[F.struct(
+        F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"),
+        F.col(c).try_cast(T.DecimalType(*FEATURE_DECIMALS[c])).isNull().alias("lost"))
+        for c in features.columns if c in FEATURE_DECIMALS])
+    return features.select(*key, F.inline(F.filter(listed, lambda v: v["value"].isNotNull() & v["lost"]))).drop("lost")
+
+
 def tick_gaps(bt: DataFrame, block: str = TICK_BLOCK) -> DataFrame:
     """Gaps between consecutive ticks per symbol; only symbols with a gap over a minute."""
     us = X.elapsed_us("prev_ts_exchange", "ts_exchange")

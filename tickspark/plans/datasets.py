@@ -194,13 +194,17 @@ def _band(position, bands):
     return expr
 
 
-def tier_dimension(ranked: DataFrame, tiers=None, priorities=None, frequencies=None,
-                   position: str = "position") -> DataFrame:
-    """Tier, priority and frequency class of each symbol from its 0-based place in the symbol list."""
-    at = F.col(position)
-    return ranked.select("symbol", position, _band(at, tiers or LIQUIDITY_TIERS).alias("liquidity_tier"),
-                         _band(at, priorities or PRIORITY_GROUPS).alias("priority"),
-                         _band(at, frequencies or FREQUENCY_CLASSES).alias("frequency"))
+def tier_dimension(ranked: DataFrame, tiers=None, priorities=None, frequencies=None, position: str = "position",
+                   priority_position: str | None = None, frequency_position: str | None = None) -> DataFrame:
+    """Tier, priority and frequency class of each symbol from its 0-based places in the three symbol lists.
+
+    The lists rank symbols differently; a symbol that a list lacks has a NULL place and no class there. Places not
+    named are those in the first list.
+    """
+    at = {"liquidity_tier": (position, tiers or LIQUIDITY_TIERS),
+          "priority": (priority_position or position, priorities or PRIORITY_GROUPS),
+          "frequency": (frequency_position or position, frequencies or FREQUENCY_CLASSES)}
+    return ranked.select("symbol", position, *[_band(F.col(p), bands).alias(name) for name, (p, bands) in at.items()])
 
 
 def enrich_tier(df: DataFrame, tiers: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -35,10 +38,13 @@ def build_session(app: str = "tickspark", master: str | None = None, **conf: str
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for checkpoints and intermediate tables.
 
-    It lies under the shared folder the cluster names in ``spark.checkpoint.dir``; a
-    temporary folder is used only where that is unset (local tests).
+    It lies under the shared folder the cluster names in ``spark.checkpoint.dir``. Only a local master may leave
+    that unset: then it is a temporary folder, removed when Python ends.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         base = tempfile.mkdtemp(prefix="tickspark-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -137,9 +137,10 @@ def load_fallback_csv(spark: SparkSession, path: str, schema=L1_CSV) -> DataFram
 def retention(spark: SparkSession, path: str, cutoff: str, ts: str = "ts_exchange",
               sort: list[str] | None = None) -> None:
     """Drop rows before ``cutoff``: whole days by directory, the boundary day by rewriting it."""
-    boundary = cutoff[:10]
+    at = X.utc_instant(cutoff)
+    boundary = at.date().isoformat()
     days = _days(spark, path)
-    if boundary in days and cutoff[10:].strip(" T0:.") != "":
+    if boundary in days and at.time() != at.time().min:
         day = spark.read.parquet(path).filter(F.col(DATE) == F.to_date(F.lit(boundary)))
         kept = day.filter(F.col(ts) >= X.instant(cutoff))
         if kept.isEmpty():
@@ -153,14 +154,14 @@ def archive(spark: SparkSession, path: str, archive_path: str, cutoff: str, ts:
             sort: list[str] | None = None) -> None:
     """Copy rows before ``cutoff`` to the archive, then drop them from the live table.
 
-    The copy overwrites the archive's days, so a repeated run leaves no duplicates; dropping starts
-    only after the copy has been committed.
+    The copy overwrites the archive's days and equal rows are stored once, in the first run as in a repeated
+    one; dropping starts only after the copy has been committed.
     """
     live = spark.read.parquet(path)
-    old = live.filter((F.col(DATE) <= F.to_date(F.lit(cutoff[:10]))) & (F.col(ts) < X.instant(cutoff)))
+    old = live.filter((F.col(DATE) <= F.lit(X.utc_instant(cutoff).date())) & (F.col(ts) < X.instant(cutoff)))
     if _days(spark, archive_path):
-        kept = _touched_days(spark.read.parquet(archive_path), old)
-        old = old.unionByName(kept).dropDuplicates()
+        old = old.unionByName(_touched_days(spark.read.parquet(archive_path), old))
+    old = old.dropDuplicates()
     write_partitioned(old, archive_path, sort or ["symbol_id", ts], "overwrite", partitionOverwriteMode="dynamic",
                       compression="zstd")
     retention(spark, path, cutoff, ts, sort)

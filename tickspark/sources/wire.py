@@ -27,19 +27,35 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def read_envelope(df: DataFrame) -> DataFrame:
-    """Split ``{stream, data}`` and name the event kind; messages lacking either are dropped."""
+    """Split ``{stream, data}`` and name the event kind.
+
+    A message without either, or of a stream nobody reads, has no kind, keeps its text as ``data`` and says why in
+    ``unrouted_reason``; :func:`unrouted` lists such messages.
+    """
     kind = F.lit(None).cast("string")
     for mark, name in reversed(STREAM_MARKS.items()):
         kind = F.when(F.col("stream").contains(mark), name).otherwise(kind)
     rest = [c for c in df.columns if c != "value"]
+    stream, data = F.col("_e.stream"), F.col("_e.data")
+    whole = stream.isNotNull() & data.isNotNull()
+    reason = (
+        F.when(whole & F.col("kind").isNotNull(), None).when(whole, "unknown stream")
+        .when(F.get_json_object("value", "$").isNull(), "not JSON").when(stream.isNull(), "no stream").otherwise("no data")
+    )
     return (
         _once(df, "_e", F.from_json("value", ENVELOPE))
-        .select(*rest, F.col("_e.stream").alias("stream"), F.col("_e.data").alias("data"))
-        .filter("stream IS NOT NULL AND data IS NOT NULL")
-        .withColumn("kind", kind)
+        .select("value", *rest, "_e", stream.alias("stream"), F.when(whole, data).otherwise(F.col("value")).alias("data"))
+        .withColumn("kind", F.when(whole, kind))
+        .select(*rest, "stream", "data", "kind", reason.alias("unrouted_reason"))
     )
 
 
+def unrouted(envelopes: DataFrame) -> DataFrame:
+    """Messages that no parser takes, shaped like :func:`rejected`."""
+    return envelopes.filter("unrouted_reason IS NOT NULL").select(
+        "data", _ingest(envelopes).alias("ts_ingest"), F.col("unrouted_reason").alias("reject_reason"))
+
+
 def read_bare(df: DataFrame) -> DataFrame:
     """Messages without an envelope: routed by the event field, else by the fields present."""
     def has(path):
@@ -72,8 +88,14 @@ def _side(name: str) -> Column:
     return F.from_json(_text(name), LEVELS_WIRE).alias(name)
 
 
+def _finite(value: Column) -> Column:
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def _number(field: str, kind: str = "double") -> Column:
-    return _text(field).try_cast(kind)
+    """The field as a number; NULL for text that is none, and for what is not finite."""
+    value = _text(field).try_cast(kind)
+    return _finite(value) if kind == "double" else value
 
 
 def _parsed(df: DataFrame, kind: str, columns: dict[str, Column], required: list[str]) -> DataFrame:
@@ -117,9 +139,12 @@ def parse_agg_trade(df: DataFrame, time_field: str = "E") -> DataFrame:
 
 
 def _levels(side: str) -> Column:
-    return F.transform(F.col("_sides")[side], lambda level: F.struct(
+    levels = F.transform(F.col("_sides")[side], lambda level: F.struct(
         F.try_element_at(level, F.lit(1)).try_cast("double").alias("price"),
         F.try_element_at(level, F.lit(2)).try_cast("double").alias("qty")))
+    endless = F.exists(levels, lambda v: F.coalesce(~(F.abs(v["price"]) < float("inf")), F.lit(False))
+                       | F.coalesce(~(F.abs(v["qty"]) < float("inf")), F.lit(False)))
+    return F.when(~endless, levels)
 
 
 def parse_depth(df: DataFrame, missing_prev: int | None = None) -> DataFrame:
@@ -174,9 +199,14 @@ def landing_rows(parsed_depth: DataFrame) -> DataFrame:
 
 
 def attach_symbol_id(rows: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Replace the symbol text by its id; symbols not listed yet keep a NULL id."""
+    """Replace the symbol text by its id. Rows of unlisted symbols are not among them: see :func:`unlisted`."""
     dim = symbols.select(F.col("id").alias("symbol_id"), "symbol")
-    return rows.join(dim, "symbol", "left").drop("symbol")
+    return rows.join(dim, "symbol").drop("symbol")
+
+
+def unlisted(rows: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Rows, with their symbol text, whose symbol is not listed."""
+    return rows.join(symbols.select("symbol"), "symbol", "left_anti")
 
 
 def new_symbols(rows: DataFrame, symbols: DataFrame, exchange: str, quote: str = "USDT") -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,8 +69,8 @@ def read_bars(spark: SparkSession, path: str, ts: str = "ts_second", asof: str |
 def refresh_bars(spark: SparkSession, ticks: str, bars_path: str, start: str, end: str, w: str = "1 second",
                  bars: Callable = quote_bars_mid, ts: str = "ts_second") -> None:
     """Recompute the bars of the days that ``[start, end)`` touches from the stored ticks."""
-    first = datetime.fromisoformat(start).date()
-    last = (datetime.fromisoformat(end) - timedelta(microseconds=1)).date() + timedelta(days=1)
+    first = X.utc_instant(start).date()
+    last = (X.utc_instant(end) - timedelta(microseconds=1)).date() + timedelta(days=1)
     export_parquet(bars(scan_ticks(spark, ticks, first.isoformat(), last.isoformat()), w), bars_path, ts)
 
 
@@ -98,12 +99,24 @@ def stream_joined_bars(bt: DataFrame, tr: DataFrame, w: str = "1 second", latene
     return q.join(t, ["window", "symbol_id"], "left").withColumn("ts_bucket", F.col("window.start"))
 
 
+def registered_symbols(spark: SparkSession, symbols: DataFrame, root: str, before: int | None = None) -> DataFrame:
+    """``symbols`` and those that an ingest into ``root`` has added (by batches ``before`` a number)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/symbols")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return symbols
+    added = spark.read.schema(f"id bigint, symbol string, {VERSION} bigint").parquet(f"{root}/symbols")
+    added = added if before is None else added.filter(F.col(VERSION) < before)
+    return symbols.select("id", "symbol").unionByName(added.select(F.col("id").cast(symbols.schema["id"].dataType), "symbol"))
+
+
 def stream_ingest(messages: DataFrame, symbols: DataFrame, root: str, checkpoint: str,
-                  every: str | None = "10 seconds", time_field: str = "E") -> StreamingQuery:
-    """Fan one feed out into the three fact tables and a table of rejects.
+                  every: str | None = "10 seconds", time_field: str = "E", exchange: str = "feed") -> StreamingQuery:
+    """Fan one feed out into the three fact tables, a table of added symbols and a table of rejects.
 
-    Each batch is parsed and written idempotently by key, so replays after a failure add nothing.
-    The checkpoint takes the place of in-memory buffers: stopping loses no message.
+    Symbols not listed yet are registered before their rows are written, in a partition of the batch. Each batch
+    is parsed and written idempotently by key, so replays after a failure add nothing. Every message is either in a
+    fact table or, with a reason, among the rejects. The checkpoint takes the place of in-memory
+    buffers: stopping loses no message.
     """
     parsers = {
         "book_ticker": wire.parse_book_ticker,
@@ -112,14 +125,19 @@ def stream_ingest(messages: DataFrame, symbols: DataFrame, root: str, checkpoint
     }
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         env = wire.read_envelope(batch).persist()
-        rejects = []
-        for table, parse in parsers.items():
-            parsed = parse(env)
-            rows = wire.attach_symbol_id(wire.accepted(parsed), symbols)
-            write_ticks_idempotent(rows, f"{root}/{table}", KEYS[table])
-            rejects.append(wire.rejected(parsed).withColumn("table_name", F.lit(table)))
-        bad = rejects[0].unionByName(rejects[1]).unionByName(rejects[2])
+        parsed = {table: parse(env) for table, parse in parsers.items()}
+        seen = reduce(DataFrame.unionByName, [wire.accepted(p).select("symbol") for p in parsed.values()])
+        known = registered_symbols(spark, symbols, root, batch_id)
+        added = wire.new_symbols(seen, known, exchange)
+        (added.withColumn("id", F.col("id").cast("bigint")).withColumn(VERSION, F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(VERSION).parquet(f"{root}/symbols"))
+        listed = registered_symbols(spark, symbols, root, batch_id + 1)
+        bad = wire.unrouted(env).withColumn("table_name", F.lit(None).cast("string"))
+        for table, rows in parsed.items():
+            write_ticks_idempotent(wire.attach_symbol_id(wire.accepted(rows), listed), f"{root}/{table}", KEYS[table])
+            bad = bad.unionByName(wire.rejected(rows).withColumn("table_name", F.lit(table)))
         (bad.withColumn(VERSION, F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(VERSION).parquet(f"{root}/rejects"))
         env.unpersist()
@@ -159,11 +177,37 @@ def ingest_rates(events: DataFrame, length: str = "5 minutes", slide: str = "1 m
     ).select(F.col("window"), F.col("window.start").alias("window_start"), "rows_per_second", "errors_per_second")
 
 
-def low_ingest_alert(rates: DataFrame, min_rows: float = MIN_ROWS_PER_SECOND,
-                     max_errors: float = MAX_ERRORS_PER_SECOND) -> DataFrame:
-    """Windows in which too few rows arrived or too many failed."""
+def with_silent_windows(rates: DataFrame, asof: str | None = None, slide: str = "1 minute") -> DataFrame:
+    """Stored rates with a row of zeros for every window in which nothing came, from the first window to the last
+    one, or to the last that starts before ``asof``."""
+    ends = rates.agg(F.min("window_start").alias("first"), F.max("window_start").alias("last"))
+    last = F.col("last") if asof is None else X.time_bucket(X.instant(asof), slide)
+    step = F.make_dt_interval(secs=F.lit(X.width_us(slide) / 1e6))
+    grid = ends.filter("first IS NOT NULL").select(F.explode(F.sequence("first", last, step)).alias("window_start"))
+    filled = grid.join(rates.drop("window"), "window_start", "left")
+    return filled.select("window_start", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("rows_per_second", "errors_per_second")])
+
+
+def low_ingest_alert(rates: DataFrame, min_rows: float = MIN_ROWS_PER_SECOND, max_errors: float = MAX_ERRORS_PER_SECOND,
+                     hold: int = 1, slide: str = "1 minute") -> DataFrame:
+    """Windows in which too few rows arrived or too many failed.
+
+    With ``hold``, only where the same limit was broken in that many windows in a row. Silence is seen in rates that
+    went through :func:`with_silent_windows`.
+    """
     flagged = rates.withColumns({
         "low_ingest": F.col("rows_per_second") < min_rows,
         "high_errors": F.col("errors_per_second") > max_errors,
     })
+    if hold > 1:
+        # A window within limits clears itself and the ones that would need it; so do those before the first.
+        steps = F.sequence(F.lit(0), F.lit(hold - 1))
+        step = X.width_us(slide)
+        start = F.unix_micros("window_start")
+        for flag in ("low_ingest", "high_errors"):
+            good = flagged.filter(~F.col(flag)).select(start.alias("_at"))
+            early = flagged.agg((F.min(start) - step).alias("_at")).filter("_at IS NOT NULL")
+            cleared = good.unionByName(early).select(F.explode(F.transform(steps, lambda i: F.col("_at") + i * step)).alias("_cleared")).distinct()
+            flagged = flagged.withColumn("_start", start).join(cleared, F.col("_start") == F.col("_cleared"), "left").withColumn(
+                flag, F.col(flag) & F.col("_cleared").isNull()).drop("_start", "_cleared")
     return flagged.filter("low_ingest OR high_errors")
