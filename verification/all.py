@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from verification import bars, features, feed, quality, ticks  # noqa: F401
+from verification import bars, edges, features, feed, quality, ticks  # noqa: F401
