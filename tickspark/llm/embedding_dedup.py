@@ -93,7 +93,8 @@ def turned(vectors: DataFrame, key: str, column: str, label: str, width: float)
                 space.append(xxhash.xxh3_64_intdigest(where) - (1 << 63))
                 cell.append([*lead.tolist(), *[0] * (LEAD - len(lead))])
                 unit_.append(u.tobytes())
-                given.append(v.tobytes())
+                top = np.abs(v).max()
+                given.append((v if 1e-100 < top < 1e100 else v / top).tobytes())  # squares must neither vanish nor overflow
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(cls, pa.int64()), pa.array(space, pa.int64()), pa.array(cell, pa.list_(pa.int64())),
                  pa.array(unit_, pa.binary()), pa.array(given, pa.binary())], [key, "cls", "space", "cell", "unit", "given"])

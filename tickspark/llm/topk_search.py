@@ -13,7 +13,7 @@ Groups of queries and parts are compared in blocks by their balls alone. The wor
 that its bound cannot rule out.
 
 Defined cases: rows with a null key, or a vector that is null, empty or holds null or non-finite components, take no
-part. Rows of one key count once, with the smallest vector; a key is no candidate for itself. Ties go to the
+part. Rows of one key count once, with the vector whose bytes come first; a key is no candidate for itself. Ties go to the
 smaller key. Vectors meet only vectors of their length. A query without candidates has no rows. Scores beyond
 64 bits stop at the largest number. Empty tables give empty tables. Other columns are ignored.
 """
@@ -214,7 +214,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
             dot, nq, np_ = (np.array([f(a, b) for a, b in zip(qc, pc)]) for f in (
                 lambda a, b: a @ b, lambda a, b: np.linalg.norm(a), lambda a, b: np.linalg.norm(b)))
             bound = dot + qr * np_ + pr * nq + qr * pr
-            keep = pa.array(bound + 1e-6 * (1 + np.abs(bound)) >= worst)
+            keep = pa.array(~(bound + 1e-6 * (1 + np.abs(bound)) < worst))  # a bound that overflows rules nothing out
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["grp", "part"])
 
     pairs = map_batches(met.select("grp", "part", "qc", "center", "qr", "radius", "worst"), reach, "grp bigint, part bigint")
