@@ -54,9 +54,11 @@ def _sma(close: str, n: int) -> Column:
     return _full(F.avg, close, n)
 
 
-def sma(bars: DataFrame, n: int, close: str = "h_close", ts: str = "hour_bucket") -> DataFrame:
-    chunks = row_chunks(bars, KEY, [ts], before=n - 1, block=HOUR_BLOCK)
-    return own_rows(chunks.withColumn(f"sma_{n}", _sma(close, n)))
+def sma(bars: DataFrame, n: int | list[int], close: str = "h_close", ts: str = "hour_bucket") -> DataFrame:
+    """Plain rolling means over one or more spans, in one chunking."""
+    spans = [n] if isinstance(n, int) else n
+    chunks = row_chunks(bars, KEY, [ts], before=max(spans) - 1, block=HOUR_BLOCK)
+    return own_rows(chunks.withColumns({f"sma_{s}": _sma(close, s) for s in spans}))
 
 
 def _with_rsi(chunks: DataFrame, close: str, n: int) -> DataFrame:

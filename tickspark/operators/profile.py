@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickspark import functions as X
 from tickspark.operators.joins import enrich_symbols, left_recent_join
-from tickspark.operators.ordered import quantile_cont
+from tickspark.operators.ordered import value_ranks
 from tickspark.operators.ticks import active_symbols, recent
 
 BYTES_PER_QUOTE = 76
@@ -66,14 +66,26 @@ def spread_stats(bt: DataFrame, denominator: str = "bid") -> DataFrame:
 
 
 def latency_stats(df: DataFrame, p: float = 0.95) -> DataFrame:
-    """Latency moments and the exact interpolated quantile per symbol."""
-    base = df.select("symbol_id", _latency().alias("lat"), X.elapsed_us("ts_exchange", "ts_ingest").alias("us"))
-    moments = base.groupBy("symbol_id").agg(
-        F.avg("lat").alias("avg_latency_ms"), F.min("lat").alias("min_latency_ms"),
-        F.max("lat").alias("max_latency_ms"), F.stddev_samp("lat").alias("latency_stddev"))
-    tail = quantile_cont(base, ["symbol_id"], "us", p, "_p").select(
-        "symbol_id", (F.col("_p") / 1000.0).alias("p95_latency_ms"))
-    return moments.join(tail, "symbol_id", "left")
+    """Latency moments and the exact interpolated quantile per symbol, all from the counts of equal latencies."""
+    us = df.select("symbol_id", X.elapsed_us("ts_exchange", "ts_ingest").alias("us"))
+    ranks = value_ranks(us, ["symbol_id"], "us", 65_536)
+    at = F.lit(p) * (F.col("n") - 1)
+    below, above = F.floor(at), F.ceil(at)
+    covers = lambda rank: (F.col("lo") <= rank) & (F.col("hi") >= rank)
+    n, ms = (F.col("hi") - F.col("lo") + 1).cast("double"), F.col("us") / 1000.0
+    # Deviations from the symbol's least latency: sums of squares of large numbers would lose digits.
+    least = ranks.groupBy("symbol_id").agg(F.min("us").alias("_least"))
+    off = (F.col("us") - F.col("_least")) / 1000.0
+    low, high = F.max(F.when(covers(below), F.col("us"))), F.max(F.when(covers(above), F.col("us")))
+    total, first, second = F.sum(n), F.sum(n * off), F.sum(n * off * off)
+    sums = ranks.join(least, "symbol_id").groupBy("symbol_id").agg(
+        F.min(ms).alias("min_latency_ms"), F.max(ms).alias("max_latency_ms"), total.alias("_n"), first.alias("_first"),
+        second.alias("_second"), ((low + (high - low) * F.max(at - below)) / 1000.0).alias("p95_latency_ms"))
+    spread = (F.col("_second") - F.col("_first") * F.col("_first") / F.col("_n")) / (F.col("_n") - 1)
+    moments = sums.select(
+        "symbol_id", (F.col("min_latency_ms") + F.col("_first") / F.col("_n")).alias("avg_latency_ms"), "min_latency_ms",
+        "max_latency_ms", F.when(F.col("_n") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("latency_stddev"), "p95_latency_ms")
+    return df.select("symbol_id").distinct().join(moments, "symbol_id", "left")
 
 
 def daily_volume(bt: DataFrame) -> DataFrame:
@@ -264,16 +276,19 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def both_sides(de: DataFrame, head: list, bid: str, ask: str, level: str, qty: str) -> DataFrame:
+    """``head``, ``side``, ``level`` (from 0), ``price`` and ``qty`` of every level, from one pass over the updates."""
+    def tagged(name, column):
+        return F.transform(F.coalesce(column, F.array()), lambda v, i: F.struct(
+            F.lit(name).alias("side"), i.alias(level), v["price"].alias("price"), v["qty"].alias(qty)))
+
+    return de.select(*head, F.inline(F.concat(tagged(bid, "bids"), tagged(ask, "asks"))))
+
+
 def depth_to_levels(de: DataFrame) -> DataFrame:
     """One row per side and level of every depth update."""
     head = ["symbol_id", "ts_exchange", "ts_ingest", F.col("final_update_id").alias("update_id")]
-
-    def side(name, column):
-        return de.select(*head, F.lit(name).alias("side"), F.posexplode(column).alias("price_level", "_l")).select(
-            "symbol_id", "ts_exchange", "ts_ingest", "update_id", "side", "price_level",
-            F.col("_l")["price"].alias("price"), F.col("_l")["qty"].alias("quantity"))
-
-    return union_all(side("bid", "bids"), side("ask", "asks"))
+    return both_sides(de, head, "bid", "ask", "price_level", "quantity")
 
 
 def top_updated(bt: DataFrame, symbols: DataFrame, asof: str, interval: str = "60 MINUTES", n: int = 15):

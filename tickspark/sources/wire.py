@@ -58,10 +58,12 @@ def unrouted(envelopes: DataFrame) -> DataFrame:
 
 def read_bare(df: DataFrame) -> DataFrame:
     """Messages without an envelope: routed by the event field, else by the fields present."""
+    parsed = _once(df, "_m", F.from_json("value", MESSAGE))
+
     def has(path):
-        return F.get_json_object("value", f"$.{path}").isNotNull()
+        return _text(path).isNotNull()
 
-    event = F.get_json_object("value", "$.e")
+    event = _text("e")
     kind = (
         F.when(event.isin(BOOK_TICKER, AGG_TRADE, DEPTH), event)
         .when(event.isNotNull(), None)
@@ -69,7 +71,7 @@ def read_bare(df: DataFrame) -> DataFrame:
         .when(has("B") & has("A"), BOOK_TICKER)
         .when(has("U"), DEPTH)
     )
-    return df.select(*[c for c in df.columns if c != "value"], F.col("value").alias("data"), kind.alias("kind"))
+    return parsed.select(*[c for c in df.columns if c != "value"], F.col("value").alias("data"), kind.alias("kind"))
 
 
 def _ingest(df: DataFrame) -> Column:

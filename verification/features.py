@@ -282,7 +282,7 @@ def full(agg, col, n):
 @query("i1_sma", f"SELECT hour_bucket, symbol_id, h_close, {full('avg', 'h_close', 5)} AS sma_5, "
        f"{full('avg', 'h_close', 20)} AS sma_20 FROM {CLOSES}", dbl="h_close sma_5 sma_20")
 def _(m):
-    return I.sma(I.sma(closes(m), 5), 20)
+    return I.sma(closes(m), [5, 20])
 
 
 RSI = f"""SELECT *, CASE WHEN loss > 0 THEN 100 - 100 / (1 + gain / loss) WHEN gain > 0 THEN 100 END AS rsi FROM (

@@ -6,6 +6,7 @@ from tickspark import functions as X
 from tickspark.operators import bars as B
 from tickspark.operators import joins as J
 from tickspark.operators import micro as M
+from tickspark.operators.profile import both_sides
 from tickspark.operators.ticks import time_slice
 from tickspark.schemas import KEYS, L1_CSV
 from tickspark.session import work_dir
@@ -59,11 +60,7 @@ def _(m):
     rows = W.accepted(W.parse_depth(W.read_envelope(m.messages)))
     ids = ["symbol", "ts_ingest", "ts_exchange", "first_update_id", "final_update_id", "prev_final_update_id"]
 
-    def side(tag, column):
-        return rows.select(*ids, F.lit(tag).alias("side"), F.posexplode(column).alias("level", "_l")).select(
-            *ids, "side", "level", "_l.price", "_l.qty")
-
-    return side("b", "bids").unionByName(side("a", "asks"))
+    return both_sides(rows, ids, "b", "a", "level", "qty")
 
 
 @query("s5_validate_depth_message", """SELECT kind, kind = 'depthUpdate' AS is_valid, n FROM (
