@@ -1,5 +1,8 @@
 """Indicators and rolling features against pandas, with chunks small enough to split every symbol."""
 
+import math
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -159,3 +162,24 @@ def test_market_features_walk(spark, monkeypatch, rows):
         assert r.price_volatility == pytest.approx(float(np.std(steps)) if steps else 0.0, abs=1e-9)
         prev[symbol] = (b, a, bq, aq)
     assert len(got) == len(data)
+
+
+def test_exponential_means_of_any_span_and_nulls(spark):
+    rng = random.Random(11)
+    close = [None if rng.random() < 0.1 else 100 + rng.gauss(0, 5) for _ in range(3200)]
+    rows = [(1, i * 3600, c) for i, c in enumerate(close)]
+    bars = spark.createDataFrame(rows, "symbol_id bigint, s bigint, h_close double").withColumn(
+        "hour_bucket", F.timestamp_seconds("s")).drop("s")
+    series = pd.Series([math.nan if c is None else c for c in close])
+    for span in (1, 2, 3, 12, 60, 200):
+        got = [r[0] for r in I.ema(bars, span, name="e").orderBy("hour_bucket").select("e").collect()]
+        for a, b in zip(got, series.ewm(span=span, adjust=True).mean()):
+            assert (a is None and math.isnan(b)) or math.isclose(a, b, rel_tol=1e-9), span
+    plain = pd.Series([100 + rng.gauss(0, 5) for _ in range(3000)])
+    bars = spark.createDataFrame([(1, i * 3600, c) for i, c in enumerate(plain)], "symbol_id bigint, s bigint, h_close double").withColumn(
+        "hour_bucket", F.timestamp_seconds("s")).drop("s")
+    for fast, slow, signal in ((24, 52, 18), (2, 200, 3)):
+        macd = plain.ewm(span=fast).mean() - plain.ewm(span=slow).mean()
+        want = macd.ewm(span=signal).mean()
+        got = [r[0] for r in I.macd(bars, fast, slow, signal).orderBy("hour_bucket").select("macd_signal").collect()]
+        assert all(math.isclose(a, b, rel_tol=1e-6, abs_tol=1e-9) for a, b in zip(got, want))

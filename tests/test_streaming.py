@@ -60,10 +60,11 @@ def test_shuffled_duplicated_chunks_equal_batch(spark, tmp_path):
 
 def test_replayed_batch_overwrites_itself(spark, tmp_path):
     out = str(tmp_path / "out")
-    bars = B.quote_bars_mid(frame(spark, quotes(50)), "1 minute").withColumn("batch_id", F.lit(0))
+    bars = B.quote_bars_mid(frame(spark, quotes(50)), "1 minute").withColumns(
+        {"event_date": F.to_date("ts_second"), "batch_id": F.lit(0)})
     for _ in range(2):
-        bars.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out)
-    assert T.read_bars(spark, out).count() == bars.count() == spark.read.parquet(out).count()
+        bars.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date", "batch_id").parquet(f"{out}/versions")
+    assert T.read_bars(spark, out).count() == bars.count() == spark.read.parquet(f"{out}/versions").count()
 
 
 def test_rows_beyond_the_watermark_wait_for_a_refresh(spark, tmp_path):

@@ -32,7 +32,7 @@ def _root(spark: SparkSession, path: str):
     return root, root.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _days(spark: SparkSession, path: str) -> list[str]:
+def stored_days(spark: SparkSession, path: str) -> list[str]:
     """Partition days, from the directory names; no data is read."""
     root, fs = _root(spark, path)
     if not fs.exists(root):
@@ -41,7 +41,7 @@ def _days(spark: SparkSession, path: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(DATE + "="))
 
 
-def _drop_days(spark: SparkSession, path: str, days: list[str]) -> None:
+def drop_days(spark: SparkSession, path: str, days: list[str]) -> None:
     _, fs = _root(spark, path)
     for day in days:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{DATE}={day}"), True)
@@ -73,7 +73,7 @@ def write_ticks_idempotent(df: DataFrame, path: str, key: list[str], sort: list[
     """
     spark = df.sparkSession
     rows = with_event_date(dedup_first(df, key, first_by), ts)
-    if _days(spark, path):
+    if stored_days(spark, path):
         live = spark.read.schema(rows.schema).parquet(path)
         rows = anti_existing(rows, live if all_days else _touched_days(live, rows), key)
     write_partitioned(rows, path, sort or ["symbol_id", ts])
@@ -91,7 +91,7 @@ def upsert_latest(new: DataFrame, path: str, key: list[str], ts: str = "ts_excha
     """Insert or replace rows by key: the new row wins. Only the touched days are rewritten."""
     spark = new.sparkSession
     rows = with_event_date(new, ts).withColumn("_version", F.lit(1))
-    if _days(spark, path):
+    if stored_days(spark, path):
         live = _touched_days(spark.read.schema(rows.drop("_version").schema).parquet(path), rows)
         rows = rows.unionByName(live.withColumn("_version", F.lit(0)))
     rest = [c for c in rows.columns if c not in key]
@@ -139,15 +139,15 @@ def retention(spark: SparkSession, path: str, cutoff: str, ts: str = "ts_exchang
     """Drop rows before ``cutoff``: whole days by directory, the boundary day by rewriting it."""
     at = X.utc_instant(cutoff)
     boundary = at.date().isoformat()
-    days = _days(spark, path)
+    days = stored_days(spark, path)
     if boundary in days and at.time() != at.time().min:
         day = spark.read.parquet(path).filter(F.col(DATE) == F.to_date(F.lit(boundary)))
         kept = day.filter(F.col(ts) >= X.instant(cutoff))
         if kept.isEmpty():
-            _drop_days(spark, path, [boundary])
+            drop_days(spark, path, [boundary])
         else:
             write_partitioned(kept, path, sort or ["symbol_id", ts], "overwrite", partitionOverwriteMode="dynamic")
-    _drop_days(spark, path, [d for d in days if d < boundary])
+    drop_days(spark, path, [d for d in days if d < boundary])
 
 
 def archive(spark: SparkSession, path: str, archive_path: str, cutoff: str, ts: str = "ts_exchange",
@@ -159,7 +159,7 @@ def archive(spark: SparkSession, path: str, archive_path: str, cutoff: str, ts:
     """
     live = spark.read.parquet(path)
     old = live.filter((F.col(DATE) <= F.lit(X.utc_instant(cutoff).date())) & (F.col(ts) < X.instant(cutoff)))
-    if _days(spark, archive_path):
+    if stored_days(spark, archive_path):
         old = old.unionByName(_touched_days(spark.read.parquet(archive_path), old))
     old = old.dropDuplicates()
     write_partitioned(old, archive_path, sort or ["symbol_id", ts], "overwrite", partitionOverwriteMode="dynamic",

@@ -16,11 +16,12 @@ from tickspark.operators.joins import market_data_bars
 from tickspark.schemas import KEYS
 from tickspark.sources import wire
 from tickspark.sources.tables import (
-    export_parquet, latest_version, scan_ticks, write_ticks_idempotent)
+    DATE, drop_days, export_parquet, latest_version, scan_ticks, stored_days, write_partitioned, write_ticks_idempotent)
 
 LATENESS = "2 hours"
 REFRESH = "30 seconds"
 VERSION = "batch_id"
+BAR_STARTS = ("ts_second", "ts_bucket", "window_start")
 # Alert limits per second over the rate window, and the silence that marks staleness.
 MIN_ROWS_PER_SECOND = 100.0
 MAX_ERRORS_PER_SECOND = 0.1
@@ -45,25 +46,58 @@ def _start(stream: DataFrame, write: Callable, checkpoint: str, mode: str, every
 
 
 def store_bars(bars: DataFrame, path: str, checkpoint: str, every: str | None = REFRESH) -> StreamingQuery:
-    """Keep changed bars in a table of versions, one partition per micro-batch.
+    """Keep changed bars in a table of versions, one partition per day and micro-batch.
 
-    A replayed batch overwrites its own partition, so the table is exactly-once without any
-    read-modify-write. ``every=None`` drains what is available and stops.
+    A replayed batch overwrites its own partitions, so the table is exactly-once without any
+    read-modify-write. ``every=None`` drains what is available and stops. :func:`fold_bars` keeps it small.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.drop("window").withColumn(VERSION, F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(VERSION).parquet(path))
+        start = next(c for c in BAR_STARTS if c in batch.columns)
+        (batch.drop("window").withColumns({DATE: F.to_date(start), VERSION: F.lit(batch_id)}).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(DATE, VERSION).parquet(f"{path}/versions"))
 
     return _start(bars, write, checkpoint, "update", every)
 
 
-def read_bars(spark: SparkSession, path: str, ts: str = "ts_second", asof: str | None = None,
-              lag: str = "30 SECONDS") -> DataFrame:
-    """The newest version of each stored bar; with ``asof`` only bars older than the refresh lag."""
-    bars = spark.read.parquet(path)
+def _bar_versions(spark: SparkSession, path: str) -> DataFrame | None:
+    """Stored versions of bars; folded ones are version -1, older than any batch."""
+    parts = [spark.read.parquet(f"{path}/{name}") for name in ("versions", "folded") if stored_days(spark, f"{path}/{name}")]
+    parts = [p if VERSION in p.columns else p.withColumn(VERSION, F.lit(-1)) for p in parts]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def read_bars(spark: SparkSession, path: str, ts: str = "ts_second", asof: str | None = None, lag: str = "30 SECONDS",
+              start: str | None = None, end: str | None = None) -> DataFrame:
+    """The newest version of each stored bar; with ``asof`` only bars older than the refresh lag.
+
+    ``start`` and ``end`` (exclusive) prune the days that are read.
+    """
+    bars = _bar_versions(spark, path)
+    if bars is None:
+        raise ValueError(f"no bars under {path}")
+    if start:
+        bars = bars.filter((F.col(ts) >= X.instant(start)) & (F.col(DATE) >= F.lit(X.utc_instant(start).date())))
+    if end:
+        bars = bars.filter((F.col(ts) < X.instant(end)) & (F.col(DATE) <= F.lit(X.utc_instant(end).date())))
     if asof:
         bars = bars.filter(F.col(ts) <= X.before(asof, lag))
-    return latest_version(bars, [ts, "symbol_id"], VERSION).drop(VERSION)
+    return latest_version(bars.drop(DATE), [ts, "symbol_id"], VERSION).drop(VERSION)
+
+
+def fold_bars(spark: SparkSession, path: str, before: str, ts: str = "ts_second", sort: list[str] | None = None) -> list[str]:
+    """Fold the versions of days before the day of ``before`` into one sorted partition per day; returns the days.
+
+    Choose ``before`` behind the watermark, so the stream no longer writes those days. The folded days are
+    committed first and their versions dropped after; a run that was cut short is repeated with the same result.
+    """
+    limit = X.utc_instant(before).date().isoformat()
+    days = [d for d in stored_days(spark, f"{path}/versions") if d < limit]
+    if days:
+        bars = _bar_versions(spark, path).filter(F.col(DATE).cast("string").isin(days))
+        newest = latest_version(bars, [ts, "symbol_id"], VERSION).drop(VERSION)
+        write_partitioned(newest, f"{path}/folded", sort or ["symbol_id", ts], "overwrite", partitionOverwriteMode="dynamic")
+        drop_days(spark, f"{path}/versions", days)
+    return days
 
 
 def refresh_bars(spark: SparkSession, ticks: str, bars_path: str, start: str, end: str, w: str = "1 second",

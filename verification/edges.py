@@ -9,6 +9,7 @@ from tickspark.session import work_dir
 from tickspark.sources import tables as S
 from tickspark.sources import wire as W
 from tickspark.streaming import jobs as T
+from verification.bars import QB
 from verification.features import CLOSES, closes
 from verification.feed import NOT_ERROR, QUOTE, _drain, _live, _stored_quotes
 from verification.registry import D, H, bucket, query
@@ -130,3 +131,16 @@ def _(m):
     S.archive(m.spark, path, old, ZONED)
     both = [m.spark.read.parquet(p).drop("event_date").select(F.lit(n).alias("place"), "*") for n, p in (("live", path), ("archive", old))]
     return both[0].unionByName(both[1])
+
+
+@query("t1_fold_bars", "SELECT 'before' AS read, * FROM bt_hour UNION ALL SELECT 'after', * FROM bt_hour", dbl=QB)
+def _(m):
+    root = work_dir(m.spark, "fold")
+    _drain(T.store_bars(T.stream_bars(_live(m).bt, "1 hour"), f"{root}/bars", f"{root}/checkpoint", every=None))
+    before = T.read_bars(m.spark, f"{root}/bars").select(F.lit("before").alias("read"), "*")
+    kept = work_dir(m.spark, "fold-read")
+    before.write.parquet(kept)
+    for _ in range(2):
+        T.fold_bars(m.spark, f"{root}/bars", "2024-01-20 00:00:00")
+    after = T.read_bars(m.spark, f"{root}/bars").select(F.lit("after").alias("read"), "*")
+    return m.spark.read.parquet(kept).unionByName(after)
