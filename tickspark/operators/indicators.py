@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickspark import functions as X
-from tickspark.operators.ordered import CHUNK, INDEX, chunk_window, own_rows, row_chunks, with_previous
+from tickspark.operators.ordered import (
+    CHUNK, HALO, INDEX, chunk_window, own_rows, row_chunks, time_halo, with_previous)
 
 KEY = ["symbol_id"]
 HOUR_BLOCK = "28 days"
@@ -34,6 +35,18 @@ def rolling_sma_vol(bars: DataFrame, preceding: int = 300, ts: str = "ts_second"
                       "volatility_5min": F.stddev_samp("mid_close").over(frame)}))
 
 
+def rolling_sma_vol_range(bars: DataFrame, reach: str = "5 minutes", ts: str = "ts_second", block: str = "1 day") -> DataFrame:
+    """Mean and sample deviation of the mid close over the trailing time ``reach``, both ends included.
+
+    Unlike :func:`rolling_sma_vol` it does not stretch over seconds without bars.
+    """
+    frame = Window.partitionBy(*KEY, CHUNK).orderBy(F.unix_micros(ts)).rangeBetween(-X.width_us(reach), 0)
+    return (
+        time_halo(bars, ts, reach, block)
+        .withColumns({"sma_5min": F.avg("mid_close").over(frame), "volatility_5min": F.stddev_samp("mid_close").over(frame)})
+        .filter(~F.col(HALO)).drop(CHUNK, HALO))
+
+
 def forward_return(bars: DataFrame, h: int = 5, ts: str = "ts_second") -> DataFrame:
     """Return to the mid close h bars ahead; rows without such a bar are dropped."""
     ahead = f"mid_t_plus_{h}"

@@ -64,7 +64,10 @@ def recent(df: DataFrame, asof: str, interval: str, ts: str = "ts_exchange") ->
     return sliced.filter(F.col("event_date") >= F.to_date(start)) if "event_date" in df.columns else sliced
 
 
-def optional_symbol_filter(df: DataFrame, ids: list[int] | None) -> DataFrame:
+def optional_symbol_filter(df: DataFrame, ids: list[int] | DataFrame | None) -> DataFrame:
+    """Rows of the symbols in ``ids``, a short list or a table with ``symbol_id`` for a long one."""
+    if isinstance(ids, DataFrame):
+        return df.join(ids.select("symbol_id").distinct(), "symbol_id", "left_semi")
     return df if ids is None else df.filter(F.col("symbol_id").isin(ids))
 
 

@@ -13,6 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tickspark import functions as X
 from tickspark.operators.bars import depth_bars, quote_bars_bidask, quote_bars_mid, trade_bars_ext
 from tickspark.operators.joins import market_data_bars
+from tickspark.operators.micro import flatten_topn, market_features
+from tickspark.operators.ticks import time_slice
 from tickspark.schemas import KEYS
 from tickspark.sources import wire
 from tickspark.sources.tables import (
@@ -103,9 +105,30 @@ def fold_bars(spark: SparkSession, path: str, before: str, ts: str = "ts_second"
 def refresh_bars(spark: SparkSession, ticks: str, bars_path: str, start: str, end: str, w: str = "1 second",
                  bars: Callable = quote_bars_mid, ts: str = "ts_second") -> None:
     """Recompute the bars of the days that ``[start, end)`` touches from the stored ticks."""
-    first = X.utc_instant(start).date()
+    first, last = _whole_days(start, end)
+    export_parquet(bars(scan_ticks(spark, ticks, first, last), w), bars_path, ts)
+
+
+def _whole_days(start: str, end: str, before: int = 0) -> tuple[str, str]:
+    """The days that ``[start, end)`` touches, and ``before`` days ahead of them, as dates with an exclusive end."""
+    first = X.utc_instant(start).date() - timedelta(days=before)
     last = (X.utc_instant(end) - timedelta(microseconds=1)).date() + timedelta(days=1)
-    export_parquet(bars(scan_ticks(spark, ticks, first.isoformat(), last.isoformat()), w), bars_path, ts)
+    return first.isoformat(), last.isoformat()
+
+
+def refresh_topn(spark: SparkSession, depth: str, path: str, start: str, end: str, n: int = 5) -> None:
+    """Recompute the flat book of the days that ``[start, end)`` touches from the stored depth updates."""
+    export_parquet(flatten_topn(scan_ticks(spark, depth, *_whole_days(start, end)), n), path, "ts_exchange")
+
+
+def refresh_features(spark: SparkSession, bars: str, path: str, start: str, end: str, look_back_days: int = 1) -> None:
+    """Recompute the features of the days that ``[start, end)`` touches from the stored joined bars.
+
+    Features look back some bars; the bars of ``look_back_days`` before are read for that and written to no day.
+    """
+    first, last = _whole_days(start, end)
+    history = scan_ticks(spark, bars, *_whole_days(start, end, look_back_days), ts="ts_bucket").drop(DATE)
+    export_parquet(time_slice(market_features(history), first, last), path, "ts_exchange")
 
 
 def stream_market_data(bt: DataFrame, tr: DataFrame, de: DataFrame, root: str, w: str = "1 second",

@@ -4,13 +4,15 @@ from pyspark.sql import functions as F
 
 from tickspark.operators import bars as B
 from tickspark.operators import indicators as I
+from tickspark.operators import micro as M
+from tickspark.operators.ticks import optional_symbol_filter, time_slice
 from tickspark.schemas import KEYS
 from tickspark.session import work_dir
 from tickspark.sources import tables as S
 from tickspark.sources import wire as W
 from tickspark.streaming import jobs as T
 from verification.bars import QB
-from verification.features import CLOSES, closes
+from verification.features import CLOSES, FEATURES, closes, market
 from verification.feed import NOT_ERROR, QUOTE, _drain, _live, _stored_quotes
 from verification.registry import D, H, bucket, query
 
@@ -144,3 +146,36 @@ def _(m):
         T.fold_bars(m.spark, f"{root}/bars", "2024-01-20 00:00:00")
     after = T.read_bars(m.spark, f"{root}/bars").select(F.lit("after").alias("read"), "*")
     return m.spark.read.parquet(kept).unionByName(after)
+
+
+@query("w3_rolling_by_time", """SELECT ts_second, symbol_id, mid_close, avg(mid_close) OVER w AS sma_5min,
+       stddev_samp(mid_close) OVER w AS volatility_5min FROM bt_hour WINDOW w AS (PARTITION BY symbol_id ORDER BY ts_second
+       RANGE BETWEEN INTERVAL 30 HOUR PRECEDING AND CURRENT ROW)""", dbl="mid_close sma_5min volatility_5min")
+def _(m):
+    bars = B.quote_bars_mid(m.bt, "1 hour").select("ts_second", "symbol_id", "mid_close")
+    return I.rolling_sma_vol_range(bars, "30 hours")  # longer than a block
+
+
+@query("p10_many_symbols", "SELECT * FROM book_ticker WHERE symbol_id IN (SELECT id FROM symbols WHERE is_active)", dbl=QUOTE)
+def _(m):
+    return optional_symbol_filter(m.bt, m.symbols.filter("is_active").select(F.col("id").alias("symbol_id")))
+
+
+@query("t3_refresh_topn", "SELECT ts_exchange, symbol_id, final_update_id, b1_price, a1_price, i5 FROM topn", dbl="b1_price a1_price i5")
+def _(m):
+    depth, book = work_dir(m.spark, "depth"), work_dir(m.spark, "book")
+    S.write_partitioned(S.with_event_date(m.de), depth, ["symbol_id", "ts_exchange"])
+    S.export_parquet(M.flatten_topn(time_slice(m.de, "2024-01-01", "2024-01-18 13:17:00")), book, "ts_exchange")
+    T.refresh_topn(m.spark, depth, book, "2024-01-18 12:00:00", "2024-02-01 00:00:00")
+    return m.spark.read.parquet(book).select("ts_exchange", "symbol_id", "final_update_id", "b1_price", "a1_price", "i5")
+
+
+@query("t3_refresh_features", f"SELECT ts_exchange, symbol_id, microprice, ofi, vpin, price_volatility, return_1s FROM ({FEATURES})",
+       dbl="microprice ofi vpin price_volatility return_1s")
+def _(m):
+    bars, path = work_dir(m.spark, "joined-bars"), work_dir(m.spark, "feature-days")
+    S.write_partitioned(S.with_event_date(market(m), "ts_bucket"), bars, ["symbol_id", "ts_bucket"])
+    stored = m.spark.read.parquet(bars).drop("event_date")
+    S.export_parquet(M.market_features(time_slice(stored, "2024-01-01", "2024-01-18 13:17:00", "ts_bucket")), path, "ts_exchange")
+    T.refresh_features(m.spark, bars, path, "2024-01-18 12:00:00", "2024-02-01 00:00:00", look_back_days=18)
+    return m.spark.read.parquet(path).select("ts_exchange", "symbol_id", "microprice", "ofi", "vpin", "price_volatility", "return_1s")
