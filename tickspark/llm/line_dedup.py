@@ -42,7 +42,7 @@ def _repeated(runs: DataFrame) -> DataFrame:
     found = stored(runs.groupBy("na", "nb").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select(
         "na", "nb", F.col("first.k").alias("fk"), F.col("first.h").alias("fh"), F.col("first.p").alias("fp")), "intervals")
     later = ~(F.col("key").eqNullSafe(F.col("fk")) & (F.col("h") == F.col("fh")) & (F.col("pos") == F.col("fp")))
-    return runs.join(found, ["na", "nb"]).select("key", "h", "pos", "na", "nb", "w", later.alias("later")).distinct()
+    return runs.join(found, ["na", "nb"]).select("key", "h", "pos", "na", "nb", "w", later.alias("later"))
 
 
 def later_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 8) -> DataFrame:
@@ -53,6 +53,9 @@ def later_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", min_w
     size, found = 1, None
     while True:
         active = stored(_repeated(runs), "repeated")
+        if size == 1:
+            # Rows of one document more than once. Apart from the join, whose large partitions Spark may then split.
+            active = stored(active.distinct(), "repeated")
         if active.isEmpty():
             break
         copies = active.where(F.col("later") & (F.col("w") >= min_words)).select("key", "h", "pos", F.lit(size).cast("bigint").alias("lines"))
