@@ -33,6 +33,7 @@ PART = 2048
 MAX_PIVOTS = 256
 QUERY_GROUP = 512
 GROUPS_PER_TASK = 64
+PARTS_PER_BLOCK = 64
 LEAF = 32
 TOP = np.iinfo(np.int64).max
 
@@ -201,9 +202,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
 
     balls = stored(map_groups(queries, ["grp"], ball, "grp bigint, dim int, qc binary, qr double, worst bigint"), "balls")
     # Query groups against parts, in blocks: every block of parts meets every group once, as balls only.
-    blocks = seeded.where("center IS NOT NULL").select(
-        "part", "dim", "center", "radius", F.pmod("part", F.lit(64)).alias("block"))
-    met = balls.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(63)))).join(blocks, ["dim", "block"])
+    parts = seeded.where("center IS NOT NULL").select("part", "dim", "center", "radius")
+    n = max(64, parts.count() // PARTS_PER_BLOCK)
+    blocks = parts.withColumn("block", F.pmod("part", F.lit(n)))
+    met = balls.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(blocks, ["dim", "block"])
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
