@@ -28,14 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, codec: str = "snappy") -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     It cuts lineage: what was written survives the loss of executors, is never computed twice, and its
     arbitrary choices (among ties, say) are the same for every later reader.
     """
     path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
