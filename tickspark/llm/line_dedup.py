@@ -7,10 +7,13 @@ settled and leaves, so rounds end when no longer run occurs twice. Only equality
 so positions are kept by interval, not put in one total order, which would sort the positions of a very
 common line in one task.
 
-The first occurrence of a run, by key, text hash and position, stays. Its later copies are deleted where they
-have at least ``min_words`` words: a line is deleted if it lies in a run of ``2 ** k`` lines, for some ``k``, that occurred
-earlier and is long enough. As any run is covered by two runs of a power of two, this deletes maximal
-repeated runs whole; shorter lines go only with the run they belong to.
+The first occurrence of a run, by key, text hash and position, stays. At every position the longest run that
+occurred earlier is found: the rounds give its largest power of two, a descent through the smaller ones the rest.
+In the descent positions with one prefix are a group, and a step divides it by the names of the next lines. A
+position with an earlier one in its part moves on with that part; the first of a part stays and speaks for it, as it
+shares the prefix and comes before the others, and it stands in the part as well for those that moved. So a level has at most
+about two rows a position. A longest run is deleted whole where it has at least ``min_words`` words; shorter
+lines go only with the run they belong to.
 
 Defined cases: a null text stays null and has no lines; an empty text is one empty line. Lines are cut at ``\\n`` and
 compared as they are. Rows with equal key and text are one document and get the same result. A document that
@@ -36,13 +39,59 @@ def _name(*parts: str) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *parts).alias(c) for seed, c in ((1, "na"), (2, "nb"))]
 
 
+def _place() -> Column:
+    return F.struct(F.col("key").isNull().alias("i"), F.col("key").alias("k"), F.col("h").alias("h"), F.col("pos").alias("p"))
+
+
+def _is_first() -> Column:
+    return F.col("key").eqNullSafe(F.col("fk")) & (F.col("h") == F.col("fh")) & (F.col("pos") == F.col("fp"))
+
+
+def _shared(rows: DataFrame, names: list[str]) -> DataFrame:
+    """``names`` that more than one row has, with the first place of each."""
+    return stored(rows.groupBy(*names).agg(F.count("*").alias("n"), F.min(_place()).alias("first")).where("n > 1").select(
+        *names, F.col("first.k").alias("fk"), F.col("first.h").alias("fh"), F.col("first.p").alias("fp")), "intervals")
+
+
 def _repeated(runs: DataFrame) -> DataFrame:
     """``runs`` whose name occurs at more than one place, with ``later``: whether one of the others is earlier."""
-    place = F.struct(F.col("key").isNull().alias("i"), F.col("key").alias("k"), F.col("h").alias("h"), F.col("pos").alias("p"))
-    found = stored(runs.groupBy("na", "nb").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select(
-        "na", "nb", F.col("first.k").alias("fk"), F.col("first.h").alias("fh"), F.col("first.p").alias("fp")), "intervals")
-    later = ~(F.col("key").eqNullSafe(F.col("fk")) & (F.col("h") == F.col("fh")) & (F.col("pos") == F.col("fp")))
-    return runs.join(found, ["na", "nb"]).select("key", "h", "pos", "na", "nb", "w", later.alias("later"))
+    found = _shared(runs, ["na", "nb"])
+    return runs.join(found, ["na", "nb"]).select("key", "h", "pos", "na", "nb", "w", (~_is_first()).alias("later"))
+
+
+def _longest(rounds: list[DataFrame]) -> DataFrame:
+    """``key``, ``h``, ``pos``, ``lines`` and ``w`` (words) of the longest run that occurred earlier, at each position that has one.
+
+    ``rounds``: the repeated runs of 1, 2, 4, ... lines.
+    """
+    tops = None
+    for k, active in enumerate(rounds):
+        rows = active.where("later").select("key", "h", "pos", F.struct(F.lit(k).alias("k"), "na", "nb", "w").alias("top"))
+        tops = rows if tops is None else tops.unionByName(rows)
+    tops = stored(tops.groupBy("key", "h", "pos").agg(F.max("top").alias("top")).select("key", "h", "pos", "top.*"), "tops")
+    columns = ["key", "h", "pos", "na", "nb", "w", "lines", "asks"]
+    held = None
+    for k in reversed(range(len(rounds))):
+        size = F.lit(1 << k).cast("bigint")
+        if held is not None:
+            rest = rounds[k].select(F.col("key").alias("key2"), F.col("h").alias("h2"), F.col("pos").alias("pos2"),
+                                    F.col("na").alias("na2"), F.col("nb").alias("nb2"), F.col("w").alias("w2"))
+            tried = stored(held.join(rest, F.col("key").eqNullSafe(F.col("key2")) & (F.col("h") == F.col("h2")) & (
+                F.col("pos") + F.col("lines") == F.col("pos2")), "left").select(*columns, "na2", "nb2", "w2"), "tried")
+            names = ["na", "nb", "na2", "nb2"]
+            parts = _shared(tried.where("na2 IS NOT NULL"), names)
+            stays = F.struct("na", "nb", "w", "lines", "asks")
+            moves = lambda asks: F.struct(*_name("na", "nb", "na2", "nb2"), (F.col("w") + F.col("w2")).alias("w"),
+                                          (F.col("lines") + size).alias("lines"), asks.alias("asks"))
+            to = F.when(F.col("fh").isNull(), F.array(stays)).when(_is_first(), F.array(stays, moves(F.lit(False)))).otherwise(
+                F.array(moves(F.col("asks"))))
+            held = tried.join(parts, names, "left").select("key", "h", "pos", F.explode(to).alias("to")).select("key", "h", "pos", "to.*")
+        started = tops.where(F.col("k") == k).select(*columns[:6], size.alias("lines"), F.lit(True).alias("asks"))
+        if k:  # runs of one line have nothing left to try
+            started = started.unionByName(rounds[k].where("NOT later").select(*columns[:6], size.alias("lines"), F.lit(False).alias("asks")))
+        held = started if held is None else held.unionByName(started)
+        held = stored(held, "held")
+    return held.where("asks").select("key", "h", "pos", "lines", "w")
 
 
 def later_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 8) -> DataFrame:
@@ -50,24 +99,23 @@ def later_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", min_w
     lines = docs.where(F.col(text).isNotNull()).select(
         F.col(key).alias("key"), F.xxhash64(text).alias("h"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
     runs = stored(lines.select("key", "h", "pos", *_name("line"), F.regexp_count("line", F.lit(WORD)).cast("bigint").alias("w")), "lines")
-    size, found = 1, None
+    rounds: list[DataFrame] = []
     while True:
+        size = 1 << len(rounds)
         active = stored(_repeated(runs), "repeated")
         if size == 1:
             # Rows of one document more than once. Apart from the join, whose large partitions Spark may then split.
             active = stored(active.distinct(), "repeated")
         if active.isEmpty():
             break
-        copies = active.where(F.col("later") & (F.col("w") >= min_words)).select("key", "h", "pos", F.lit(size).cast("bigint").alias("lines"))
-        found = copies if found is None else found.unionByName(copies)
+        rounds.append(active)
         half = active.select(F.col("key").alias("key2"), F.col("h").alias("h2"), (F.col("pos") - size).alias("pos2"),
                              F.col("na").alias("na2"), F.col("nb").alias("nb2"), F.col("w").alias("w2"))
         joined = active.join(half, F.col("key").eqNullSafe(F.col("key2")) & (F.col("h") == F.col("h2")) & (F.col("pos") == F.col("pos2")))
         runs = stored(joined.select("key", "h", "pos", *_name("na", "nb", "na2", "nb2"), (F.col("w") + F.col("w2")).alias("w")), "runs")
-        size *= 2
-    if found is None:
+    if not rounds:
         return runs.select("key", "h", "pos", F.lit(0).cast("bigint").alias("lines")).limit(0).withColumnRenamed("key", key)
-    return found.groupBy("key", "h", "pos").agg(F.max("lines").alias("lines")).withColumnRenamed("key", key)
+    return _longest(rounds).where(F.col("w") >= min_words).select(F.col("key").alias(key), "h", "pos", "lines")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 8, n_lines: str = "n_lines",
