@@ -61,3 +61,30 @@ def test_odd_rows(odd_docs, no_docs):
     clash = odd_docs.withColumn("uid", F.lit(1)).withColumn("spans", F.lit("x"))
     out = pii.sanitise(clash)
     assert out.count() == odd_docs.count() and out.where("uid = 1").count() == odd_docs.count()
+
+
+def test_terms_far_from_the_entity(spark):
+    rng = random.Random(4)
+    fill = ["mail", "please", "write", "soon", "about", "this", "thing", "today", "again"]
+    text = lambda n: " ".join(rng.choices(fill, k=n))
+    rows = [(i, f"Zorblatt {text(40)} mail z@x.org") for i in range(6)]
+    rows += [(20 + i, f"{text(3)} Quimby {text(3)} q@x.org {text(3)}") for i in range(8)]
+    rows += [(40, f"Quimby {text(60)} q@x.org"), (41, f"{text(30)} Quimby")]
+    rows += [(60, rows[0][1]), (0, rows[0][1])]  # a repeated text, and a repeated row
+    rows += [(100 + i, text(30)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r.doc_id, r.uid): r.spans for r in pii.find_spans(docs).collect()}
+    texts = dict(rows)
+    for (i, _), spans in found.items():
+        extra = [texts[i][s.start:s.end] for s in spans if s.kind in ("generalise", "remove")]
+        assert extra == (["Zorblatt"] if i < 6 or i == 60 else ["Quimby"] if i <= 40 else []), i
+    ratios = {r.term: r.ratio for r in pii.disclosure(docs, pii.scan(docs), least=0.5).collect()}
+    n = len(rows)
+    assert math.isclose(ratios["zorblatt"], math.log(n * 8 / (8 * 8)) / math.log(n / 8))
+    assert math.isclose(ratios["quimby"], math.log(n * 9 / (10 * 9)) / math.log(n / 9))
+
+
+def test_a_copied_passage_is_one_context(spark):
+    rows = [(i, "write to Zorblatt at z@x.org soon") for i in range(6)] + [(100 + i, f"other text {i}") for i in range(100)]
+    found = pii.find_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert not [s for r in found for s in r.spans if s.kind in ("generalise", "remove")]

@@ -4,7 +4,8 @@ Patterns find e-mail addresses, IP addresses, card numbers and phone numbers; ea
 protected entity. Terms can give an entity away even where its value is hidden. How much a term reveals
 is estimated from the corpus: with ``c`` counts of documents, the share of an entity's information that a
 term carries is ``PMI(term; entity) / IC(entity)``, where ``PMI = log(N c(t, e) / (c(t) c(e)))`` and
-``IC = log(N / c(e))``. A term is counted with an entity if it stands within ``window`` words of its value. Pairs
+``IC = log(N / c(e))``. A term is counted with an entity in every document that holds both, however far apart. The
+context of a pair is the ``window`` words on each side of the entity's value and of the term, where each comes first. Pairs
 that share fewer than ``support`` different contexts are chance, not evidence. In the documents that hold the
 entity, terms at or above ``generalise`` are replaced by their class, at or above ``remove`` taken out.
 
@@ -97,8 +98,8 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def contexts(text: str, spans: list[Span], window: int) -> tuple[dict[tuple[int, str], int], dict[str, list[tuple[int, int]]]]:
-    """(entity, term) -> a hash of the words around it, and all places of those terms in the text."""
+def contexts(text: str, spans: list[Span], window: int) -> tuple[dict[int, int], dict[str, tuple[int, list[tuple[int, int]]]]]:
+    """Entity -> a hash of the words around its first value; term -> a hash of the words around its first place, and its places."""
     found = [(m.start(), m.end(), m[0].lower()) for m in TERM.finditer(text)]
     covered = sorted((a, b) for _, a, b, _ in spans)
     merged: list[list[int]] = []
@@ -115,45 +116,52 @@ def contexts(text: str, spans: list[Span], window: int) -> tuple[dict[tuple[int,
 
     found = [t for t in found if free(t)]
     starts = [t[0] for t in found]
-    pairs: dict[tuple[int, str], int] = {}
+    entities: dict[int, int] = {}
     for kind, a, b, value in spans:
-        i, j = bisect_left(starts, a), bisect_left(starts, b)
-        around = [t[2] for t in found[max(0, i - window): i] + found[j: j + window]]
-        context, entity = _hash(" ".join(around)), _hash(f"{KINDS[kind]}:{value}")
-        for term in around:
-            pairs.setdefault((entity, term), context)
-    terms = {t for _, t in pairs}
-    places: dict[str, list[tuple[int, int]]] = {}
-    for a, b, t in found:
+        entity = _hash(f"{KINDS[kind]}:{value}")
+        if entity not in entities:
+            i, j = bisect_left(starts, a), bisect_left(starts, b)
+            entities[entity] = _hash(" ".join(t[2] for t in found[max(0, i - window): i] + found[j: j + window]))
+    terms: dict[str, tuple[int, list[tuple[int, int]]]] = {}
+    for i, (a, b, t) in enumerate(found):
         if t in terms:
-            places.setdefault(t, []).append((a, b))
-    return pairs, places
+            terms[t][1].append((a, b))
+        else:
+            terms[t] = _hash(" ".join(w[2] for w in found[max(0, i - window): i + window + 1])), [(a, b)]
+    return entities, terms
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 8) -> DataFrame:
-    """One row per document: its key, ``uid``, base spans and, where it has any, what stands around them."""
+    """One row per document: its key, ``uid``, base spans and, where it has any, its entities and all its terms."""
     rows = docs.select(key, F.xxhash64(key, text).alias("uid"), text)
     kind = rows.schema[key].dataType.simpleString()
     span = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("entity", pa.int64())]))
-    pair = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("context", pa.int64())]))
-    place = pa.list_(pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    entity = pa.list_(pa.struct([("entity", pa.int64()), ("context", pa.int64())]))
+    place = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    term = pa.list_(pa.struct([("term", pa.string()), ("context", pa.int64()), ("places", place)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, pairs, places = [], [], []
+            spans, entities, terms = [], [], []
             for t in batch.column(2).to_pylist():
                 found = base_spans(t) if t else []
-                near, where = contexts(t, found, window) if found else ({}, {})
+                held, stand = contexts(t, found, window) if found else ({}, {})
                 spans.append([{"kind": k, "start": a, "end": b, "entity": _hash(f"{KINDS[k]}:{v}")} for k, a, b, v in found])
-                pairs.append([{"entity": e, "term": w, "context": c} for (e, w), c in near.items()])
-                places.append([{"term": w, "start": a, "end": b} for w, at in where.items() for a, b in at])
+                entities.append([{"entity": e, "context": c} for e, c in held.items()])
+                terms.append([{"term": w, "context": c, "places": [{"start": a, "end": b} for a, b in at]} for w, (c, at) in stand.items()])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(spans, span), pa.array(pairs, pair), pa.array(places, place)],
-                [key, "uid", "base", "pairs", "places"])
+                [batch.column(0), batch.column(1), pa.array(spans, span), pa.array(entities, entity), pa.array(terms, term)],
+                [key, "uid", "base", "entities", "terms"])
 
     return map_batches(rows, run, f"`{key}` {kind}, uid bigint, base array<struct<kind:int,start:bigint,end:bigint,entity:bigint>>, "
-                                  "pairs array<struct<entity:bigint,term:string,context:bigint>>, "
-                                  "places array<struct<term:string,start:bigint,end:bigint>>")
+                                  "entities array<struct<entity:bigint,context:bigint>>, "
+                                  "terms array<struct<term:string,context:bigint,places:array<struct<start:bigint,end:bigint>>>>")
+
+
+def holders(scanned: DataFrame) -> DataFrame:
+    """The documents that hold entities, each ``uid`` once with ``m``, the number of its rows."""
+    return stored(scanned.where(F.size("entities") > 0).groupBy("uid").agg(
+        F.count("*").alias("m"), F.first("entities").alias("entities"), F.first("terms").alias("terms")), "holders")
 
 
 def term_counts(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
@@ -186,14 +194,20 @@ def _spark_slot(term: str) -> int:
     return xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), seed=42) & ((1 << BITMAP_BITS) - 1)
 
 
-def disclosure(docs: DataFrame, scanned: DataFrame, text: str = "text", support: int = 3, least: float = 0.75) -> DataFrame:
+def disclosure(docs: DataFrame, scanned: DataFrame, text: str = "text", support: int = 3, least: float = 0.75,
+               held: DataFrame | None = None) -> DataFrame:
     """``entity``, ``term``, ``ratio`` of the pairs whose disclosure ratio is at least ``least``."""
-    pairs = scanned.select(F.explode("pairs").alias("p")).select("p.*")
-    joint = pairs.groupBy("entity", "term", "context").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
+    held = holders(scanned) if held is None else held
+    entities = stored(held.select("m", F.explode("entities").alias("e")).groupBy("e.entity").agg(F.sum("m").alias("c_e")), "entities")
+    # A pair has at most as many contexts as its entity has documents.
+    often = held.select("uid", F.explode("entities").alias("e")).select("uid", "e.*").join(
+        entities.where(F.col("c_e") >= support).select("entity"), "entity")
+    pairs = often.select("uid", "entity", F.col("context").alias("near")).join(held.select("uid", "m", "terms"), "uid").select(
+        "entity", "m", "near", F.explode("terms").alias("t")).select(
+        "entity", "t.term", F.xxhash64("near", "t.context").alias("context"), "m")
+    joint = pairs.groupBy("entity", "term", "context").agg(F.sum("m").alias("n")).groupBy("entity", "term").agg(
         F.sum("n").alias("c_et"), F.count("*").alias("contexts")).where(F.col("contexts") >= support)
     joint = stored(joint.select("entity", "term", "c_et"), "joint")
-    entities = stored(scanned.select(F.explode(F.array_distinct(F.transform("base", lambda s: s["entity"]))).alias("entity")).groupBy(
-        "entity").agg(F.count("*").alias("c_e")), "entities")
     n = docs.count()
     counts = stored(term_counts(docs, joint, text), "terms")
     pmi = F.log(F.lit(float(n)) * F.col("c_et") / (F.col("c_t") * F.col("c_e")))
@@ -209,13 +223,15 @@ def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", window:
     Kinds are those of the patterns and ``generalise`` and ``remove`` for disclosing terms.
     """
     scanned = stored(scan(docs, key, text, window), "pii-scan")
-    disclosing = stored(disclosure(docs, scanned, text, support, generalise), "disclosing")
-    hits = scanned.select("uid", F.explode("pairs").alias("p")).select("uid", "p.entity", "p.term").join(
-        disclosing, ["entity", "term"]).groupBy("uid", "term").agg(F.max("ratio").alias("ratio"))
-    places = scanned.where(F.size("places") > 0).dropDuplicates(["uid"]).select(
-        "uid", F.explode("places").alias("w")).select("uid", "w.*")
-    found = places.join(hits, ["uid", "term"]).groupBy("uid").agg(F.array_sort(F.collect_list(F.struct(
-        F.when(F.col("ratio") >= remove, 5).otherwise(4).alias("k"), "start", "end"))).alias("terms"))
+    held = holders(scanned)
+    disclosing = stored(disclosure(docs, scanned, text, support, generalise, held), "disclosing")
+    # From the terms: few entities have a term that gives them away, but a frequent entity may have many terms.
+    told = held.select("uid", F.explode("terms").alias("t")).select("uid", "t.term", "t.places").join(disclosing, "term")
+    hits = told.join(held.select("uid", F.explode("entities.entity").alias("entity")), ["uid", "entity"]).groupBy("uid", "term").agg(
+        F.max("ratio").alias("ratio"), F.first("places").alias("places"))
+    found = hits.select("uid", "ratio", F.explode("places").alias("w")).select("uid", "ratio", "w.*").groupBy("uid").agg(
+        F.array_sort(F.collect_list(F.struct(
+            F.when(F.col("ratio") >= remove, 5).otherwise(4).alias("k"), "start", "end"))).alias("terms"))
     names = F.array(*[F.lit(k) for k in (*KINDS, "generalise", "remove")])
     shown = lambda spans: F.transform(spans, lambda s: F.struct(
         F.get(names, s["k"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
