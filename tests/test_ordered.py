@@ -107,3 +107,57 @@ def test_fit_block_follows_the_fullest_block(spark):
     assert O.fit_block(df, KEY, "ts", limit=95) == "1 hour"
     assert O.fit_block(df, KEY, "ts", limit=10) == "1 second"
     assert O.fit_block(df, KEY, "ts", limit=1) == "1 millisecond"
+
+
+def with_nulls(spark):
+    """Ticks some of which have no symbol, no time or neither."""
+    df = ticks(spark, 300, seed=7)
+    return df.withColumns({
+        "symbol_id": F.when(F.col("id") % 4 > 0, F.col("symbol_id")),
+        "ts": F.when(F.col("id") % 7 > 0, F.col("ts"))})
+
+
+def none_first(rows):
+    return sorted(rows, key=lambda r: tuple((v is not None, v) for v in r))
+
+
+@pytest.mark.parametrize("block", ["10 seconds", "1 hour"])
+def test_null_keys_and_times_stay(spark, block):
+    df = with_nulls(spark)
+    got = O.with_previous(df, KEY, ORDER, ["x", "v"], block).select("id", "prev_x", "prev_v")
+    want = df.select("id", F.lag("x").over(plain()), F.lag("v").over(plain()))
+    assert none_first(got.collect()) == none_first(want.collect())
+    got = O.with_row_index(df, KEY, ORDER, block, {"_odd": F.col("v") > 25}).select("id", O.INDEX, O.TOTAL, "_odd")
+    want = df.select("id", F.row_number().over(plain()), F.count("*").over(Window.partitionBy("symbol_id")),
+                     F.coalesce(F.sum(F.when(F.col("v") > 25, 1)).over(plain().rowsBetween(Window.unboundedPreceding, 0)), F.lit(0)))
+    assert none_first(got.collect()) == none_first(want.collect())
+    chunks = O.row_chunks(df, KEY, ORDER, before=3, rows=8, block=block)
+    got = O.own_rows(chunks.withColumn("m", F.max("x").over(O.chunk_window(KEY, -3, 0)))).select("id", "m")
+    assert none_first(got.collect()) == none_first(df.select("id", F.max("x").over(plain().rowsBetween(-3, 0))).collect())
+    got = O.fill_forward(df, KEY, ORDER, ["v"], block).select("id", "v")
+    want = df.select("id", F.last("v", ignorenulls=True).over(plain().rowsBetween(Window.unboundedPreceding, 0)))
+    assert none_first(got.collect()) == none_first(want.collect())
+
+
+def test_ranks_of_null_keys(spark):
+    df = with_nulls(spark).withColumn("y", F.col("v").cast("long"))
+    got = O.quantile_disc(df, KEY, "y", 0.5, "q", 8)
+    want = df.groupBy("symbol_id").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY y)").cast("long"))
+    assert none_first(got.collect()) == none_first(want.collect())
+    alone = df.withColumn("y", F.when(F.col("symbol_id") != 2, F.col("y")))
+    ranks = O.value_ranks(alone, KEY, "y", 8, with_null=True)
+    assert {r[0] for r in ranks.select("symbol_id").distinct().collect()} == {None, 1, 2, 3, 4}
+    assert ranks.filter("y IS NULL AND lo IS NOT NULL").count() == 0
+
+
+def test_chunks_by_counted_rows(spark):
+    """Frames over the counted rows alone, the others kept aside."""
+    df = ticks(spark)
+    held = F.col("v") > 20
+    indexed = O.with_row_index(df, KEY, ORDER, "1 minute", {"_held": held})
+    chunks = O.chunks_by(indexed, "_held", before=2, rows=5, where=held)
+    got = O.own_rows(chunks.withColumn("m", F.when(held, F.sum("x").over(O.chunk_window(KEY, -2, 0))))).select("id", "m")
+    want = df.filter(held).select("id", F.sum("x").over(plain().rowsBetween(-2, 0)).alias("m")).unionByName(
+        df.filter(F.coalesce(~held, F.lit(True))).select("id", F.lit(None).cast("double").alias("m")))
+    assert none_first(got.collect()) == none_first(want.collect())
+    assert chunks.groupBy("symbol_id", O.CHUNK).count().agg(F.max("count")).first()[0] <= 7

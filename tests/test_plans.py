@@ -1,10 +1,18 @@
 """Plans keep the properties the operators promise."""
 
+from types import SimpleNamespace
+
 import pytest
 
+from pyspark.sql import functions as F
+
 from tickspark.operators import bars as B
+from tickspark.operators import indicators as I
 from tickspark.operators import joins as J
+from tickspark.operators import micro as M
+from tickspark.operators import profile as P
 from tickspark.operators import ticks as K
+from tickspark.plans import datasets as L
 from verification.bindings import Market
 
 
@@ -35,14 +43,75 @@ def test_bars_read_only_their_columns(spark, tmp_path, sf_dir):
     assert "GreaterThanOrEqual(ts_exchange" in text
 
 
-def test_ticks_move_once_for_the_previous_row(spark, tmp_path, sf_dir):
-    """The big side is shuffled by (symbol, block) once; the carry side arrives pre-aggregated."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(K.tick_gaps(Market(spark, sf_dir).bt))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "partial_max_by" in text and text.count("SortMergeJoin") >= 1
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory, sf_dir):
+    """The facts as Parquet tables, so that a plan shows each reading of them."""
+    m, root = Market(spark, sf_dir), tmp_path_factory.mktemp("facts")
+    facts = {"symbols": m.symbols}
+    for name in ("bt", "tr", "de"):
+        getattr(m, name).write.parquet(str(root / name))
+        facts[name] = spark.read.parquet(str(root / name))
+    return SimpleNamespace(**facts)
+
+
+@pytest.fixture
+def whole_plans(spark):
+    """Plans as first drawn up: nothing adaptive, nothing broadcast."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def hour_bars(m):
+    return B.quote_bars_mid(m.bt, "1 hour")
+
+
+def joined(m):
+    return J.market_data_bars(B.quote_bars_bidask(m.bt, "1 hour"), B.trade_bars_ext(m.tr, "1 hour"), B.depth_bars(m.de, "1 hour"))
+
+
+def hourly(m):
+    return hour_bars(m).withColumnsRenamed({"ts_second": "hour_bucket", "mid_close": "h_close", "mid_open": "h_volume"})
+
+
+# What is asked of the facts, and how many of them it may read: each once.
+READS = {
+    "w1": (lambda m: I.lag_features(hour_bars(m).withColumn("imbalance_ratio", F.col("mid_open"))), 1),
+    "w2": (lambda m: I.hour_lags(hourly(m)), 1),
+    "w3": (lambda m: I.rolling_sma_vol(hour_bars(m)), 1),
+    "w4": (lambda m: I.forward_return(hour_bars(m)), 1),
+    "w7": (lambda m: K.tick_gaps(m.bt), 1),
+    "w8": (lambda m: K.interval_stats(m.bt), 1),
+    "w9": (lambda m: K.quote_change_bps(m.bt), 1),
+    "m4": (lambda m: M.ofi_events(m.bt), 1),
+    "m6": (lambda m: M.vpin_like(B.trade_bars_ext(m.tr, "1 hour")), 1),
+    "m7": (lambda m: M.log_return(B.quote_bars_bidask(m.bt, "1 hour")), 1),
+    "m8": (lambda m: M.rolling_volatility(B.quote_bars_bidask(m.bt, "1 hour")), 1),
+    "m11": (lambda m: M.market_features(joined(m)), 2),  # depth bars bring nothing the features need
+    "m14": (lambda m: M.ofi_rolling(M.flatten_topn(m.de)), 1),
+    "i": (lambda m: I.technical_indicators(hourly(m)), 1),
+    "d5": (lambda m: P.latency_stats(m.bt), 1),
+    "l1": (lambda m: L.yesterday_dataset(hour_bars(m), B.trade_bars_table(m.tr, "1 hour"), m.symbols, "2024-01-15"), 2),
+    "l3": (lambda m: L.hourly_ml_features(hour_bars(m), B.trade_bars(m.tr, "1 hour"), m.symbols, "2024-01-02", "2024-01-20"), 2),
+    "l4": (lambda m: L.realtime_features(hour_bars(m), B.trade_bars(m.tr, "1 hour"), m.symbols, "2024-01-30 23:30:00", "2 DAYS"), 2),
+    "l5": (lambda m: L.supervised_table(hour_bars(m), B.trade_bars_table(m.tr, "1 hour"), m.symbols), 2),
+    "l7": (lambda m: L.ffill_then_zero(hour_bars(m).select("symbol_id", "ts_second", "mid_close"), ["mid_close"]), 1),
+    "l8": (lambda m: L.sequences(hour_bars(m), ["mid_close", "spread_mean"]), 1),
+}
+
+
+@pytest.mark.parametrize("name", READS)
+def test_facts_are_read_and_moved_once(stored, whole_plans, name):
+    """Rows are read once, and what the pieces say about themselves comes off the same exchange, without sorting."""
+    make, facts = READS[name]
+    text = plan(make(stored))
+    reads = [line for line in text.splitlines() if line.startswith("Location:") and any(f"/{t}]" in line for t in ("bt", "tr", "de"))]
+    assert len(reads) == facts, text
+    assert "ReusedExchange" in text and "SortAggregate" not in text
 
 
 def test_dimension_join_is_not_forced_to_broadcast(spark, sf_dir):

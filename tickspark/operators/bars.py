@@ -233,4 +233,6 @@ def bucket_window_stats(bt: DataFrame, w: str = SECOND) -> DataFrame:
         F.avg("spread").alias("spread_mean"), F.min("spread").alias("spread_min"),
         F.max("spread").alias("spread_max"), F.stddev_samp("spread").alias("spread_std"),
         F.max("mid").alias("mid_high"), F.min("mid").alias("mid_low"), F.count(F.lit(1)).alias("update_count"))
-    return ticks.join(stats, ["symbol_id", "ts_second"])
+    stats = stats.withColumnsRenamed({"symbol_id": "_symbol", "ts_second": "_second"})
+    same = F.col("symbol_id").eqNullSafe(F.col("_symbol")) & F.col("ts_second").eqNullSafe(F.col("_second"))
+    return ticks.join(stats, same).drop("_symbol", "_second")

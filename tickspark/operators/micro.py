@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickspark import functions as X
 from tickspark.operators.ordered import (
-    CHUNK, TICK_BLOCK, chunk_window, own_rows, row_chunks, time_halo, with_previous)
+    CHUNK, INDEX, TICK_BLOCK, TOTAL, chunk_window, chunks_by, own_rows, row_chunks, time_halo, with_previous, with_row_index)
 
 BAR_ORDER = ["ts_bucket"]
 RATIO_GUARD = 0.0001
@@ -86,14 +86,18 @@ def with_volume_ratios(bars: DataFrame) -> DataFrame:
     })
 
 
-def _vpin(bars: DataFrame, n: int) -> DataFrame:
-    traded = bars.select("symbol_id", "ts_bucket", "buy_volume", "sell_volume").withColumn(
-        "_total", F.col("buy_volume") + F.col("sell_volume")).filter("_total > 0")
+def _is_traded() -> Column:
+    return F.col("buy_volume") + F.col("sell_volume") > 0
+
+
+def _with_vpin(indexed: DataFrame, n: int) -> DataFrame:
+    """Adds ``vpin`` to rows that :func:`row_chunks` has numbered, their traded bars in ``_traded``."""
     last_n = chunk_window(["symbol_id"], -(n - 1), 0)
-    measured = row_chunks(traded, ["symbol_id"], BAR_ORDER, before=n - 1).withColumns(
-        {"_seen": F.count(F.lit(1)).over(last_n), "_mean": F.avg("_total").over(last_n)})
-    return own_rows(measured).select("symbol_id", "ts_bucket", F.when(F.col("_seen") < 2, 0.0).otherwise(
-        F.abs(F.col("buy_volume") - F.col("sell_volume")) / F.col("_mean")).alias("vpin"))
+    total = F.col("buy_volume") + F.col("sell_volume")
+    share = F.when(F.count(F.lit(1)).over(last_n) < 2, 0.0).otherwise(
+        F.abs(F.col("buy_volume") - F.col("sell_volume")) / F.avg(total).over(last_n))
+    chunks = chunks_by(indexed, "_traded", before=n - 1, where=_is_traded())
+    return own_rows(chunks.withColumn("vpin", F.when(_is_traded(), share))).drop("_traded")
 
 
 def vpin_like(bars: DataFrame, n: int = 10) -> DataFrame:
@@ -101,7 +105,7 @@ def vpin_like(bars: DataFrame, n: int = 10) -> DataFrame:
 
     0 while fewer than two bars have traded, NULL on bars without trades.
     """
-    return bars.join(_vpin(bars, n), ["symbol_id", "ts_bucket"], "left")
+    return _with_vpin(with_row_index(bars, ["symbol_id"], BAR_ORDER, counted={"_traded": _is_traded()}), n)
 
 
 def _mid_of_bar() -> Column:
@@ -137,8 +141,8 @@ def rolling_volatility(bars: DataFrame, n: int = 10) -> DataFrame:
 def market_features(bars: DataFrame, n: int = 10, ask_sign: str = "reference") -> DataFrame:
     """The full feature row of every joined bar.
 
-    All order-dependent features except vpin share one chunking and one window sort. ``i10`` comes
-    from the column of that name when the bars carry depth, else it repeats ``i1``.
+    All order-dependent features except vpin share one chunking and one window sort; the same numbering deals the
+    traded bars for vpin. ``i10`` comes from the column of that name when the bars carry depth, else it repeats ``i1``.
     """
     quote = ["bid_close", "ask_close", "bid_qty_close", "ask_qty_close"]
     keys = ["symbol_id", "ts_bucket"]
@@ -148,24 +152,26 @@ def market_features(bars: DataFrame, n: int = 10, ask_sign: str = "reference") -
     volumes = with_volume_ratios(split_volume(bars))
     carried = [c for c in ("i10",) if c in bars.columns]
     chunks = (
-        row_chunks(volumes.select(*keys, *quote, "volume_imbalance", "buy_volume_ratio", *carried,
-                                  _mid_of_bar().alias("mid_price")), ["symbol_id"], BAR_ORDER, before=n)
+        row_chunks(volumes.select(*keys, *quote, "volume_imbalance", "buy_volume_ratio", "buy_volume", "sell_volume", *carried,
+                                  _mid_of_bar().alias("mid_price")),
+                   ["symbol_id"], BAR_ORDER, before=n, counted={"_traded": _is_traded()})
         .withColumns({"prev_" + c: F.lag(c).over(row) for c in [*quote, "mid_price"]})
         .withColumn("_ret", _step_return(mid, F.col("prev_mid_price"), F.lit(0.0)))
         .withColumn("price_volatility", F.coalesce(F.stddev_pop("_ret").over(frame), F.lit(0.0)))
     )
     i1 = X.imbalance("bid_qty_close", "ask_qty_close")
     gap = F.col("ask_close") - F.col("bid_close")
-    # vpin joins last: nothing upstream of the chunks is computed for it twice.
-    return own_rows(chunks).join(_vpin(volumes, n), keys, "left").select(
+    features = own_rows(chunks, keep_index=True).select(
         F.col("ts_bucket").alias("ts_exchange"), "symbol_id",
         X.microprice(*quote).alias("microprice"), "mid_price", gap.alias("spread_abs"),
         F.when(mid > 0, gap / mid).otherwise(0.0).alias("spread_rel"),
         i1.alias("i1"), (F.coalesce("i10", i1) if carried else i1).alias("i10"),
         ofi_column(*quote, ask_sign=ask_sign).alias("ofi"),
-        "volume_imbalance", "buy_volume_ratio", "vpin", "price_volatility",
+        "volume_imbalance", "buy_volume_ratio", "price_volatility",
         _step_return(mid, F.col("prev_mid_price"), None).alias("return_1s"),
+        "buy_volume", "sell_volume", INDEX, TOTAL, "_traded",
     )
+    return _with_vpin(features, n).drop("buy_volume", "sell_volume")
 
 
 def _sorted_side(levels: str, best_first_desc: bool) -> Column:

@@ -2,7 +2,11 @@
 
 ``Window.partitionBy(symbol)`` sends every row of a symbol to one task, and one symbol may hold a
 third of all rows. The helpers here cut each key into pieces, compute inside the pieces, and carry
-the few rows a piece needs from its neighbours. Results equal those of the unbounded window.
+the few rows a piece needs from its neighbours. Results equal those of the unbounded window, also
+where a key or a time is NULL.
+
+Rows are read and moved once: what the pieces say about themselves (their last values, their number of
+rows) is aggregated on the same exchange that the windows inside the pieces need.
 """
 
 from __future__ import annotations
@@ -11,8 +15,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickspark.functions.time import time_bucket, width_us
+from tickspark.functions.time import order_in_bucket, time_bucket, width_us
 
 TICK_BLOCK = "10 minutes"
 BAR_BLOCK = "1 day"
@@ -23,9 +28,53 @@ TOTAL = "_rows"
 CHUNK = "_chunk"
 HALO = "_halo"
 _BLOCK = "_block"
+_PIECE = "_piece"
+
+
+def _cut(df: DataFrame, keys: list[str], by: Column) -> DataFrame:
+    """Rows dealt by (keys, block), with ``by`` as the block. One number stands for a piece, so that a join on it needs no
+    further exchange and a NULL in a key is a value like any other."""
+    return df.withColumn(_BLOCK, by).withColumn(_PIECE, F.xxhash64(*keys, _BLOCK)).repartition(_PIECE)
+
+
+def _pieces(df: DataFrame, keys: list[str], order: list[str], block: str) -> DataFrame:
+    return _cut(df, keys, time_bucket(order[0], block))
+
+
+def _inside(keys: list[str], *order: str):
+    return Window.partitionBy(_PIECE, *keys, _BLOCK).orderBy(*order)
+
 
+def _per_piece(pieces: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
+    """One row per piece. Counting the other columns keeps them on this side of the plan as on the side of the rows,
+    so that Spark sees one exchange and reuses it instead of reading the input again."""
+    alike = F.expr(f"count({', '.join(f'`{c}`' for c in pieces.columns)})").alias("_alike")
+    return pieces.groupBy(_PIECE, *keys, _BLOCK).agg(*aggs, alike).filter("_alike >= 0").drop("_alike")
 
-def _order_struct(order: list[str]) -> Column:
+
+def _with_piece(rows: DataFrame, per_piece: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the other columns of ``per_piece``.
+
+    Only the number is a join key, as the rows lie by it. That the piece is the same one is checked on the pair: structs
+    compare NULL as equal to NULL, and an equality of the parts would become a join key and cost an exchange.
+    """
+    parts = [*keys, _BLOCK]
+    other = per_piece.withColumnsRenamed({c: f"_of_{c}" for c in [*parts, _PIECE]})
+    mine, its = F.struct(*parts), F.struct(*[F.col(f"_of_{c}").alias(c) for c in parts])
+    same = (F.col(_PIECE) == F.col(f"_of_{_PIECE}")) & (mine <= its) & (mine >= its)
+    return rows.join(other, same, "left").drop(*[f"_of_{c}" for c in [*parts, _PIECE]])
+
+
+def _order_key(df: DataFrame, order: list[str], block: str) -> Column:
+    """What orders the rows of a piece: a primitive for a time, or a time and a whole number, else a struct.
+
+    ``max_by`` over a primitive runs in a hash aggregate; over a struct it sorts.
+    """
+    ts = F.timestamp_micros(F.coalesce(F.unix_micros(order[0]), F.lit(0)))
+    if len(order) == 1:
+        return F.unix_micros(ts)
+    if len(order) == 2 and isinstance(df.schema[order[1]].dataType, T.IntegralType) and width_us(block) < 10**12:
+        return order_in_bucket(ts, order[1], block)
     return F.struct(*order)
 
 
@@ -50,53 +99,62 @@ def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list
                   block: str = TICK_BLOCK, prefix: str = "prev_") -> DataFrame:
     """Add the previous row's ``values`` per key, NULL on the first row of a key.
 
-    Rows are cut into time blocks of ``order[0]``. Inside a block it is a plain lag; the first row
-    of a block takes the last row of the latest earlier block, found by a pre-aggregated max_by.
-    One full shuffle by (key, block), plus one row per block.
+    Rows are cut into time blocks of ``order[0]``. Inside a block it is a plain lag; the first row of a block
+    takes the last values of the latest earlier block. One exchange of the rows by (key, block), read by the lag and by
+    a hash aggregate of the last values, plus one row per block. Select the columns you need before, not after: a
+    later selection gives the two readers different columns.
     """
-    blocked = df.withColumn(_BLOCK, time_bucket(order[0], block))
-    payload = F.struct(*values)
-    carry = (
-        blocked.groupBy(*keys, _BLOCK)
-        .agg(F.max_by(payload, _order_struct(order)).alias("_tail"))
-        .select(*keys, _BLOCK,
-                F.lag("_tail").over(Window.partitionBy(*keys).orderBy(_BLOCK)).alias("_carry"))
-    )
-    inside = Window.partitionBy(*keys, _BLOCK).orderBy(*order)
-    joined = blocked.withColumn("_prev", F.lag(payload).over(inside)).join(carry, [*keys, _BLOCK], "left")
+    pieces = _pieces(df, keys, order, block)
+    at = _order_key(df, order, block)
+    tails = _per_piece(pieces, keys, *[F.max_by(v, at).alias(f"_tail_{v}") for v in values])
+    earlier = Window.partitionBy(*keys).orderBy(_BLOCK)
+    carry = tails.select(_PIECE, *keys, _BLOCK, F.lag(F.struct(*[F.col(f"_tail_{v}").alias(v) for v in values])).over(earlier).alias("_carry"))
+    lagged = pieces.withColumn("_prev", F.lag(F.struct(*values)).over(_inside(keys, *order)))
     prev = F.coalesce("_prev", "_carry")
-    return joined.select(*df.columns, *[prev[v].alias(prefix + v) for v in values])
+    return _with_piece(lagged, carry, keys).select(*df.columns, *[prev[v].alias(prefix + v) for v in values])
 
 
-def with_row_index(df: DataFrame, keys: list[str], order: list[str], block: str = BAR_BLOCK) -> DataFrame:
-    """Add the 1-based position of each row within its key and the key's row count."""
-    blocked = df.withColumn(_BLOCK, time_bucket(order[0], block))
+def with_row_index(df: DataFrame, keys: list[str], order: list[str], block: str = BAR_BLOCK,
+                   counted: dict[str, Column] | None = None) -> DataFrame:
+    """Add the 1-based position of each row within its key and the key's row count.
+
+    ``counted`` adds, for each name, the number of rows so far on which its condition holds, the row included.
+    """
+    counted = {name: F.coalesce(c, F.lit(False)).cast("long") for name, c in (counted or {}).items()}
+    pieces = _pieces(df, keys, order, block)
+    sums = {"_n": F.count(F.lit(1)), **{f"_n_{name}": F.sum(c) for name, c in counted.items()}}
     per_key = Window.partitionBy(*keys)
-    offsets = (
-        blocked.groupBy(*keys, _BLOCK).agg(F.count(F.lit(1)).alias("_n"))
-        .select(*keys, _BLOCK,
-                F.coalesce(F.sum("_n").over(per_key.orderBy(_BLOCK).rowsBetween(
-                    Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-                F.sum("_n").over(per_key).alias(TOTAL))
-    )
-    inside = Window.partitionBy(*keys, _BLOCK).orderBy(*order)
-    return (
-        blocked.withColumn("_at", F.row_number().over(inside))
-        .join(offsets, [*keys, _BLOCK])
-        .select(*df.columns, (F.col("_before") + F.col("_at")).alias(INDEX), TOTAL)
-    )
+    earlier = per_key.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = _per_piece(pieces, keys, *[c.alias(n) for n, c in sums.items()]).select(
+        _PIECE, *keys, _BLOCK, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_before{n}") for n in sums],
+        F.sum("_n").over(per_key).alias(TOTAL))
+    inside = _inside(keys, *order)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = pieces.withColumns({"_at": F.row_number().over(inside), **{f"_at_{n}": F.sum(c).over(so_far) for n, c in counted.items()}})
+    return _with_piece(numbered, offsets, keys).select(
+        *df.columns, (F.col("_before_n") + F.col("_at")).alias(INDEX), TOTAL,
+        *[(F.col(f"_before_n_{n}") + F.col(f"_at_{n}")).alias(n) for n in counted])
 
 
 def row_chunks(df: DataFrame, keys: list[str], order: list[str], before: int = 0, after: int = 0,
-               rows: int | None = None, block: str = BAR_BLOCK) -> DataFrame:
+               rows: int | None = None, block: str = BAR_BLOCK, counted: dict[str, Column] | None = None) -> DataFrame:
     """Cut each key into chunks of equally many rows, each with copies of its neighbours' rows.
 
     A chunk holds its own rows, the ``before`` rows ahead of it and the ``after`` rows behind it
     (marked by ``_halo``). A row frame of that reach computed over :func:`chunk_window` is exact on
     the chunk's own rows; finish with :func:`own_rows`.
     """
+    return chunks_by(with_row_index(df, keys, order, block, counted), INDEX, before, after, rows)
+
+
+def chunks_by(indexed: DataFrame, index: str, before: int = 0, after: int = 0, rows: int | None = None,
+              where: Column | None = None) -> DataFrame:
+    """Chunks of equally many rows by a column that numbers the rows on which ``where`` holds.
+
+    The other rows are dealt by their own number into chunks below 0: a window over a chunk never sees both kinds.
+    """
     size = max(rows or CHUNK_ROWS, before, after)
-    at = F.col(INDEX) - 1
+    at = F.col(index) - 1
     home = F.floor(at / size)
     pos = F.pmod(at, F.lit(size))
     places = [home]
@@ -104,11 +162,12 @@ def row_chunks(df: DataFrame, keys: list[str], order: list[str], before: int = 0
         places.append(F.when(pos >= size - before, home + 1))
     if after:
         places.append(F.when(pos < after, home - 1))
-    indexed = with_row_index(df, keys, order, block)
-    return (
-        indexed.withColumn(CHUNK, F.explode(F.array_compact(F.array(*places))))
-        .withColumn(HALO, F.col(CHUNK) != home)
-    )
+    chunk = F.array_compact(F.array(*places))
+    if where is not None:
+        aside = -F.floor((F.col(INDEX) - 1) / size) - 1
+        held = F.coalesce(where, F.lit(False))
+        home, chunk = F.when(held, home).otherwise(aside), F.when(held, chunk).otherwise(F.array(aside))
+    return indexed.withColumn(CHUNK, F.explode(chunk)).withColumn(HALO, F.col(CHUNK) != home)
 
 
 def chunk_window(keys: list[str], start: int | None = None, end: int | None = None):
@@ -137,48 +196,38 @@ def time_halo(df: DataFrame, ts: str, reach: str, block: str) -> DataFrame:
 def fill_forward(df: DataFrame, keys: list[str], order: list[str], values: list[str],
                  block: str = BAR_BLOCK) -> DataFrame:
     """Replace NULLs by the latest earlier non-NULL value of the key (NULL if there is none)."""
-    blocked = df.withColumn(_BLOCK, time_bucket(order[0], block))
-    at = _order_struct(order)
-    tails = blocked.groupBy(*keys, _BLOCK).agg(
-        *[F.max_by(v, F.when(F.col(v).isNotNull(), at)).alias(f"_tail_{v}") for v in values])
+    pieces = _pieces(df, keys, order, block)
+    at = _order_key(df, order, block)
+    tails = _per_piece(pieces, keys, *[F.max_by(v, F.when(F.col(v).isNotNull(), at)).alias(f"_tail_{v}") for v in values])
     earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = tails.select(*keys, _BLOCK, *[
+    carry = tails.select(_PIECE, *keys, _BLOCK, *[
         F.last(f"_tail_{v}", ignorenulls=True).over(earlier).alias(f"_carry_{v}") for v in values])
-    inside = Window.partitionBy(*keys, _BLOCK).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = blocked.select("*", *[F.last(v, ignorenulls=True).over(inside).alias(f"_local_{v}") for v in values])
-    return local.join(carry, [*keys, _BLOCK], "left").select(*[
+    inside = _inside(keys, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = pieces.select("*", *[F.last(v, ignorenulls=True).over(inside).alias(f"_local_{v}") for v in values])
+    return _with_piece(local, carry, keys).select(*[
         F.coalesce(f"_local_{c}", f"_carry_{c}").alias(c) if c in values else F.col(c) for c in df.columns])
 
 
-def value_ranks(df: DataFrame, keys: list[str], value: str, bin_width: int) -> DataFrame:
-    """Distinct integer values per key with the ranks they cover: value, ``lo``, ``hi``, ``n``.
+def value_ranks(df: DataFrame, keys: list[str], value: str, bin_width: int, with_null: bool = False) -> DataFrame:
+    """Distinct integer values per key with the ranks they cover: value, ``lo``, ``hi``, ``n`` and the key's ``least``.
 
-    Rows are counted per (key, value) before anything moves. Ranks are cumulated over bins of
-    ``bin_width`` values, so a window partition holds at most ``bin_width`` rows, and over the bins
-    of a key, whose number is bounded by the value range.
+    Rows are counted per (key, value) before anything moves. Ranks are cumulated over bins of ``bin_width`` values,
+    so a window partition holds at most ``bin_width`` rows, and over the bins of a key, whose number is bounded by the
+    value range. Both read one exchange of the counts. ``with_null`` keeps a row of NULL, without ranks, for
+    keys that have such rows.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_bin", F.floor(F.col(value) / bin_width))
-    )
+    there = F.col(value).isNotNull()
+    counts = (df if with_null else df.filter(there)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    counts = _cut(counts, keys, F.floor(F.col(value) / bin_width))
     per_key = Window.partitionBy(*keys)
-    bins = (
-        counts.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_b"))
-        .select(*keys, "_bin",
-                F.coalesce(F.sum("_b").over(per_key.orderBy("_bin").rowsBetween(
-                    Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-                F.sum("_b").over(per_key).alias("n"))
-    )
-    inside = Window.partitionBy(*keys, "_bin").orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (
-        counts.withColumn("_cum", F.sum("_c").over(inside))
-        .join(bins, [*keys, "_bin"])
-        .select(*keys, value, "n",
-                (F.col("_before") + F.col("_cum") - F.col("_c")).alias("lo"),
-                (F.col("_before") + F.col("_cum") - 1).alias("hi"))
-    )
+    before = F.sum("_b").over(per_key.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1))
+    bins = _per_piece(counts, keys, F.sum(F.when(there, F.col("_c"))).alias("_b"), F.min(value).alias("_low")).select(
+        _PIECE, *keys, _BLOCK, F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_b").over(per_key).alias("n"),
+        F.min("_low").over(per_key).alias("least"))
+    inside = _inside(keys, value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.when(there, F.col("_before") + F.col("_cum") - 1)
+    return _with_piece(counts.withColumn("_cum", F.sum("_c").over(inside)), bins, keys).select(
+        *keys, value, "n", (last - F.col("_c") + 1).alias("lo"), last.alias("hi"), "least")
 
 
 def quantile_cont(df: DataFrame, keys: list[str], value: str, p: float, name: str,

@@ -66,26 +66,27 @@ def spread_stats(bt: DataFrame, denominator: str = "bid") -> DataFrame:
 
 
 def latency_stats(df: DataFrame, p: float = 0.95) -> DataFrame:
-    """Latency moments and the exact interpolated quantile per symbol, all from the counts of equal latencies."""
+    """Latency moments and the exact interpolated quantile per symbol, all from the counts of equal latencies.
+
+    Symbols without a latency stay, by their count of NULL.
+    """
     us = df.select("symbol_id", X.elapsed_us("ts_exchange", "ts_ingest").alias("us"))
-    ranks = value_ranks(us, ["symbol_id"], "us", 65_536)
+    ranks = value_ranks(us, ["symbol_id"], "us", 65_536, with_null=True)
     at = F.lit(p) * (F.col("n") - 1)
     below, above = F.floor(at), F.ceil(at)
     covers = lambda rank: (F.col("lo") <= rank) & (F.col("hi") >= rank)
     n, ms = (F.col("hi") - F.col("lo") + 1).cast("double"), F.col("us") / 1000.0
     # Deviations from the symbol's least latency: sums of squares of large numbers would lose digits.
-    least = ranks.groupBy("symbol_id").agg(F.min("us").alias("_least"))
-    off = (F.col("us") - F.col("_least")) / 1000.0
+    off = (F.col("us") - F.col("least")) / 1000.0
     low, high = F.max(F.when(covers(below), F.col("us"))), F.max(F.when(covers(above), F.col("us")))
     total, first, second = F.sum(n), F.sum(n * off), F.sum(n * off * off)
-    sums = ranks.join(least, "symbol_id").groupBy("symbol_id").agg(
+    sums = ranks.groupBy("symbol_id").agg(
         F.min(ms).alias("min_latency_ms"), F.max(ms).alias("max_latency_ms"), total.alias("_n"), first.alias("_first"),
         second.alias("_second"), ((low + (high - low) * F.max(at - below)) / 1000.0).alias("p95_latency_ms"))
     spread = (F.col("_second") - F.col("_first") * F.col("_first") / F.col("_n")) / (F.col("_n") - 1)
-    moments = sums.select(
+    return sums.select(
         "symbol_id", (F.col("min_latency_ms") + F.col("_first") / F.col("_n")).alias("avg_latency_ms"), "min_latency_ms",
         "max_latency_ms", F.when(F.col("_n") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("latency_stddev"), "p95_latency_ms")
-    return df.select("symbol_id").distinct().join(moments, "symbol_id", "left")
 
 
 def daily_volume(bt: DataFrame) -> DataFrame:

@@ -12,12 +12,19 @@ from tickspark.operators.bars import depth_hourly, hourly_rollup
 from tickspark.operators.indicators import (
     forward_return, hourly_returns, lag_features, rolling_sma_vol, technical_indicators)
 from tickspark.operators.joins import enrich_symbols, join_bars, merge_depth_hourly, pair_bars
-from tickspark.operators.ordered import INDEX, TOTAL, chunk_window, fill_forward, own_rows, row_chunks
+from tickspark.operators.ordered import CHUNK, HALO, INDEX, TOTAL, fill_forward, row_chunks
 from tickspark.operators.ticks import (
     active_symbols, day_slice, optional_symbol_filter, recent, time_slice, with_calendar)
 
 ZSCORE_GUARD = 1e-9
 LABEL_THRESHOLD = 5e-4
+SEQUENCE_ROWS = 4096
+
+
+def _listed(df: DataFrame) -> DataFrame:
+    """Rows that can meet a symbol. An inner join drops the others anyway, but would do so on only one of the two
+    readers of a shared exchange."""
+    return df.filter(F.col("symbol_id").isNotNull())
 
 
 def yesterday_dataset(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFrame, day: str) -> DataFrame:
@@ -27,10 +34,10 @@ def yesterday_dataset(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFrame
     """
     bars = pair_bars(day_slice(bt_bars, day, "ts_second"), day_slice(tr_bars, day, "ts_second"),
                      ["trade_count", "volume_sum", "vwap", "imbalance_ratio"])
-    named = enrich_symbols(bars, active_symbols(symbols))
-    return lag_features(named).select(
-        "ts_second", "symbol", "mid_open", "mid_high", "mid_low", "mid_close", "spread_mean", "trade_count",
-        "volume_sum", "vwap", "imbalance_ratio", "prev_mid", "prev_imbalance")
+    named = enrich_symbols(bars, active_symbols(symbols)).select(
+        "symbol_id", "ts_second", "symbol", "mid_open", "mid_high", "mid_low", "mid_close", "spread_mean", "trade_count",
+        "volume_sum", "vwap", "imbalance_ratio")
+    return lag_features(named).drop("symbol_id")
 
 
 def training_day(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFrame, day: str,
@@ -72,7 +79,7 @@ def hourly_ml_features(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFram
     def cut(df, ts="ts_second"):
         return optional_symbol_filter(time_slice(df, start, until, ts), ids)
 
-    hourly = hourly_returns(hourly_rollup(cut(bt_bars), cut(tr_bars)))
+    hourly = hourly_returns(hourly_rollup(cut(_listed(bt_bars)), cut(tr_bars)))
     measured = technical_indicators(hourly, lagged=("h_close", "h_volume"))
     features = enrich_symbols(measured, symbols).withColumn(
         "timestamp", X.epoch_seconds("hour_bucket")).drop("h_buy_vol", "h_sell_vol")
@@ -92,7 +99,8 @@ def trailing_features(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFrame
 def realtime_features(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFrame, asof: str,
                       lookback: str = "60 MINUTES", ids: list[int] | None = None, preceding: int = 300) -> DataFrame:
     """Recent bars with short-term mean and deviation, for inference."""
-    quotes = optional_symbol_filter(recent(bt_bars, asof, lookback, "ts_second"), ids)
+    quotes = optional_symbol_filter(recent(_listed(bt_bars), asof, lookback, "ts_second"), ids).select(
+        "symbol_id", "ts_second", "mid_close", "spread_mean", "total_qty_mean", "update_count")
     trades = recent(tr_bars, asof, lookback, "ts_second")
     rolled = enrich_symbols(rolling_sma_vol(quotes, preceding), active_symbols(symbols))
     return join_bars(rolled, trades).select(
@@ -105,7 +113,7 @@ def supervised_table(bt_bars: DataFrame, tr_bars: DataFrame, symbols: DataFrame,
                      threshold: float = LABEL_THRESHOLD) -> DataFrame:
     """Features with the forward return, its sign and a three-class label."""
     # The return needs quotes only, so the windows run before the join.
-    base = pair_bars(forward_return(bt_bars, h), tr_bars, ["trade_count", "volume_sum", "vwap", "imbalance_ratio"])
+    base = pair_bars(forward_return(_listed(bt_bars), h), tr_bars, ["trade_count", "volume_sum", "vwap", "imbalance_ratio"])
     ret = F.col(f"ret_{h}s")
     return enrich_symbols(base, symbols).withColumns({
         "label": F.signum(ret).cast("long"),
@@ -120,7 +128,8 @@ def zscore(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     moments = df.groupBy("symbol_id").agg(
         *[F.avg(c).alias(f"_m_{c}") for c in columns], *[F.stddev_samp(c).alias(f"_s_{c}") for c in columns])
-    return df.join(moments, "symbol_id").select(*df.columns, *[
+    moments = moments.withColumnRenamed("symbol_id", "_of")
+    return df.join(moments, F.col("symbol_id").eqNullSafe(F.col("_of"))).select(*df.columns, *[
         ((F.col(c) - F.col(f"_m_{c}")) / (F.col(f"_s_{c}") + ZSCORE_GUARD)).alias(f"z_{c}") for c in columns])
 
 
@@ -136,7 +145,8 @@ def regular_grid(bars: DataFrame, w: str = "1 second", ts: str = "ts_second") ->
     day of slots.
     """
     step, day_us = X.width_us(w), X.width_us("1 day")
-    assert day_us % step == 0, "the width must divide a day"
+    if day_us % step:
+        raise ValueError("the width must divide a day")
     span = bars.groupBy("symbol_id").agg(
         F.unix_micros(F.min(ts)).alias("_lo"), F.unix_micros(F.max(ts)).alias("_hi"))
     days = span.withColumn("_day", F.explode(F.sequence(
@@ -153,20 +163,24 @@ def sequences(bars: DataFrame, features: list[str], length: int = 64, step: int
     """Sliding windows of ``length`` rows and the return h bars after their last row.
 
     Windows start at every ``step``-th row of a symbol while ``length + 5`` rows follow, as the
-    fixed margin demands; windows without a target are skipped. Each window is one bounded array.
+    fixed margin demands; windows without a target are skipped. A chunk of rows is gathered once, as one array of
+    bounded length, and only the kept windows are cut out of it.
     """
-    row = chunk_window(["symbol_id"])
-    window = chunk_window(["symbol_id"], 0, length - 1)
-    end_close = F.lead(close, length - 1).over(row)
-    later = F.lead(close, length - 1 + h).over(row)
-    chunks = row_chunks(bars, ["symbol_id"], [ts], after=length - 1 + h)
-    built = own_rows(
-        chunks.withColumn("_end", end_close).withColumn("y", X.ratio(later - F.col("_end"), F.col("_end")))
-        .withColumn("X", F.collect_list(F.array(*[F.col(c).cast("double") for c in features])).over(window)),
-        keep_index=True)
-    start = F.col(INDEX) - 1
-    return built.filter((F.pmod(start, F.lit(step)) == 0) & (start < F.col(TOTAL) - length - 5)
-                        & F.col("y").isNotNull()).select("symbol_id", ts, "X", "y")
+    reach = length - 1 + h
+    needed = bars.select(*dict.fromkeys(["symbol_id", ts, close, *features]))
+    chunks = row_chunks(needed, ["symbol_id"], [ts], after=reach, rows=max(SEQUENCE_ROWS, reach))
+    row = F.struct(INDEX, HALO, F.col(ts).alias("at"), F.col(close).cast("double").alias("close"),
+                   F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    packed = chunks.groupBy("symbol_id", CHUNK).agg(F.sort_array(F.collect_list(row)).alias("_rows_"), F.max(TOTAL).alias(TOTAL))
+    rows, x = F.col("_rows_"), F.col("_x")
+    starts = F.filter(F.sequence(F.lit(1), F.size(rows)), lambda i: ~F.get(rows, i - 1)[HALO] & (
+        F.pmod(F.get(rows, i - 1)[INDEX] - 1, F.lit(step)) == 0) & (F.get(rows, i - 1)[INDEX] - 1 < F.col(TOTAL) - length - 5))
+    ends = lambda i: F.get(rows, i + length - 2)["close"]
+    cut = F.transform(starts, lambda i: F.struct(
+        F.get(rows, i - 1)["at"].alias(ts), F.slice(x, i, length).alias("X"),
+        X.ratio(F.get(rows, i + length - 2 + h)["close"] - ends(i), ends(i)).alias("y")))
+    windows = packed.withColumn("_x", F.transform(rows, lambda r: r["x"])).select("symbol_id", F.inline(cut))
+    return windows.filter(F.col("y").isNotNull()).select("symbol_id", ts, "X", "y")
 
 
 def symbol_one_hot(df: DataFrame, ids: list[int]) -> DataFrame:

@@ -6,6 +6,7 @@ from tickspark.operators import bars as B
 from tickspark.operators import indicators as I
 from tickspark.operators import micro as M
 from tickspark.operators.ticks import optional_symbol_filter, time_slice
+from tickspark.plans import datasets as L
 from tickspark.schemas import KEYS
 from tickspark.session import work_dir
 from tickspark.sources import tables as S
@@ -179,3 +180,24 @@ def _(m):
     S.export_parquet(M.market_features(time_slice(stored, "2024-01-01", "2024-01-18 13:17:00", "ts_bucket")), path, "ts_exchange")
     T.refresh_features(m.spark, bars, path, "2024-01-18 12:00:00", "2024-02-01 00:00:00", look_back_days=18)
     return m.spark.read.parquet(path).select("ts_exchange", "symbol_id", "microprice", "ofi", "vpin", "price_volatility", "return_1s")
+
+
+NULL_KEYS = "CASE WHEN symbol_id % 5 > 0 THEN symbol_id END AS symbol_id"
+
+
+@query("w3_null_keys", f"""SELECT ts_second, symbol_id, mid_close, avg(mid_close) OVER w AS sma_5min FROM (
+       SELECT {NULL_KEYS}, ts_second, min(mid_close) AS mid_close FROM bt_hour GROUP BY ALL)
+       WINDOW w AS (PARTITION BY symbol_id ORDER BY ts_second ROWS BETWEEN 20 PRECEDING AND CURRENT ROW)""", dbl="mid_close sma_5min")
+def _(m):
+    bars = B.quote_bars_mid(m.bt, "1 hour").withColumn("symbol_id", F.when(F.col("symbol_id") % 5 > 0, F.col("symbol_id")))
+    bars = bars.groupBy("symbol_id", "ts_second").agg(F.min("mid_close").alias("mid_close"))
+    return I.rolling_sma_vol(bars, 20).select("ts_second", "symbol_id", "mid_close", "sma_5min")
+
+
+@query("l6_null_keys", f"""SELECT ts_second, symbol_id, mid_close, (mid_close - avg(mid_close) OVER w) / (stddev_samp(mid_close) OVER w + 1e-9) AS z_mid_close
+       FROM (SELECT {NULL_KEYS}, ts_second, min(mid_close) AS mid_close FROM bt_hour GROUP BY ALL) WINDOW w AS (PARTITION BY symbol_id)""",
+       dbl="mid_close z_mid_close")
+def _(m):
+    bars = B.quote_bars_mid(m.bt, "1 hour").withColumn("symbol_id", F.when(F.col("symbol_id") % 5 > 0, F.col("symbol_id")))
+    bars = bars.groupBy("symbol_id", "ts_second").agg(F.min("mid_close").alias("mid_close"))
+    return L.zscore(bars, ["mid_close"])
