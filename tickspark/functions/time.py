@@ -80,6 +80,15 @@ def order_in_bucket(ts: Column | str, event_id: Column | str, width: str) -> Col
     return (offset * F.expr("100000000000000000000BD") + place).cast("decimal(35,0)")
 
 
+def order_of_rows(ts: Column | str, event_id: Column | str | None = None) -> Column:
+    """One number that orders rows by (time, id), for any time up to the year 9999 and any 64-bit id; NULLs come first."""
+    us = F.coalesce(F.unix_micros(_col(ts)), F.lit(-(10**17)))
+    if event_id is None:
+        return us
+    place = F.coalesce(_col(event_id).cast("decimal(20,0)") + F.expr("9223372036854775809BD"), F.lit(0).cast("decimal(21,0)"))
+    return (us.cast("decimal(18,0)") * F.expr("100000000000000000000BD") + place).cast("decimal(38,0)")
+
+
 def utc_instant(value: str) -> datetime:
     """The instant a text names, as a UTC time; a text without a zone is in UTC."""
     at = datetime.fromisoformat(value.strip())

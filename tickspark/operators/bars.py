@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickspark import functions as X
+from tickspark.operators.ordered import pick_row
 
 SECOND = "1 second"
 
@@ -214,11 +215,9 @@ def topn_resample(topn: DataFrame, w: str = "100 milliseconds") -> DataFrame:
 
 
 def bucket_pick(df: DataFrame, keys: list[str], order: list[str], which: str) -> DataFrame:
-    """The first or last row of every group, as one aggregation instead of a ranked window."""
-    rest = [c for c in df.columns if c not in keys]
-    pick = F.min_by if which == "first" else F.max_by
-    picked = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    """The first or last row of every group by a time, or a time and a whole number, as one aggregation
+    instead of a ranked window."""
+    return pick_row(df, keys, X.order_of_rows(*order), which == "last").select(*keys, *[c for c in df.columns if c not in keys])
 
 
 def bucket_window_stats(bt: DataFrame, w: str = SECOND) -> DataFrame:

@@ -66,17 +66,18 @@ def ofi_within_bucket(depth: DataFrame) -> DataFrame:
     )
 
 
-def split_volume(bars: DataFrame) -> DataFrame:
-    """Reconstruct side volumes from the buy ratio where both are 0 and there is volume."""
+def _side_volumes() -> tuple[Column, Column]:
     buy, sell = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("buy_volume", "sell_volume"))
     share = F.coalesce("buy_ratio", F.lit(0.5))
     empty = (buy == 0) & (sell == 0)
-    return bars.withColumns({
-        "buy_volume": F.when(F.col("volume").isNull(), None).otherwise(
-            F.when(empty, F.col("volume") * share).otherwise(buy)),
-        "sell_volume": F.when(F.col("volume").isNull(), None).otherwise(
-            F.when(empty, F.col("volume") * (1 - share)).otherwise(sell)),
-    })
+    return (F.when(F.col("volume").isNull(), None).otherwise(F.when(empty, F.col("volume") * share).otherwise(buy)),
+            F.when(F.col("volume").isNull(), None).otherwise(F.when(empty, F.col("volume") * (1 - share)).otherwise(sell)))
+
+
+def split_volume(bars: DataFrame) -> DataFrame:
+    """Reconstruct side volumes from the buy ratio where both are 0 and there is volume."""
+    buy, sell = _side_volumes()
+    return bars.withColumns({"buy_volume": buy, "sell_volume": sell})
 
 
 def with_volume_ratios(bars: DataFrame) -> DataFrame:
@@ -174,6 +175,20 @@ def market_features(bars: DataFrame, n: int = 10, ask_sign: str = "reference") -
     return _with_vpin(features, n).drop("buy_volume", "sell_volume")
 
 
+def feature_tails(bars: DataFrame, by: list[str], n: int = 10) -> DataFrame:
+    """The bars of each group that :func:`market_features` of later bars looks back at: the last n, and the last n traded.
+
+    ``by`` names the group, such as a symbol and day; one group's bars are sorted in one task.
+    """
+    newest = Window.partitionBy(*by).orderBy(F.desc("ts_bucket"))
+    buy, sell = _side_volumes()
+    return (
+        bars.withColumn("_traded", F.coalesce(buy + sell > 0, F.lit(False)))
+        .withColumns({"_at": F.row_number().over(newest), "_traded_at": F.sum(F.col("_traded").cast("long")).over(newest)})
+        .filter((F.col("_at") <= n) | (F.col("_traded") & (F.col("_traded_at") <= n)))
+        .drop("_at", "_traded_at", "_traded"))
+
+
 def _sorted_side(levels: str, best_first_desc: bool) -> Column:
     """Non-empty levels, best first. Sorting by price does not rely on the feed's order."""
     kept = F.filter(F.col(levels), lambda level: level["qty"] > 0)

@@ -95,6 +95,27 @@ def fit_block(df: DataFrame, keys: list[str], ts: str, limit: int = 5_000_000,
     return next((w for w in widths if sizes[w] <= limit), widths[-1])
 
 
+def whole_row_hash(columns: list[str]) -> Column:
+    """A number from 0 up to 2**64 that depends on every column: a fixed order of rows that are equal otherwise."""
+    return F.xxhash64(*columns).cast("decimal(20,0)") + F.expr("9223372036854775808BD")
+
+
+def pick_row(df: DataFrame, keys: list[str], rank: Column, last: bool = True) -> DataFrame:
+    """The row of each group with the highest (or lowest) ``rank``, a primitive; a NULL rank loses to all others.
+
+    Columns of fixed width are picked one by one, which a hash aggregate can do before and after the exchange: all
+    picks compare the same ranks in the same order, so they come from one row. Texts and arrays need the
+    row as a struct, which sorts.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    by = F.max_by if last else F.min_by
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if all(isinstance(df.schema[c].dataType, fixed) for c in rest):
+        return df.groupBy(*keys).agg(*[by(c, rank).alias(c) for c in rest]).select(*df.columns)
+    picked = df.groupBy(*keys).agg(by(F.struct(*rest), rank).alias("_row_"))
+    return picked.select(*[F.col("_row_")[c].alias(c) if c in rest else F.col(c) for c in df.columns])
+
+
 def with_previous(df: DataFrame, keys: list[str], order: list[str], values: list[str],
                   block: str = TICK_BLOCK, prefix: str = "prev_") -> DataFrame:
     """Add the previous row's ``values`` per key, NULL on the first row of a key.

@@ -6,15 +6,27 @@ so a day prunes directories and a symbol prunes row groups.
 
 from __future__ import annotations
 
+import hashlib
+import math
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickspark import functions as X
 from tickspark.operators.joins import anti_existing
+from tickspark.operators.ordered import pick_row, whole_row_hash
 from tickspark.operators.ticks import optional_symbol_filter, time_slice
 from tickspark.schemas import L1_CSV
 
 DATE = "event_date"
+FILE_BYTES = 128 << 20
+#: Days of one batch up to which its times, and not only its days, narrow what it is compared with.
+MAX_SPANS = 100
 
 
 def with_event_date(df: DataFrame, ts: str = "ts_exchange") -> DataFrame:
@@ -41,6 +53,32 @@ def stored_days(spark: SparkSession, path: str) -> list[str]:
     return sorted(n.split("=", 1)[1] for n in names if n.startswith(DATE + "="))
 
 
+def day_files(spark: SparkSession, path: str, day: str) -> list[tuple[str, int]]:
+    """Name and bytes of a day's data files, from the listing."""
+    root, fs = _root(spark, f"{path}/{DATE}={day}")
+    files = [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(root) if s.isFile()] if fs.exists(root) else []
+    return sorted(f for f in files if not f[0].startswith(("_", ".")))
+
+
+def listing_hash(files: list[tuple[str, int]]) -> str:
+    """Changes whenever a day is written, since every write names its files anew."""
+    return hashlib.sha256(repr(files).encode()).hexdigest()[:32]
+
+
+def mark_day(spark: SparkSession, path: str, day: str, kind: str, value: str) -> None:
+    """Leave a hidden, empty file in a day's folder; it goes when the day is overwritten or dropped."""
+    root, fs = _root(spark, f"{path}/{DATE}={day}")
+    for s in fs.listStatus(root):
+        if s.getPath().getName().startswith(f"_{kind}-"):
+            fs.delete(s.getPath(), False)
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(root, f"_{kind}-{value}"), True).close()
+
+
+def is_marked(spark: SparkSession, path: str, day: str, kind: str, value: str) -> bool:
+    root, fs = _root(spark, f"{path}/{DATE}={day}/_{kind}-{value}")
+    return fs.exists(root)
+
+
 def drop_days(spark: SparkSession, path: str, days: list[str]) -> None:
     _, fs = _root(spark, path)
     for day in days:
@@ -57,9 +95,44 @@ def write_partitioned(df: DataFrame, path: str, sort: list[str], mode: str = "ap
      .write.mode(mode).options(**options).partitionBy(DATE).parquet(path))
 
 
+@contextmanager
+def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """``df`` written once under ``path``, where readers of the table do not see it, and read from there.
+
+    A batch is needed several times (its days, its keys, the sampling of a range); this way its source and parsers
+    run once, and what they gave is the same each time.
+    """
+    spark = df.sparkSession
+    root, fs = _root(spark, f"{path}/_staged-{uuid.uuid4().hex}")
+    try:
+        df.write.parquet(root.toString())
+        yield spark.read.schema(df.schema).parquet(root.toString())
+    finally:
+        fs.delete(root, True)
+
+
+def _on_days(live: DataFrame, days: list) -> DataFrame:
+    """Live rows of the given days, as a filter on the partitions; None is the partition of rows without a time."""
+    there = F.col(DATE).isin([d for d in days if d is not None])
+    return live.filter(there | F.col(DATE).isNull() if None in days else there)
+
+
 def _touched_days(live: DataFrame, rows: DataFrame) -> DataFrame:
-    """Live rows of the days that ``rows`` touch. The broadcast side is one row per calendar day."""
-    return live.join(F.broadcast(rows.select(DATE).distinct()), DATE, "left_semi")
+    """Live rows of the days that ``rows`` touch."""
+    return _on_days(live, [r[0] for r in rows.select(DATE).distinct().collect()])  # one row per calendar day
+
+
+def _touched_times(live: DataFrame, rows: DataFrame, ts: str) -> DataFrame:
+    """Live rows between the first and last time that ``rows`` have on each of their days.
+
+    Days are partitions and a batch's files cover its narrow time, so what is left of the live table is found from
+    partition names and Parquet statistics: the stored keys a batch is compared with do not grow with the day.
+    """
+    spans = rows.groupBy(DATE).agg(F.min(ts).alias("first"), F.max(ts).alias("last")).collect()  # one row per calendar day
+    near = [(F.col(DATE) == r[DATE]) & F.col(ts).between(F.lit(r["first"]), F.lit(r["last"])) if r[DATE] else F.col(DATE).isNull()
+            for r in spans[:MAX_SPANS]]
+    live = _on_days(live, [r[DATE] for r in spans])
+    return live.filter(reduce(or_, near, F.lit(False))) if len(spans) <= MAX_SPANS else live
 
 
 def write_ticks_idempotent(df: DataFrame, path: str, key: list[str], sort: list[str] | None = None,
@@ -67,38 +140,40 @@ def write_ticks_idempotent(df: DataFrame, path: str, key: list[str], sort: list[
                            all_days: bool = False) -> None:
     """Append rows whose key is not stored yet; among new duplicates the earliest arrival wins.
 
-    Duplicates collapse in a map-side combined min_by, so a key delivered many times is cheap. A
-    message delivered again carries its exchange time, so only the stored days the batch touches are
-    read; ``all_days`` compares with the whole table.
+    ``df`` is evaluated once, see :func:`staged`. Duplicates collapse in a map-side combined min_by, so a key delivered
+    many times is cheap. A message delivered again carries its exchange time, so only stored rows of the times the
+    batch has are read; ``all_days`` compares with the whole table.
     """
     spark = df.sparkSession
-    rows = with_event_date(dedup_first(df, key, first_by), ts)
-    if stored_days(spark, path):
-        live = spark.read.schema(rows.schema).parquet(path)
-        rows = anti_existing(rows, live if all_days else _touched_days(live, rows), key)
-    write_partitioned(rows, path, sort or ["symbol_id", ts])
+    with staged(with_event_date(df, ts), path) as batch:
+        rows = dedup_first(batch, key, first_by)
+        if stored_days(spark, path):
+            live = spark.read.schema(rows.schema).parquet(path)
+            rows = anti_existing(rows, live if all_days else _touched_times(live, batch, ts), key)
+        write_partitioned(rows, path, sort or ["symbol_id", ts])
 
 
 def dedup_first(df: DataFrame, key: list[str], first_by: str = "ts_ingest") -> DataFrame:
-    """One row per key: the earliest by ``first_by``, then by the remaining columns."""
+    """One row per key: the earliest by ``first_by``, a NULL being the earliest, then by a hash of the row."""
     rest = [c for c in df.columns if c not in key]
-    order = [first_by, *[c for c in rest if c != first_by and df.schema[c].dataType.simpleString() != "binary"]]
-    kept = df.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
-    return kept.select(*[F.col("_r")[c].alias(c) if c in rest else F.col(c) for c in df.columns])
+    at = F.coalesce(F.unix_micros(first_by), F.lit(-(10**17))).cast("decimal(18,0)")
+    rank = (at * F.expr("100000000000000000000BD") + whole_row_hash(rest)).cast("decimal(38,0)")
+    return pick_row(df, key, rank, last=False)
 
 
 def upsert_latest(new: DataFrame, path: str, key: list[str], ts: str = "ts_exchange") -> None:
-    """Insert or replace rows by key: the new row wins. Only the touched days are rewritten."""
+    """Insert or replace rows by key: the new row wins, among several the one with the highest hash. Only the touched
+    days are rewritten; ``new`` is evaluated once."""
     spark = new.sparkSession
-    rows = with_event_date(new, ts).withColumn("_version", F.lit(1))
-    if stored_days(spark, path):
-        live = _touched_days(spark.read.schema(rows.drop("_version").schema).parquet(path), rows)
-        rows = rows.unionByName(live.withColumn("_version", F.lit(0)))
-    rest = [c for c in rows.columns if c not in key]
-    merged = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct("_version", *rest)).alias("_r"))
-    out = merged.select(*key, *[F.col("_r")[c].alias(c) for c in rest if c != "_version"])
-    # Files of the days read above are replaced only when the job commits, after all reads.
-    write_partitioned(out, path, key, "overwrite", partitionOverwriteMode="dynamic")
+    with staged(with_event_date(new, ts), path) as batch:
+        rows = batch.withColumn("_version", F.lit(1))
+        if stored_days(spark, path):
+            live = _touched_days(spark.read.schema(batch.schema).parquet(path), batch)
+            rows = rows.unionByName(live.withColumn("_version", F.lit(0)))
+        rest = [c for c in rows.columns if c not in key]
+        rank = (F.col("_version").cast("decimal(1,0)") * F.expr("100000000000000000000BD") + whole_row_hash(rest)).cast("decimal(38,0)")
+        # Files of the days read above are replaced only when the job commits, after all reads.
+        write_partitioned(pick_row(rows, key, rank).drop("_version"), path, key, "overwrite", partitionOverwriteMode="dynamic")
 
 
 def export_csv(df: DataFrame, path: str, order: list[str], by: list[str] | None = None) -> None:
@@ -119,11 +194,16 @@ def export_parquet(df: DataFrame, path: str, ts: str = "ts_second", sort: list[s
 
 
 def rotate_files(l1: DataFrame, path: str, hours: int = 24, max_records: int = 5_000_000) -> None:
-    """One folder of gzip CSV files per symbol and rotation window; big windows split by count."""
+    """One folder of gzip CSV files per symbol and rotation window; big windows split by count.
+
+    A run replaces the windows it has records of and leaves the others, so pass whole windows; repeating it changes
+    nothing.
+    """
     window = X.time_bucket(F.timestamp_micros("timestamp"), f"{hours} hours")
     (l1.withColumn("rotation", F.date_format(window, "yyyyMMdd_HHmmss"))
      .repartitionByRange("symbol", "timestamp").sortWithinPartitions("symbol", "timestamp")
-     .write.mode("append").option("maxRecordsPerFile", max_records).partitionBy("symbol", "rotation")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records)
+     .partitionBy("symbol", "rotation")
      .csv(path, header=True, compression="gzip"))
 
 
@@ -167,12 +247,37 @@ def archive(spark: SparkSession, path: str, archive_path: str, cutoff: str, ts:
     retention(spark, path, cutoff, ts, sort)
 
 
-def compact(spark: SparkSession, path: str, before_day: str, ts: str = "ts_exchange",
-            sort: list[str] | None = None) -> None:
-    """Rewrite days before ``before_day`` into few, sorted, zstd-compressed files."""
-    old = spark.read.parquet(path).filter(F.col(DATE) < F.to_date(F.lit(before_day)))
-    write_partitioned(old, path, sort or ["symbol_id", ts], "overwrite",
-                      partitionOverwriteMode="dynamic", compression="zstd")
+def fragmented_days(spark: SparkSession, path: str, before_day: str, file_bytes: int = FILE_BYTES) -> dict[str, int]:
+    """Days before ``before_day`` in more files than their bytes fill, and how many files they should have.
+
+    Read from the listing alone. A day that :func:`compact` has written and nobody has touched since is left out,
+    however its files turned out.
+    """
+    plan = {}
+    for day in stored_days(spark, path):
+        if day < before_day:
+            files = day_files(spark, path, day)
+            wanted = max(1, math.ceil(sum(size for _, size in files) / file_bytes))
+            if len(files) > wanted and not is_marked(spark, path, day, "compacted", listing_hash(files)):
+                plan[day] = wanted
+    return plan
+
+
+def compact(spark: SparkSession, path: str, before_day: str, ts: str = "ts_exchange", sort: list[str] | None = None,
+            file_bytes: int = FILE_BYTES) -> list[str]:
+    """Rewrite fragmented days before ``before_day`` into few, sorted, zstd-compressed files; returns those days.
+
+    Each is a job of its own, committed on its own: a run that was cut short goes on where it stopped. Whole days are
+    left alone, so the cost follows what was written since the last run, not the history.
+    """
+    order = sort or ["symbol_id", ts]
+    plan = fragmented_days(spark, path, before_day, file_bytes)
+    for day, files in plan.items():
+        rows = spark.read.parquet(path).filter(F.col(DATE) == F.to_date(F.lit(day)))
+        (rows.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("overwrite")
+         .options(partitionOverwriteMode="dynamic", compression="zstd").partitionBy(DATE).parquet(path))
+        mark_day(spark, path, day, "compacted", listing_hash(day_files(spark, path, day)))
+    return list(plan)
 
 
 def migrate_layout(spark: SparkSession, source: str, path: str, ts: str = "ts_exchange",
@@ -184,6 +289,4 @@ def migrate_layout(spark: SparkSession, source: str, path: str, ts: str = "ts_ex
 
 def latest_version(df: DataFrame, key: list[str], version: str) -> DataFrame:
     """One row per key: the one with the highest version."""
-    rest = [c for c in df.columns if c not in key]
-    best = df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(version)).alias("_r"))
-    return best.select(*key, *[F.col("_r")[c].alias(c) for c in rest])
+    return pick_row(df, key, F.col(version))

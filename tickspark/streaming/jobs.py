@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from contextlib import ExitStack
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +14,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tickspark import functions as X
 from tickspark.operators.bars import depth_bars, quote_bars_bidask, quote_bars_mid, trade_bars_ext
 from tickspark.operators.joins import market_data_bars
-from tickspark.operators.micro import flatten_topn, market_features
+from tickspark.operators.micro import feature_tails, flatten_topn, market_features, split_volume
 from tickspark.operators.ticks import time_slice
 from tickspark.schemas import KEYS
 from tickspark.sources import wire
 from tickspark.sources.tables import (
-    DATE, drop_days, export_parquet, latest_version, scan_ticks, stored_days, write_partitioned, write_ticks_idempotent)
+    DATE, day_files, drop_days, export_parquet, is_marked, latest_version, listing_hash, mark_day, scan_ticks, staged, stored_days,
+    write_partitioned, write_ticks_idempotent)
 
 LATENESS = "2 hours"
 REFRESH = "30 seconds"
@@ -109,9 +111,9 @@ def refresh_bars(spark: SparkSession, ticks: str, bars_path: str, start: str, en
     export_parquet(bars(scan_ticks(spark, ticks, first, last), w), bars_path, ts)
 
 
-def _whole_days(start: str, end: str, before: int = 0) -> tuple[str, str]:
-    """The days that ``[start, end)`` touches, and ``before`` days ahead of them, as dates with an exclusive end."""
-    first = X.utc_instant(start).date() - timedelta(days=before)
+def _whole_days(start: str, end: str) -> tuple[str, str]:
+    """The days that ``[start, end)`` touches, as dates with an exclusive end."""
+    first = X.utc_instant(start).date()
     last = (X.utc_instant(end) - timedelta(microseconds=1)).date() + timedelta(days=1)
     return first.isoformat(), last.isoformat()
 
@@ -121,14 +123,61 @@ def refresh_topn(spark: SparkSession, depth: str, path: str, start: str, end: st
     export_parquet(flatten_topn(scan_ticks(spark, depth, *_whole_days(start, end)), n), path, "ts_exchange")
 
 
-def refresh_features(spark: SparkSession, bars: str, path: str, start: str, end: str, look_back_days: int = 1) -> None:
+def update_feature_tails(spark: SparkSession, bars: str, tails: str, days: list[str], n: int = 10) -> list[str]:
+    """Bring the tails of ``days`` of stored joined bars up to date; returns the days that had to be read.
+
+    Tails are, per symbol and day, the last n bars and the last n traded ones: what the features of later days
+    look back at, a few thousandths of the bars. A day's tails carry the listing they were made from, so only
+    days written since are read again.
+    """
+    made_from = {day: listing_hash([*day_files(spark, bars, day), ("n", n)]) for day in days}
+    stale = [day for day, value in made_from.items() if not is_marked(spark, tails, day, "tails", value)]
+    if stale:
+        rows = spark.read.parquet(bars).filter(F.col(DATE).isin([date.fromisoformat(d) for d in stale]))
+        write_partitioned(feature_tails(rows, [DATE, "symbol_id"], n), tails, ["symbol_id", "ts_bucket"], "overwrite",
+                          partitionOverwriteMode="dynamic")
+        for day in stale:
+            mark_day(spark, tails, day, "tails", made_from[day])
+    return stale
+
+
+def feature_history(spark: SparkSession, bars: str, tails: str, wanted: DataFrame, before: str, n: int = 10) -> DataFrame | None:
+    """The last n bars and the last n traded bars before the day ``before`` of each symbol in ``wanted(symbol_id)``.
+
+    Goes back over the days' tails, twice as many days each time, until every symbol has both or the days end. A symbol
+    that trades seldom, or is new, costs the reading of older tails, never of older bars.
+    """
+    days = [d for d in reversed(stored_days(spark, bars)) if d < before]
+    symbols = wanted.select(F.col("symbol_id").alias("_wanted")).distinct()
+    reach = 1
+    while days:
+        update_feature_tails(spark, bars, tails, days[:reach], n)
+        oldest = date.fromisoformat(days[:reach][-1])
+        rows = spark.read.parquet(tails).filter((F.col(DATE) >= F.lit(oldest)) & (F.col(DATE) < F.lit(date.fromisoformat(before))))
+        found = feature_tails(rows.drop(DATE).join(symbols, F.col("symbol_id").eqNullSafe(F.col("_wanted")), "left_semi"), ["symbol_id"], n)
+        if reach >= len(days):
+            return found
+        traded = split_volume(found).withColumn("_traded", F.col("buy_volume") + F.col("sell_volume") > 0)
+        counts = traded.groupBy("symbol_id").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_traded").alias("_t"))
+        short = symbols.join(counts, F.col("symbol_id").eqNullSafe(F.col("_wanted")), "left").filter(
+            (F.coalesce("_n", F.lit(0)) < n) | (F.coalesce("_t", F.lit(0)) < n))
+        if short.isEmpty():
+            return found
+        reach *= 2
+    return None
+
+
+def refresh_features(spark: SparkSession, bars: str, path: str, start: str, end: str, n: int = 10, tails: str | None = None) -> None:
     """Recompute the features of the days that ``[start, end)`` touches from the stored joined bars.
 
-    Features look back some bars; the bars of ``look_back_days`` before are read for that and written to no day.
+    Features look back a number of rows, however far that is in time: see :func:`feature_history`. The tails are kept
+    beside the bars, or in ``tails``.
     """
     first, last = _whole_days(start, end)
-    history = scan_ticks(spark, bars, *_whole_days(start, end, look_back_days), ts="ts_bucket").drop(DATE)
-    export_parquet(time_slice(market_features(history), first, last), path, "ts_exchange")
+    fresh = scan_ticks(spark, bars, first, last, ts="ts_bucket").drop(DATE)
+    older = feature_history(spark, bars, tails or f"{bars.rstrip('/')}_tails", fresh, first, n)
+    history = fresh if older is None else fresh.unionByName(older)
+    export_parquet(time_slice(market_features(history, n), first, last), path, "ts_exchange")
 
 
 def stream_market_data(bt: DataFrame, tr: DataFrame, de: DataFrame, root: str, w: str = "1 second",
@@ -183,21 +232,22 @@ def stream_ingest(messages: DataFrame, symbols: DataFrame, root: str, checkpoint
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        env = wire.read_envelope(batch).persist()
-        parsed = {table: parse(env) for table, parse in parsers.items()}
-        seen = reduce(DataFrame.unionByName, [wire.accepted(p).select("symbol") for p in parsed.values()])
-        known = registered_symbols(spark, symbols, root, batch_id)
-        added = wire.new_symbols(seen, known, exchange)
-        (added.withColumn("id", F.col("id").cast("bigint")).withColumn(VERSION, F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(VERSION).parquet(f"{root}/symbols"))
-        listed = registered_symbols(spark, symbols, root, batch_id + 1)
-        bad = wire.unrouted(env).withColumn("table_name", F.lit(None).cast("string"))
-        for table, rows in parsed.items():
-            write_ticks_idempotent(wire.attach_symbol_id(wire.accepted(rows), listed), f"{root}/{table}", KEYS[table])
-            bad = bad.unionByName(wire.rejected(rows).withColumn("table_name", F.lit(table)))
-        (bad.withColumn(VERSION, F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(VERSION).parquet(f"{root}/rejects"))
-        env.unpersist()
+        with ExitStack() as stages:  # everything below reads what was parsed once, and leaves nothing behind
+            held = lambda df: stages.enter_context(staged(df, root))
+            env = held(wire.read_envelope(batch))
+            parsed = {table: held(parse(env)) for table, parse in parsers.items()}
+            seen = reduce(DataFrame.unionByName, [wire.accepted(p).select("symbol") for p in parsed.values()])
+            known = registered_symbols(spark, symbols, root, batch_id)
+            added = wire.new_symbols(seen, known, exchange)
+            (added.withColumn("id", F.col("id").cast("bigint")).withColumn(VERSION, F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(VERSION).parquet(f"{root}/symbols"))
+            listed = registered_symbols(spark, symbols, root, batch_id + 1)
+            bad = wire.unrouted(env).withColumn("table_name", F.lit(None).cast("string"))
+            for table, rows in parsed.items():
+                write_ticks_idempotent(wire.attach_symbol_id(wire.accepted(rows), listed), f"{root}/{table}", KEYS[table])
+                bad = bad.unionByName(wire.rejected(rows).withColumn("table_name", F.lit(table)))
+            (bad.withColumn(VERSION, F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(VERSION).parquet(f"{root}/rejects"))
 
     return _start(messages, write, checkpoint, "append", every)
 

@@ -14,7 +14,7 @@ from tickspark.sources import wire as W
 from tickspark.streaming import jobs as T
 from verification.bars import QB
 from verification.features import CLOSES, FEATURES, closes, market
-from verification.feed import NOT_ERROR, QUOTE, _drain, _live, _stored_quotes
+from verification.feed import L1, NOT_ERROR, QUOTE, _drain, _live, _stored_quotes
 from verification.registry import D, H, bucket, query
 
 # Ids on both sides of powers of two, many of them at one time.
@@ -178,7 +178,7 @@ def _(m):
     S.write_partitioned(S.with_event_date(market(m), "ts_bucket"), bars, ["symbol_id", "ts_bucket"])
     stored = m.spark.read.parquet(bars).drop("event_date")
     S.export_parquet(M.market_features(time_slice(stored, "2024-01-01", "2024-01-18 13:17:00", "ts_bucket")), path, "ts_exchange")
-    T.refresh_features(m.spark, bars, path, "2024-01-18 12:00:00", "2024-02-01 00:00:00", look_back_days=18)
+    T.refresh_features(m.spark, bars, path, "2024-01-18 12:00:00", "2024-02-01 00:00:00")
     return m.spark.read.parquet(path).select("ts_exchange", "symbol_id", "microprice", "ofi", "vpin", "price_volatility", "return_1s")
 
 
@@ -201,3 +201,44 @@ def _(m):
     bars = B.quote_bars_mid(m.bt, "1 hour").withColumn("symbol_id", F.when(F.col("symbol_id") % 5 > 0, F.col("symbol_id")))
     bars = bars.groupBy("symbol_id", "ts_second").agg(F.min("mid_close").alias("mid_close"))
     return L.zscore(bars, ["mid_close"])
+
+
+THIN = f"""WITH thin AS MATERIALIZED (SELECT * FROM mk_hour QUALIFY row_number() OVER (PARTITION BY symbol_id, CAST(ts_bucket AS DATE)
+       ORDER BY ts_bucket) = 1) SELECT ts_exchange, symbol_id, microprice, ofi, vpin, price_volatility, return_1s
+       FROM ({FEATURES.replace("mk_hour", "thin")})"""
+
+
+@query("t3_refresh_thin", THIN, dbl="microprice ofi vpin price_volatility return_1s")
+def _(m):
+    """One bar a day: what the features look back at lies many days before the days refreshed."""
+    bars, path = work_dir(m.spark, "thin-bars"), work_dir(m.spark, "thin-features")
+    hourly = market(m)
+    first = hourly.groupBy("symbol_id", F.to_date("ts_bucket").alias("day")).agg(F.min("ts_bucket").alias("ts_bucket")).drop("day")
+    S.write_partitioned(S.with_event_date(hourly.join(first, ["symbol_id", "ts_bucket"], "left_semi"), "ts_bucket"), bars, ["symbol_id", "ts_bucket"])
+    stored = m.spark.read.parquet(bars).drop("event_date")
+    S.export_parquet(M.market_features(time_slice(stored, "2024-01-01", "2024-01-18 13:17:00", "ts_bucket")), path, "ts_exchange")
+    for start, end in (("2024-01-18 12:00:00", "2024-01-19"), ("2024-01-19", "2024-01-25"), ("2024-01-25", "2024-02-01")):
+        T.refresh_features(m.spark, bars, path, start, end)
+    return m.spark.read.parquet(path).select("ts_exchange", "symbol_id", "microprice", "ofi", "vpin", "price_volatility", "return_1s")
+
+
+@query("r2_compact_twice", f"SELECT *, 0 AS rewritten FROM book_ticker", dbl=QUOTE, big="rewritten")
+def _(m):
+    """The second run rewrites no day."""
+    path = work_dir(m.spark, "fragments")
+    quotes = S.with_event_date(m.bt)
+    for part in range(3):
+        S.write_partitioned(quotes.filter(F.col("update_id") % 3 == part), path, ["symbol_id", "ts_exchange"])
+    S.compact(m.spark, path, "2024-01-20")
+    again = len(S.compact(m.spark, path, "2024-01-20"))
+    return m.spark.read.parquet(path).drop("event_date").withColumn("rewritten", F.lit(again))
+
+
+@query("s13_rotate_twice", f"""SELECT symbol, strftime(make_timestamp(timestamp // {D} * {D}), '%Y%m%d_%H%M%S') AS rotation,
+       count(*) AS records FROM ({L1}) GROUP BY 1, 2""")
+def _(m):
+    path = work_dir(m.spark, "rotated-twice")
+    for _ in range(2):
+        S.rotate_files(W.depth_to_l1(W.read_envelope(m.messages), "spot"), path)
+    stored = m.spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return stored.groupBy("symbol", "rotation").agg(F.count(F.lit(1)).alias("records"))
