@@ -6,13 +6,16 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from tickspark.functions.time import time_bucket
 from tickspark.operators import bars as B
 from tickspark.operators import indicators as I
 from tickspark.operators import joins as J
 from tickspark.operators import micro as M
 from tickspark.operators import profile as P
+from tickspark.operators import quality as Q
 from tickspark.operators import ticks as K
 from tickspark.plans import datasets as L
+from tickspark.sources import tables as S
 from verification.bindings import Market
 
 
@@ -121,3 +124,38 @@ def test_dimension_join_is_not_forced_to_broadcast(spark, sf_dir):
         assert "BroadcastHashJoin" not in plan(J.enrich_symbols(m.tr, m.symbols))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bucketed_bars_join_without_moving(spark, stored, whole_plans, tmp_path):
+    by = {"ts_second": ["symbol_id", "ts_second"], "ts_bucket": ["symbol_id", "ts_bucket"]}
+
+    def kept(name, df):
+        key = by["ts_second" if "ts_second" in df.columns else "ts_bucket"]
+        return S.write_bucketed(df, f"plan_{name}", str(tmp_path / name), key, 4).drop("event_date")
+
+    books = M.flatten_topn(stored.de).withColumn("ts_second", time_bucket("ts_exchange", "1 hour"))
+    quotes, trades, books = kept("quotes", hour_bars(stored)), kept("trades", B.trade_bars(stored.tr, "1 hour")), kept("books", books)
+    wide = [kept(n, df) for n, df in (("q", B.quote_bars_bidask(stored.bt, "1 hour")), ("t", B.trade_bars_ext(stored.tr, "1 hour")),
+                                      ("d", B.depth_bars(stored.de, "1 hour")))]
+    for df in (J.join_bars(quotes, trades), J.market_data_bars(*wide), J.range_join_topn(quotes, books)):
+        text = plan(df)
+        assert "SortMergeJoin" in text and "Exchange" not in text, text
+    # A session that starts anew is told where the table lies.
+    spark.sql("DROP TABLE plan_quotes")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in quotes.schema)
+    again = S.open_bucketed(spark, "plan_quotes", str(tmp_path / "quotes"), columns, by["ts_second"], 4).drop("event_date")
+    assert again.count() == hour_bars(stored).count() and "Exchange" not in plan(J.join_bars(again, trades))
+
+
+def test_rows_are_picked_without_sorting(spark, stored, whole_plans):
+    topn, features = M.flatten_topn(stored.de), M.market_features(joined(stored))
+    versions = hour_bars(stored).withColumn("batch_id", F.lit(1))
+    for df in (B.topn_resample(topn), S.latest_version(versions, ["ts_second", "symbol_id"], "batch_id"),
+               S.dedup_first(stored.bt, ["symbol_id", "ts_exchange", "update_id"]), S.dedup_first(stored.tr, ["symbol_id", "agg_trade_id"]),
+               B.bucket_pick(features, ["symbol_id"], ["ts_exchange"], "last")):
+        assert "SortAggregate" not in plan(df)
+
+
+def test_health_reads_quotes_and_trades_once(stored, whole_plans):
+    text = plan(Q.symbol_health(stored.symbols, stored.bt, stored.tr, "2024-01-30 23:30:00", "2 DAYS"))
+    assert sum(line.startswith("Location:") and any(f"/{t}]" in line for t in ("bt", "tr")) for line in text.splitlines()) == 2

@@ -1,13 +1,16 @@
 """Streams fed by shuffled, duplicated chunks equal the batch result; replays change nothing."""
 
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickspark.operators import bars as B
 from tickspark.operators import joins as J
+from tickspark.operators import micro as M
 from tickspark.schemas import BOOK_TICKER, KEYS, TRADES
+from tickspark.sources import tables as S
 from tickspark.streaming import jobs as T
 
 ROW = "ts_exchange timestamp, ts_ingest timestamp, symbol_id long, update_id long, best_bid double, best_ask double, " \
@@ -137,3 +140,59 @@ def test_heartbeat_status(spark, lag, status):
     beats = T.stream_heartbeat(frame(spark, [(START + 10.0, 1, 1, 1.0), (START, 1, 2, 1.0)]))
     r = T.heartbeat_status(beats, lag).first()
     assert (r.messages, r.status) == (2, status)
+
+
+BAR = ("symbol_id long, ts_bucket timestamp, bid_close double, ask_close double, bid_qty_close double, ask_qty_close double, "
+       "volume double, buy_volume double, sell_volume double, buy_ratio double")
+
+
+def joined_bars(spark, seed=5):
+    """Symbol 1 has a bar a day, 2 many bars but early trades only, 3 starts late, 4 never trades; some bars have no symbol."""
+    rnd, rows = random.Random(seed), []
+
+    def bar(symbol, day, hour, traded):
+        bid, volume = rnd.uniform(90, 110), rnd.uniform(1, 5)
+        sides = (volume, 0.0, 0.0, rnd.random()) if rnd.random() < 0.3 else (volume, volume / 3, volume * 2 / 3, None)
+        rows.append((symbol, datetime(2024, 1, day, hour), bid, bid + 1, rnd.uniform(1, 9), rnd.uniform(1, 9), *(sides if traded else (None,) * 4)))
+
+    for day in range(1, 29):
+        bar(1, day, 7, True)
+        for hour in range(0, 24, 3):
+            bar(2, day, hour, day < 4)
+            bar(4, day, hour, False)
+            if day > 20:
+                bar(3, day, hour, rnd.random() < 0.4)
+        bar(None, day, 3, True)
+    return spark.createDataFrame(rows, BAR)
+
+
+def test_refreshed_features_look_back_in_rows(spark, tmp_path):
+    bars, out, tails = (str(tmp_path / n) for n in ("bars", "features", "bars_tails"))
+    every = joined_bars(spark)
+    want = {as_key(r): r for r in M.market_features(every).collect()}
+    S.export_parquet(every, bars, "ts_bucket")
+    for start, end in (("2024-01-21", "2024-01-22"), ("2024-01-22 05:00:00", "2024-01-24 07:00:00")):
+        T.refresh_features(spark, bars, out, start, end)
+    got = spark.read.parquet(out).drop("event_date").collect()
+    assert {r.ts_exchange.day for r in got} == {21, 22, 23, 24}
+    assert len(got) == sum(21 <= r.ts_exchange.day <= 24 for r in want.values())
+    for r in got:
+        assert [v for c, v in r.asDict().items() if c != "ts_exchange"] == pytest.approx([want[as_key(r)][c] for c in r.asDict() if c != "ts_exchange"])
+    # Tails are read, not made again, until their bars change.
+    days = S.stored_days(spark, tails)
+    assert T.update_feature_tails(spark, bars, tails, days) == []
+    assert spark.read.parquet(tails).count() < every.count()
+    S.export_parquet(every.filter("to_date(ts_bucket) = '2024-01-20'").withColumn("bid_close", F.col("bid_close") + 1), bars, "ts_bucket")
+    assert T.update_feature_tails(spark, bars, tails, days) == ["2024-01-20"]
+
+
+def as_key(r):
+    return r.symbol_id, r.ts_exchange
+
+
+def test_refresh_without_history(spark, tmp_path):
+    bars, out = str(tmp_path / "bars"), str(tmp_path / "features")
+    first = joined_bars(spark).filter("ts_bucket < '2024-01-03'")
+    S.export_parquet(first, bars, "ts_bucket")
+    T.refresh_features(spark, bars, out, "2024-01-01", "2024-01-03")
+    assert as_rows(spark.read.parquet(out).drop("event_date")) == as_rows(M.market_features(first))

@@ -92,3 +92,81 @@ def test_csv_keeps_malformed_lines_apart(spark, tmp_path):
                  "v,A,1,2,1.0,2.0,3.0,4.0\nv,A,oops,2,1.0,2.0,3.0,4.0\n")
     df = S.load_fallback_csv(spark, str(p)).cache()
     assert df.filter("_corrupt_record IS NULL").count() == 1 and df.filter("_corrupt_record IS NOT NULL").count() == 1
+
+
+def times(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+def test_compaction_leaves_whole_days_alone(spark, tmp_path):
+    p, days = str(tmp_path / "t"), ["2024-01-01", "2024-01-02", "2024-01-03"]
+    for i in range(3):
+        S.write_partitioned(S.with_event_date(rows(spark, *[(s, f"{d} 10:00:00", i, f"{d} 10:00:01") for d in days for s in (1, 2)])), p, KEY)
+    want = sorted(map(tuple, spark.read.parquet(p).collect()))
+    assert S.compact(spark, p, "2024-01-03") == days[:2]
+    assert all(len(S.day_files(spark, p, d)) == 1 for d in days[:2]) and len(S.day_files(spark, p, days[2])) > 1
+    before = times(p)
+    assert S.compact(spark, p, "2024-01-03") == [] and times(p) == before
+    S.write_partitioned(S.with_event_date(rows(spark, (9, "2024-01-02 11:00:00", 9, "2024-01-02 11:00:01"))), p, KEY)
+    assert S.compact(spark, p, "2024-01-03") == ["2024-01-02"]  # a late row came
+    assert sorted(map(tuple, spark.read.parquet(p).collect())) == sorted([*want, *[tuple(r) for r in spark.read.parquet(p).filter("symbol_id = 9").collect()]])
+    # Files that turned out smaller than planned are not written again and again.
+    S.compact(spark, p, "2024-01-04", file_bytes=1)
+    before = times(p)
+    assert S.compact(spark, p, "2024-01-04", file_bytes=1) == [] and times(p) == before
+
+
+def test_rotation_can_be_repeated(spark, tmp_path):
+    p = str(tmp_path / "t")
+    l1 = spark.createDataFrame([("a", 1_700_000_000_000_000, 1.0), ("a", 1_700_000_000_000_001, 2.0), ("b", 1_700_100_000_000_000, 3.0)],
+                               "symbol string, timestamp long, bid_price double")
+    for _ in range(2):
+        S.rotate_files(l1, p)
+    S.rotate_files(l1.filter("symbol = 'b'"), p)
+    assert spark.read.csv(p, header=True).count() == 3
+
+
+def test_a_batch_is_evaluated_once(spark, tmp_path):
+    p, seen = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    batch = rows(spark, A, A_LATE, B, C)
+    counted = batch.mapInArrow(count, batch.schema)
+    for n in (1, 2, 3):
+        S.write_ticks_idempotent(counted, p, KEY)
+        assert seen.value == 4 * n
+    assert ids(spark, p) == [(1, 1), (1, 2), (2, 3)]
+    S.upsert_latest(counted, str(tmp_path / "u"), KEY)
+    S.upsert_latest(counted, str(tmp_path / "u"), KEY)
+    assert seen.value == 4 * 5 and not glob.glob(f"{tmp_path}/*/_staged*")
+
+
+def test_staging_goes_when_a_write_fails(spark, tmp_path):
+    p = str(tmp_path / "t")
+    try:
+        with S.staged(rows(spark, A), p):
+            raise RuntimeError
+    except RuntimeError:
+        pass
+    assert not glob.glob(f"{p}/_staged*")
+
+
+def test_rows_without_a_time_are_kept_once(spark, tmp_path):
+    p = str(tmp_path / "t")
+    for _ in range(2):
+        S.write_ticks_idempotent(rows(spark, (1, None, 5, B[3]), B), p, KEY)
+    assert spark.read.parquet(p).count() == 2
+
+
+def test_only_near_times_are_compared(spark, tmp_path):
+    p = str(tmp_path / "t")
+    S.write_ticks_idempotent(rows(spark, A, B, C, (1, "2024-01-01 23:00:00", 8, A[3])), p, KEY)
+    batch = S.with_event_date(rows(spark, A, (3, "2024-01-01 10:30:00", 1, A[3])))
+    near = S._touched_times(spark.read.parquet(p), batch, "ts_exchange")
+    assert [r.update_id for r in near.collect()] == [1]
+    text = near._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [" in text and "GreaterThanOrEqual(ts_exchange" in text

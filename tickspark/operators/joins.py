@@ -59,16 +59,13 @@ def market_data_bars(quotes: DataFrame, trades: DataFrame, depth: DataFrame) ->
 def range_join_topn(bt_bars: DataFrame, topn: DataFrame, w: str = "1 second") -> DataFrame:
     """Every book row inside each bar's interval; bars without a book stay.
 
-    The interval predicate becomes an equality on the bucket start. Matches come from an inner join,
-    whose book side the adaptive skew join can split if one bucket is hot, which it cannot do with
-    the inner side of an outer join; bars without a book are added by an anti join against the
-    distinct buckets.
+    The interval predicate becomes an equality on the bucket start: one left join, each side read once. A
+    (symbol, second) holds what the feed sends in a second, so no key is hot. Books that carry their ``ts_second``
+    and are stored in the buckets of the bars (:func:`tickspark.sources.tables.write_bucketed`) are not moved either.
     """
-    bars = bt_bars.select(*BAR_KEY, "mid_close", "spread_mean")
-    books = topn.select("symbol_id", X.time_bucket("ts_exchange", w).alias("ts_second"),
-                        F.col("ts_exchange").alias("book_ts"), "i1", "i5", "microprice")
-    alone = bars.join(books.select(*BAR_KEY).distinct(), BAR_KEY, "left_anti")
-    return bars.join(books, BAR_KEY).unionByName(alone, allowMissingColumns=True)
+    second = F.col("ts_second") if "ts_second" in topn.columns else X.time_bucket("ts_exchange", w).alias("ts_second")
+    books = topn.select("symbol_id", second, F.col("ts_exchange").alias("book_ts"), "i1", "i5", "microprice")
+    return bt_bars.select(*BAR_KEY, "mid_close", "spread_mean").join(books, BAR_KEY, "left")
 
 
 def latest_in_bucket_join(bt_bars: DataFrame, topn: DataFrame, w: str = "1 second") -> DataFrame:

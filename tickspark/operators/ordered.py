@@ -229,16 +229,20 @@ def fill_forward(df: DataFrame, keys: list[str], order: list[str], values: list[
         F.coalesce(f"_local_{c}", f"_carry_{c}").alias(c) if c in values else F.col(c) for c in df.columns])
 
 
-def value_ranks(df: DataFrame, keys: list[str], value: str, bin_width: int, with_null: bool = False) -> DataFrame:
+def value_ranks(df: DataFrame, keys: list[str], value: str, bin_width: int, with_null: bool = False,
+                also: dict[str, Column] | None = None) -> DataFrame:
     """Distinct integer values per key with the ranks they cover: value, ``lo``, ``hi``, ``n`` and the key's ``least``.
 
     Rows are counted per (key, value) before anything moves. Ranks are cumulated over bins of ``bin_width`` values,
     so a window partition holds at most ``bin_width`` rows, and over the bins of a key, whose number is bounded by the
     value range. Both read one exchange of the counts. ``with_null`` keeps a row of NULL, without ranks, for
-    keys that have such rows.
+    keys that have such rows. ``also`` names further aggregates of the rows of a (key, value), so that other statistics
+    of the key need no second reading.
     """
+    also = also or {}
     there = F.col(value).isNotNull()
-    counts = (df if with_null else df.filter(there)).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    counts = (df if with_null else df.filter(there)).groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("_c"), *[a.alias(name) for name, a in also.items()])
     counts = _cut(counts, keys, F.floor(F.col(value) / bin_width))
     per_key = Window.partitionBy(*keys)
     before = F.sum("_b").over(per_key.orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1))
@@ -248,23 +252,22 @@ def value_ranks(df: DataFrame, keys: list[str], value: str, bin_width: int, with
     inside = _inside(keys, value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     last = F.when(there, F.col("_before") + F.col("_cum") - 1)
     return _with_piece(counts.withColumn("_cum", F.sum("_c").over(inside)), bins, keys).select(
-        *keys, value, "n", (last - F.col("_c") + 1).alias("lo"), last.alias("hi"), "least")
+        *keys, value, "n", (last - F.col("_c") + 1).alias("lo"), last.alias("hi"), "least", *also)
 
 
-def quantile_cont(df: DataFrame, keys: list[str], value: str, p: float, name: str,
-                  bin_width: int = 65_536) -> DataFrame:
-    """Exact interpolated quantile of an integer column per key."""
+def ranked_quantile(value: str, p: float) -> Column:
+    """The interpolated quantile as an aggregate of a key's rows from :func:`value_ranks`."""
     at = F.lit(p) * (F.col("n") - 1)
     below, above = F.floor(at), F.ceil(at)
     covers = lambda rank: (F.col("lo") <= rank) & (F.col("hi") >= rank)
-    picked = value_ranks(df, keys, value, bin_width).filter(covers(below) | covers(above))
-    low, high = F.max("_low"), F.max("_high")
-    return (
-        picked.select(*keys, F.when(covers(below), F.col(value)).alias("_low"),
-                      F.when(covers(above), F.col(value)).alias("_high"), (at - below).alias("_share"))
-        .groupBy(*keys)
-        .agg((low + (high - low) * F.max("_share")).alias(name))
-    )
+    low, high = F.max(F.when(covers(below), F.col(value))), F.max(F.when(covers(above), F.col(value)))
+    return low + (high - low) * F.max(at - below)
+
+
+def quantile_cont(df: DataFrame, keys: list[str], value: str, p: float, name: str,
+                  bin_width: int = 65_536) -> DataFrame:
+    """Exact interpolated quantile of an integer column per key."""
+    return value_ranks(df, keys, value, bin_width).groupBy(*keys).agg(ranked_quantile(value, p).alias(name))
 
 
 def disc_rank(p: float) -> Column:

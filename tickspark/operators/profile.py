@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickspark import functions as X
 from tickspark.operators.joins import enrich_symbols, left_recent_join
-from tickspark.operators.ordered import value_ranks
+from tickspark.operators.ordered import ranked_quantile, value_ranks
 from tickspark.operators.ticks import active_symbols, recent
 
 BYTES_PER_QUOTE = 76
@@ -72,17 +72,13 @@ def latency_stats(df: DataFrame, p: float = 0.95) -> DataFrame:
     """
     us = df.select("symbol_id", X.elapsed_us("ts_exchange", "ts_ingest").alias("us"))
     ranks = value_ranks(us, ["symbol_id"], "us", 65_536, with_null=True)
-    at = F.lit(p) * (F.col("n") - 1)
-    below, above = F.floor(at), F.ceil(at)
-    covers = lambda rank: (F.col("lo") <= rank) & (F.col("hi") >= rank)
     n, ms = (F.col("hi") - F.col("lo") + 1).cast("double"), F.col("us") / 1000.0
     # Deviations from the symbol's least latency: sums of squares of large numbers would lose digits.
     off = (F.col("us") - F.col("least")) / 1000.0
-    low, high = F.max(F.when(covers(below), F.col("us"))), F.max(F.when(covers(above), F.col("us")))
     total, first, second = F.sum(n), F.sum(n * off), F.sum(n * off * off)
     sums = ranks.groupBy("symbol_id").agg(
         F.min(ms).alias("min_latency_ms"), F.max(ms).alias("max_latency_ms"), total.alias("_n"), first.alias("_first"),
-        second.alias("_second"), ((low + (high - low) * F.max(at - below)) / 1000.0).alias("p95_latency_ms"))
+        second.alias("_second"), (ranked_quantile("us", p) / 1000.0).alias("p95_latency_ms"))
     spread = (F.col("_second") - F.col("_first") * F.col("_first") / F.col("_n")) / (F.col("_n") - 1)
     return sums.select(
         "symbol_id", (F.col("min_latency_ms") + F.col("_first") / F.col("_n")).alias("avg_latency_ms"), "min_latency_ms",

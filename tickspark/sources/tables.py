@@ -25,6 +25,8 @@ from tickspark.schemas import L1_CSV
 
 DATE = "event_date"
 FILE_BYTES = 128 << 20
+#: Buckets of a bar table: the tasks that read or join it.
+BUCKETS = 256
 #: Days of one batch up to which its times, and not only its days, narrow what it is compared with.
 MAX_SPANS = 100
 
@@ -176,6 +178,35 @@ def upsert_latest(new: DataFrame, path: str, key: list[str], ts: str = "ts_excha
         write_partitioned(pick_row(rows, key, rank).drop("_version"), path, key, "overwrite", partitionOverwriteMode="dynamic")
 
 
+def open_bucketed(spark: SparkSession, table: str, path: str, columns: str, by: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """The bucketed table under ``path`` as ``table`` of the session's catalog, which a new session has to be told of.
+
+    ``columns`` is its DDL without the day. Tables of equal ``by`` and ``buckets`` join on ``by`` without an exchange:
+    a bucket is hashed by symbol and time, so a hot symbol fills all of them alike.
+    """
+    names = ", ".join(f"`{c}`" for c in by)
+    root, fs = _root(spark, path)
+    fs.mkdirs(root)
+    spark.sql(f"""CREATE TABLE IF NOT EXISTS {table} ({columns}, {DATE} DATE) USING parquet PARTITIONED BY ({DATE})
+                  CLUSTERED BY ({names}) SORTED BY ({names}) INTO {buckets} BUCKETS LOCATION '{path}'""")
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    return spark.table(table)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, by: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """Store the days of ``df`` in a bucketed table, replacing those it already has; returns the table.
+
+    ``by`` is the symbol and a time column. One task writes one bucket, so a day has one sorted file per bucket.
+    """
+    spark = df.sparkSession
+    rows = with_event_date(df, by[-1])
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    stored = open_bucketed(spark, table, path, columns, by, buckets)
+    (rows.select(*stored.columns).repartition(buckets, *by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").insertInto(table))
+    return spark.table(table)
+
+
 def export_csv(df: DataFrame, path: str, order: list[str], by: list[str] | None = None) -> None:
     """Gzip CSV with header; each file is in time order and files follow each other in range order."""
     writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")

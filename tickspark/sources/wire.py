@@ -104,7 +104,7 @@ def _parsed(df: DataFrame, kind: str, columns: dict[str, Column], required: list
     rows = df.filter(F.col("kind") == kind) if "kind" in df.columns else df
     parsed = _message(rows)
     if kind == DEPTH:
-        parsed = _once(parsed, "_sides", F.struct(_side("b"), _side("a")))
+        parsed = _once(parsed, "_levels", F.struct(_levels("b"), _levels("a")))
     typed = parsed.select(
         "data", _text("s").alias("symbol"), _ingest(df).alias("ts_ingest"),
         *[c.alias(n) for n, c in columns.items()])
@@ -141,12 +141,16 @@ def parse_agg_trade(df: DataFrame, time_field: str = "E") -> DataFrame:
 
 
 def _levels(side: str) -> Column:
-    levels = F.transform(F.col("_sides")[side], lambda level: F.struct(
+    """A side's levels as numbers, text that is none becoming NULL; no levels if a number is not finite.
+
+    Each array is built once: a lambda's variable stands for it in the check and in the result.
+    """
+    end = F.lit(float("inf"))
+    typed = F.transform(F.from_json(_text(side), LEVELS_WIRE), lambda level: F.struct(
         F.try_element_at(level, F.lit(1)).try_cast("double").alias("price"),
         F.try_element_at(level, F.lit(2)).try_cast("double").alias("qty")))
-    endless = F.exists(levels, lambda v: F.coalesce(~(F.abs(v["price"]) < float("inf")), F.lit(False))
-                       | F.coalesce(~(F.abs(v["qty"]) < float("inf")), F.lit(False)))
-    return F.when(~endless, levels)
+    endless = lambda v: (F.abs(v["price"]) >= end) | (F.abs(v["qty"]) >= end)  # noqa: E731  NaN is above all
+    return F.transform(F.array(typed), lambda v: F.when(F.coalesce(F.exists(v, endless), F.lit(False)), None).otherwise(v))[0].alias(side)
 
 
 def parse_depth(df: DataFrame, missing_prev: int | None = None) -> DataFrame:
@@ -155,7 +159,7 @@ def parse_depth(df: DataFrame, missing_prev: int | None = None) -> DataFrame:
         "ts_exchange": X.from_epoch_ms(_number("E", "bigint")), "first_update_id": _number("U", "bigint"),
         "final_update_id": _number("u", "bigint"),
         "prev_final_update_id": F.coalesce(_number("pu", "bigint"), F.lit(missing_prev).cast("bigint")),
-        "bids": _levels("b"), "asks": _levels("a"),
+        "bids": F.col("_levels.b"), "asks": F.col("_levels.a"),
     }
     return _parsed(df, DEPTH, cols, ["ts_exchange", "first_update_id", "final_update_id", "bids", "asks"])
 
@@ -177,10 +181,10 @@ def validate_depth_message(df: DataFrame) -> DataFrame:
 def depth_to_l1(df: DataFrame, exchange: str) -> DataFrame:
     """The 8-column best-level record of every valid depth message, in epoch microseconds.
 
-    The first level of a side is its best; either side may be absent, not both.
+    The first level of a side is its best; either side may be absent, not both. A number that is not finite is absent.
     """
     def best(side, i):
-        return F.try_element_at(F.try_element_at(F.col("_sides")[side], F.lit(1)), F.lit(i)).try_cast("double")
+        return _finite(F.try_element_at(F.try_element_at(F.col("_sides")[side], F.lit(1)), F.lit(i)).try_cast("double"))
 
     return (
         _checked(df).filter("is_valid")

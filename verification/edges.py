@@ -2,17 +2,20 @@
 
 from pyspark.sql import functions as F
 
+from tickspark.functions.time import time_bucket
 from tickspark.operators import bars as B
 from tickspark.operators import indicators as I
+from tickspark.operators import joins as J
 from tickspark.operators import micro as M
 from tickspark.operators.ticks import optional_symbol_filter, time_slice
 from tickspark.plans import datasets as L
+from tickspark.operators.joins import BAR_KEY
 from tickspark.schemas import KEYS
 from tickspark.session import work_dir
 from tickspark.sources import tables as S
 from tickspark.sources import wire as W
 from tickspark.streaming import jobs as T
-from verification.bars import QB
+from verification.bars import JOINED, MK, QB
 from verification.features import CLOSES, FEATURES, closes, market
 from verification.feed import L1, NOT_ERROR, QUOTE, _drain, _live, _stored_quotes
 from verification.registry import D, H, bucket, query
@@ -242,3 +245,37 @@ def _(m):
         S.rotate_files(W.depth_to_l1(W.read_envelope(m.messages), "spot"), path)
     stored = m.spark.read.option("header", True).option("inferSchema", False).csv(path)
     return stored.groupBy("symbol", "rotation").agg(F.count(F.lit(1)).alias("records"))
+
+
+def _bucketed(m, by, **tables):
+    """Each of ``tables`` stored in buckets of its symbols and times, in two runs, and read from there."""
+    out = {}
+    for name, df in tables.items():
+        path = work_dir(m.spark, f"bucketed-{name}")
+        table = f"bars_{path.rsplit('-', 1)[1]}"
+        for _ in range(2):
+            out[name] = S.write_bucketed(df, table, path, by, buckets=8).drop("event_date")
+    return out
+
+
+@query("j1_join_bucketed", JOINED, dbl=QB + " volume vwap buy_volume sell_volume buy_sell_imbalance")
+def _(m):
+    stored = _bucketed(m, BAR_KEY, quotes=B.quote_bars_mid(m.bt, "1 hour"), trades=B.trade_bars(m.tr, "1 hour"))
+    return J.join_bars(stored["quotes"], stored["trades"])
+
+
+@query("j3_market_data_bucketed", "SELECT * FROM mk_hour", dbl=MK)
+def _(m):
+    return J.market_data_bars(*_bucketed(
+        m, ["symbol_id", "ts_bucket"], quotes=B.quote_bars_bidask(m.bt, "1 hour"), trades=B.trade_bars_ext(m.tr, "1 hour"),
+        depth=B.depth_bars(m.de, "1 hour")).values())
+
+
+@query("j4_range_join_bucketed", """SELECT b.ts_second, b.symbol_id, b.mid_close, b.spread_mean, o.ts_exchange AS book_ts,
+       o.i1, o.i5, o.microprice FROM bt_hour b LEFT JOIN topn o ON o.symbol_id = b.symbol_id
+       AND o.ts_exchange >= b.ts_second AND o.ts_exchange < b.ts_second + INTERVAL 1 HOUR""",
+       dbl="mid_close spread_mean i1 i5 microprice")
+def _(m):
+    books = M.flatten_topn(m.de).withColumn("ts_second", time_bucket("ts_exchange", "1 hour"))
+    stored = _bucketed(m, BAR_KEY, bars=B.quote_bars_mid(m.bt, "1 hour"), books=books)
+    return J.range_join_topn(stored["bars"], stored["books"])

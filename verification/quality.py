@@ -178,16 +178,18 @@ def _(m):
 HEALTH = f"""SELECT *, status_message = 'OK' AS is_healthy FROM (
        SELECT j.symbol, bt_count AS book_ticker_count, tr_count AS trades_count, last_bt AS last_book_ticker,
        last_tr AS last_trade, coalesce(avg_latency_ms, 0) AS avg_latency_ms, coalesce(q.ml, 0) AS max_latency_ms,
+       coalesce(q.p95, 0) AS p95_latency_ms,
        coalesce(q.inv, 0) AS invalid_spreads, coalesce(q.bad, 0) AS invalid_prices,
        CASE WHEN coalesce(j.avg_latency_ms, 0) > 46 THEN 'High latency' WHEN coalesce(q.inv, 0) > 10
        THEN 'High invalid spreads' WHEN last_bt IS NULL THEN 'No data'
        WHEN (epoch_us({NOW}) - epoch_us(last_bt)) / 1000000.0E0 > 7200 THEN 'No updates' ELSE 'OK' END AS status_message
        FROM ({RECENT_JOIN.format(symbols='symbols')}) j LEFT JOIN (SELECT symbol_id, count(*) FILTER (WHERE spread <= 0)
-       AS inv, count(*) FILTER (WHERE best_bid <= 0 OR best_ask <= 0) AS bad, max({LAT}) AS ml FROM recent_bt GROUP BY 1) q
+       AS inv, count(*) FILTER (WHERE best_bid <= 0 OR best_ask <= 0) AS bad, max({LAT}) AS ml,
+       quantile_cont({LAT}, 0.95) AS p95 FROM recent_bt GROUP BY 1) q
        ON q.symbol_id = j.symbol_id)"""
 
 
-@query("q13_symbol_health", HEALTH, dbl="avg_latency_ms max_latency_ms")
+@query("q13_symbol_health", HEALTH, dbl="avg_latency_ms max_latency_ms p95_latency_ms")
 def _(m):
     return Q.symbol_health(m.symbols, m.bt, m.tr, ASOF, RECENT, stale_seconds=7200, max_latency_ms=46)
 
