@@ -61,7 +61,7 @@ class Shingler:
         found = words(text)
         if not found:
             return np.zeros(0, np.uint64)
-        if len(self.known) > 500_000:
+        if len(self.known) > 200_000:
             self.known.clear()
         known, h = self.known, np.empty(len(found), np.uint64)
         for i, w in enumerate(found):
