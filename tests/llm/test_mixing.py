@@ -55,3 +55,19 @@ def test_odd_rows(odd_docs, no_docs):
     assert mixed_documents(clash).columns == clash.columns
     assert mixed_documents(clash).count() > 0
     assert plan_mix(no_docs).taken().count() == 0 and mixed_documents(no_docs).count() == 0
+
+
+def test_repeated_rows_are_documents_of_their_own(spark):
+    text = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
+    rows = [(1, text(1, 600), "a", "en")] * 3 + [(2, text(2, 500), "b", "en"), (1, text(1, 600), "b", "de")] + [(None, text(3, 300), None, None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    taken = {}
+    for r in plan_mix(docs, keep=["doc_id", "source"]).taken().collect():
+        taken[r.doc_id, r.source] = taken.get((r.doc_id, r.source), 0) + r.taken
+    mixed = {}
+    for r in mixed_documents(docs).collect():
+        mixed[r.doc_id, r.source] = mixed.get((r.doc_id, r.source), 0) + len(words(r.text))
+        assert (r.lang == "de") == ((r.doc_id, r.source) == (1, "b"))
+    assert {k: sum(v for j, v in taken.items() if j[1] == k) for k in ("a", "b", None)} == {
+        k: sum(v for j, v in mixed.items() if j[1] == k) for k in ("a", "b", None)}
+    assert mixed[1, "a"] > 1800

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickspark.llm.common import WORD, fitting_name, map_batches, stored
+from tickspark.llm.spread import spread_join
 
 WEIGHTS = (5.0, 2.0, 1.0)
 ROWS_PER_BUCKET = 20_000
@@ -81,8 +82,12 @@ def plan_mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int
              source: str = "source", text: str = "text", keep: list[str] | None = None) -> "Mix":
     """Measure the sources, set targets and place every document in its source's stream of words."""
     cols = keep or [c for c in docs.columns if c != text]
-    sized = stored(docs.select(*[F.col(f"`{c}`") for c in cols], F.col(source).alias("_source"),
-                               word_count(F.col(text)).alias("_size"), F.xxhash64(text).alias("_hash")), "sizes")
+    return _plan(stored(docs.select(*[F.col(f"`{c}`") for c in cols], F.col(source).alias("_source"),
+                                    word_count(F.col(text)).alias("_size"), F.xxhash64(text).alias("_hash")), "sizes"), cols, share, most, block, seed)
+
+
+def _plan(sized: DataFrame, cols: list[str], share: float = 1.5, most: float = 2.0, block: int = 512, seed: int = 0) -> "Mix":
+    """The mix of rows with ``_source``, ``_size`` and ``_hash``; ``cols`` name a row."""
     found = sized.groupBy("_source").agg(F.sum("_size"), F.count("*")).collect()
     # Spark compares strings by UTF-8 bytes, which is the order of code points; so does Python.
     found.sort(key=lambda r: (r[0] is None, r[0] or ""))
@@ -95,8 +100,7 @@ def plan_mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, block: int
         n = -(-size // length)
         draws = min(round(want / size * n), int(most * n)) if size else 0
         recipe.append((i, r[0], int(size), float(want), length, n, draws))
-    session = docs.sparkSession
-    sources = session.createDataFrame(recipe, "sid int, src string, source_size bigint, target double, length bigint, "
+    sources = sized.sparkSession.createDataFrame(recipe, "sid int, src string, source_size bigint, target double, length bigint, "
                                               "blocks bigint, draws bigint")
     buckets = max(64, sum(r[2] for r in found) // ROWS_PER_BUCKET)
     placed = sized.join(F.broadcast(sources) if len(recipe) <= 10_000 else sources, F.col("_source").eqNullSafe(F.col("src")))
@@ -152,7 +156,7 @@ class Mix:
                         "shard": np.full(len(j), r["shard"], np.int32), "slot": j, "round": rounds.astype(np.int32),
                         "sid": np.full(len(j), r["sid"], np.int32), "block_index": block})
 
-        self._slots = stored(map_batches(pieces.repartition(max(1, min(len(runs), 512))), run,
+        self._slots = stored(map_batches(pieces.repartition(max(1, -(-total // 65_536))), run,
                                          "shard int, slot bigint, round int, sid int, block_index bigint"), "slots")
         return self._slots
 
@@ -184,19 +188,28 @@ def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", **
     """The mix as documents, with the columns of ``docs``: a row for each round in which words of a document are taken.
 
     A document taken whole keeps its text; of others the taken stretches are left, one to a line. Rows with equal
-    key and text are one document here; what their other columns hold is taken from one of them.
+    key, source and text are as many documents, counted beforehand; what their other columns hold is taken from one of them.
     """
-    empty, number, hashed, cuts = (fitting_name(docs, c) for c in ("key_null", "key_text", "text_hash", "cuts"))
-    named = docs.withColumn(empty, F.col(key).isNull()).withColumn(number, F.coalesce(F.col(key).cast("string"), F.lit(""))).withColumn(
-        hashed, F.xxhash64(text))
-    ids = [empty, number, hashed]
-    source = options.get("source", "source")
-    mix = plan_mix(named.select(*ids, source, text).dropDuplicates(ids), text=text, keep=ids, **options)
+    empty, number, hashed, nowhere, origin, copy, cuts = (fitting_name(docs, c) for c in (
+        "key_null", "key_text", "text_hash", "source_null", "source_text", "copy", "cuts"))
+    source = options.pop("source", "source")
+    named = docs.withColumns({
+        empty: F.col(key).isNull(), number: F.coalesce(F.col(key).cast("string"), F.lit("")), hashed: F.xxhash64(text),
+        nowhere: F.col(source).isNull(), origin: F.coalesce(F.col(source).cast("string"), F.lit(""))})
+    ids = [empty, number, hashed, nowhere, origin]
+    counted = stored(named.groupBy(*ids).agg(F.count("*").alias("_copies"), F.max(word_count(F.col(text))).alias("_size")), "copies")
+    sized = counted.select(*ids, F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")).alias(copy), "_size",
+                           F.when(~F.col(nowhere), F.col(origin)).alias("_source"), F.col(hashed).alias("_hash"))
+    mix = _plan(sized, [*ids, copy], **options)
     stretches = mix.parts().groupBy("sid", "_at", "round").agg(
         F.sort_array(F.collect_list(F.struct("first", "words"))).alias(cuts))
-    wanted = stored(mix.placed.where("_size > 0").select("sid", "_at", "_size", *ids).join(stretches, ["sid", "_at"]).select(
-        *ids, F.when(F.aggregate(cuts, F.lit(0).cast("bigint"), lambda a, c: a + c["words"]) < F.col("_size"), F.col(cuts)).alias(cuts)), "taken")
-    chosen = named.dropDuplicates(ids).join(wanted, ids).select(*docs.columns, cuts)
+    wanted = stored(mix.placed.where("_size > 0").select("sid", "_at", "_size", *ids, copy).join(stretches, ["sid", "_at"]).select(
+        *ids, copy, F.when(F.aggregate(cuts, F.lit(0).cast("bigint"), lambda a, c: a + c["words"]) < F.col("_size"), F.col(cuts)).alias(cuts)), "taken")
+    if counted.where("_copies > 1").isEmpty():
+        chosen = named.join(wanted, ids)
+    else:  # one of the equal rows lends its text to what is taken of all of them
+        chosen = spread_join(wanted, named.dropDuplicates(ids), ids, copy)
+    chosen = chosen.select(*docs.columns, cuts)
     place = docs.columns.index(text)
     word = re.compile(WORD)
 

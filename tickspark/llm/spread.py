@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: Parts that the rows of one key are dealt over.
 PARTS = 64
+PART = "_part_of_a_key"
 
 
 def spread_join(rows: DataFrame, per_key: DataFrame, keys: list[str], row: str = "row", parts: int = PARTS) -> DataFrame:
@@ -15,9 +16,9 @@ def spread_join(rows: DataFrame, per_key: DataFrame, keys: list[str], row: str =
     A key's rows are dealt over ``parts`` by the number in ``row``, so no task gets more than that share of them. What
     is copied is a row of ``per_key`` for each part in which the key occurs: never more than the rows.
     """
-    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(row), F.lit(parts)).cast("int"))
-    wanted = dealt.select(*keys, "_part").distinct()
-    return dealt.join(wanted.join(per_key, keys), [*keys, "_part"]).drop("_part")
+    dealt = rows.withColumn(PART, F.pmod(F.xxhash64(row), F.lit(parts)).cast("int"))
+    wanted = dealt.select(*keys, PART).distinct()
+    return dealt.join(wanted.join(per_key, keys), [*keys, PART]).drop(PART)
 
 
 def numbered(index: int, task: int) -> int:
