@@ -15,8 +15,9 @@ from tokenizers import Tokenizer
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Letters up to here are letters in every Unicode version, so both libraries split alike.
 SETTLED = "ɏ"
-#: Pieces each of the two caches of an encoder holds, and the longest ones kept: together below 100 MB.
-CACHED = 150_000
+#: Pieces each of the two caches of an encoder holds, and the longest ones kept: together below 250 MB. They stay for later
+#: tasks of a worker, as a piece met for the first time costs far more than the rest of its text.
+CACHED = 500_000
 LONGEST = 48
 
 
@@ -50,7 +51,7 @@ class Encoder:
     No token spans a blank that stands before a visible character, so a text is cut there and the parts
     are looked up in a cache. Parts met for the first time are encoded by the same merges in
     ``tiktoken`` where both libraries split alike, by ``tokenizers`` elsewhere. The cache is emptied
-    when full and by :meth:`forget`; it changes no result.
+    when full; it changes no result.
     """
 
     def __init__(self, path: str):
@@ -66,11 +67,6 @@ class Encoder:
         self.fast = tiktoken.Encoding("parts", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.first, self.later = _Known(self, ""), _Known(self, " ")
 
-    def forget(self) -> None:
-        """Empty the caches: a worker that goes on to other work keeps the vocabulary only."""
-        self.first.clear()
-        self.later.clear()
-
     def chunk(self, text: str) -> bytes:
         if not text:
             return b""
