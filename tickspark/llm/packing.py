@@ -69,7 +69,6 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(out, names)
 
-
     return map_batches(rows, run, schema)
 
 
