@@ -12,10 +12,15 @@ with the nodes' points and covering radii is below the worst k-th score of the q
 Groups of queries and parts are compared in blocks by their balls alone. The work per query grows with the parts
 that its bound cannot rule out.
 
+A node of a cover tree is a point, the rows under it and their greatest distance from it. Its children are a net,
+built farthest point first, of half that radius, or of the radius that ``FAN`` points reach where half would take more.
+So a tree goes down to its leaves whatever the data; how much it rules out is up to the data.
+
 Defined cases: rows with a null key, or a vector that is null, empty or holds null or non-finite components, take no
-part. Rows of one key count once, with the vector whose bytes come first; a key is no candidate for itself. Ties go to the
+part. All others do, also where a key is repeated: each of its rows is a candidate of other keys, and its rows ask as
+one query, whose pairs are ranked together; they are no candidates of their own. Ties go to the
 smaller key. Vectors meet only vectors of their length. A query without candidates has no rows. Scores beyond
-64 bits stop at the largest number. Empty tables give empty tables. Other columns are ignored.
+64 bits stop at the largest number. Empty tables give empty tables. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickspark.llm.common import map_batches, map_groups, stored
+from tickspark.llm.spread import spread_join
 
 PART = 2048
 MAX_PIVOTS = 256
@@ -35,6 +41,7 @@ QUERY_GROUP = 512
 GROUPS_PER_TASK = 64
 PARTS_PER_BLOCK = 64
 LEAF = 32
+FAN = 16
 TOP = np.iinfo(np.int64).max
 
 
@@ -58,34 +65,36 @@ class Node:
         self.radius = float(far.max(initial=0.0))
         if len(rows) <= LEAF or not self.radius:
             return
-        # a net of half the radius: each new centre is the point farthest from the centres so far
+        # each new centre is the point farthest from the centres so far
         near, owner, centers = far, np.zeros(len(rows), np.int64), [center]
-        while near.max() > self.radius / 2:
-            if len(centers) > max(16, len(rows) // 4):
-                return  # no structure at this scale: one leaf
+        while near.max() > self.radius / 2 and len(centers) < FAN:
             i = int(near.argmax())
             centers.append(int(rows[i]))
             d = np.linalg.norm(x[rows] - x[rows[i]], axis=1)
             closer = d < near
             owner[closer], near = len(centers) - 1, np.minimum(near, d)
-        if len(centers) > 1:
-            self.children = [Node(x, rows[owner == k], c) for k, c in enumerate(centers) if (owner == k).any()]
+        if len(centers) > 1:  # distances may overflow
+            self.children = [Node(x, rows[owner == k], c) for k, c in enumerate(centers)]
 
 
 def dual_search(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, least: np.ndarray
-                ) -> list[tuple[int, int, int]]:
-    """(query index, row index, score) of every query's k best rows among those that score at least ``least``."""
+                ) -> tuple[list[tuple[int, int, int]], int]:
+    """(query index, row index, score) of every query's k best rows among those that score at least ``least``, and
+    how many pairs of a query and a row were not ruled out by their nodes."""
     kth = least.astype(np.float64).copy()
     best: list[list[tuple[int, int, int]]] = [[] for _ in query_ids]
+    compared = 0
     if not len(queries) or not len(x):
-        return []
+        return [], compared
 
     def visit(q: Node, p: Node, product: float) -> None:
+        nonlocal compared
         bound = product + q.radius * p.norm + p.radius * q.norm + q.radius * p.radius
         if bound + 1e-6 * (1 + abs(bound)) < kth[q.rows].min():
             return
         if not q.children and not p.children:
             s = products(queries[q.rows], x[p.rows])
+            compared += s.size
             hit = (s >= kth[q.rows][:, None]) & (query_ids[q.rows][:, None] != ids[p.rows][None, :])
             for i in np.flatnonzero(hit.any(axis=1)):
                 row = int(q.rows[i])
@@ -106,15 +115,16 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids:
 
     a, b = Node(queries, np.arange(len(queries)), 0), Node(x, np.arange(len(x)), 0)
     visit(a, b, float(a.point @ b.point))
-    return [(i, row, -s) for i, found in enumerate(best) for s, _, row in found]
+    return [(i, row, -s) for i, found in enumerate(best) for s, _, row in found], compared
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return np.array([np.frombuffer(v) for v in column.to_pylist()])
 
 
 def whole_vectors(vectors: DataFrame, key: str, column: str, scale: float) -> DataFrame:
-    """``id``, ``dim`` and ``vec`` (doubles that are whole numbers) of the rows that take part."""
+    """``id``, ``dim``, ``vec`` (doubles that are whole numbers) and ``n`` (how many rows are alike) of the rows that
+    take part."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, dims, out = [], [], []
@@ -129,15 +139,14 @@ def whole_vectors(vectors: DataFrame, key: str, column: str, scale: float) -> Da
                                               pa.array(out, pa.binary())], ["id", "dim", "vec"])
 
     rows = vectors.where(F.col(key).isNotNull()).select(F.col(key).cast("bigint").alias("id"), column)
-    return map_batches(rows, run, "id bigint, dim int, vec binary").groupBy("id", "dim").agg(F.min("vec").alias("vec")).groupBy("id").agg(
-        F.min(F.struct("dim", "vec")).alias("v")).select("id", "v.*")
+    return map_batches(rows, run, "id bigint, dim int, vec binary").groupBy("id", "dim", "vec").agg(F.count("*").alias("n"))
 
 
 def _in_cells(rows: DataFrame, total: int) -> DataFrame:
     """``rows`` with ``cell``: the nearest of at most about ``MAX_PIVOTS`` pivots of their length."""
     pivots = max(1, min(MAX_PIVOTS, total // PART))
     rate = min(1.0, pivots / max(total, 1))
-    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(rate * (1 << 30)) + 1).select("dim", "vec").limit(2 * MAX_PIVOTS).collect()
+    sample = rows.where(F.pmod(F.xxhash64("id", "vec"), F.lit(1 << 30)) < int(rate * (1 << 30)) + 1).select("dim", "vec").limit(2 * MAX_PIVOTS).collect()
     by_dim: dict[int, np.ndarray] = {}
     for d in {r.dim for r in sample}:
         by_dim[d] = np.array(sorted(np.frombuffer(r.vec).tolist() for r in sample if r.dim == d))
@@ -153,12 +162,12 @@ def _in_cells(rows: DataFrame, total: int) -> DataFrame:
                     cell[at] = np.argmin((p * p).sum(axis=1)[None, :] - 2 * (m @ p.T), axis=1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], [*batch.schema.names, "cell"])
 
-    return map_batches(rows.select("id", "dim", "vec"), run, "id bigint, dim int, vec binary, cell int")
+    return map_batches(rows.select("id", "dim", "vec", "n"), run, "id bigint, dim int, vec binary, n bigint, cell int")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", column: str = "embedding", scale: float = 1024.0
           ) -> DataFrame:
-    """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score``: each query's ``k`` best other rows.
+    """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score``: each query's ``k`` best rows of other keys.
 
     ``is_query`` is a condition on ``id``, the key as a 64-bit number.
     """
@@ -167,9 +176,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
     sizes = stored(celled.groupBy("dim", "cell").agg(
         F.ceil(F.count("*") / PART).cast("int").alias("parts"),
         F.greatest(F.lit(1), F.ceil(F.count_if("query") / QUERY_GROUP)).cast("int").alias("groups")), "cells")
-    spread = F.xxhash64("id")
+    spread = F.xxhash64("id", "vec")
     placed = stored(celled.join(sizes, ["dim", "cell"]).select(
-        "id", "dim", "vec", "query", F.xxhash64("dim", "cell", F.pmod(spread, F.col("parts"))).alias("part"),
+        "id", "dim", "vec", "n", "query", F.xxhash64("dim", "cell", F.pmod(spread, F.col("parts"))).alias("part"),
         F.when(F.col("query"), F.xxhash64(F.lit("q"), "dim", "cell", F.pmod(spread, F.col("groups")))).alias("grp")), "placed")
 
     def seed(group: pa.Table) -> dict[str, list]:
@@ -181,9 +190,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
         bounds = []
         for i in range(0, len(q), 256):
             s = products(x[q[i: i + 256]], x)
-            for j, row in enumerate(s):
-                others = np.delete(row, q[i + j])
-                bounds.append(int(np.partition(others, -k)[-k]) if len(others) >= k else -TOP - 1)
+            s[ids[q[i: i + 256]][:, None] == ids[None, :]] = -TOP - 1
+            bounds += (np.partition(s, -k, axis=1)[:, -k] if len(ids) >= k else np.full(len(s), -TOP - 1)).tolist()
         n = len(q)
         part, dim = group.column("part")[0].as_py(), group.column("dim")[0].as_py()
         return {"part": [part] * (n + 1), "dim": [dim] * (n + 1), "id": [*ids[q], None], "least": [*bounds, None],
@@ -191,8 +199,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
 
     seeded = stored(map_groups(placed.select("part", "dim", "id", "vec", "query"), ["part"], seed,
                                "part bigint, dim int, id bigint, least bigint, center binary, radius double"), "seeded")
-    queries = stored(placed.where("query").select("id", "dim", "vec", "grp").join(
-        seeded.where("id IS NOT NULL").select("id", "least"), "id"), "queries")
+    # the rows of one key ask together: the best of their bounds holds for all
+    bounds = seeded.where("id IS NOT NULL").groupBy("id").agg(F.max("least").alias("least"))
+    queries = stored(spread_join(placed.where("query").select("id", "dim", "vec", "n", "grp", spread.alias("row")), bounds, ["id"]), "queries")
 
     def ball(group: pa.Table) -> dict[str, list]:
         x = _matrix(group.column("vec"))
@@ -209,34 +218,35 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            qc, pc = (_lists(batch.column(i)) for i in (2, 3))
-            qr, pr, worst = (batch.column(i).to_numpy() for i in (4, 5, 6))
-            dot, nq, np_ = (np.array([f(a, b) for a, b in zip(qc, pc)]) for f in (
-                lambda a, b: a @ b, lambda a, b: np.linalg.norm(a), lambda a, b: np.linalg.norm(b)))
-            bound = dot + qr * np_ + pr * nq + qr * pr
-            keep = pa.array(~(bound + 1e-6 * (1 + np.abs(bound)) < worst))  # a bound that overflows rules nothing out
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["grp", "part"])
-
-    pairs = map_batches(met.select("grp", "part", "qc", "center", "qr", "radius", "worst"), reach, "grp bigint, part bigint")
+            dims = batch.column(2).to_numpy()
+            for dim in np.unique(dims):
+                rows = batch.filter(pa.array(dims == dim))
+                qc, pc = _matrix(rows.column(3)), _matrix(rows.column(4))
+                qr, pr, worst = (rows.column(i).to_numpy() for i in (5, 6, 7))
+                bound = (qc * pc).sum(axis=1) + qr * np.linalg.norm(pc, axis=1) + pr * np.linalg.norm(qc, axis=1) + qr * pr
+                keep = pa.array(~(bound + 1e-6 * (1 + np.abs(bound)) < worst))  # a bound that overflows rules nothing out
+                yield pa.RecordBatch.from_arrays([rows.column(0).filter(keep), rows.column(1).filter(keep)], ["grp", "part"])
+
+    pairs = map_batches(met.select("grp", "part", "dim", "qc", "center", "qr", "radius", "worst"), reach, "grp bigint, part bigint")
     pairs = stored(pairs.withColumn("task", F.pmod(F.xxhash64("grp"), F.lit(max(1, balls.count() // GROUPS_PER_TASK)))), "pairs")
-    asked = queries.join(pairs, "grp").select("part", "task", "id", "vec", "least", F.lit(True).alias("query"))
-    given = placed.select("part", "id", "vec").join(pairs.select("part", "task").distinct(), "part").select(
-        "part", "task", "id", "vec", F.lit(None).cast("bigint").alias("least"), F.lit(False).alias("query"))
+    asked = queries.join(pairs, "grp").select("part", "task", "id", "vec", "n", "least", F.lit(True).alias("query"))
+    given = placed.select("part", "id", "vec", "n").join(pairs.select("part", "task").distinct(), "part").select(
+        "part", "task", "id", "vec", "n", F.lit(None).cast("bigint").alias("least"), F.lit(False).alias("query"))
 
     def search(group: pa.Table) -> dict[str, list] | None:
         is_q = group.column("query").to_numpy(zero_copy_only=False).astype(bool)
         ids, x = group.column("id").to_numpy(), _matrix(group.column("vec"))
         least = np.array([v for v in group.column("least").to_pylist() if v is not None], np.int64)
         q, p = ids[is_q], ids[~is_q]
-        found = dual_search(x[is_q], q, x[~is_q], p, k, least)
-        return {"query_id": [q[f[0]] for f in found], "vec_id": [p[f[1]] for f in found], "score": [f[2] for f in found]} if found else None
-
-    found = map_groups(asked.unionByName(given), ["part", "task"], search, "query_id bigint, vec_id bigint, score bigint")
+        n = np.minimum(group.column("n").to_numpy(), k)  # no pair has more than k places
+        found, _ = dual_search(x[is_q], q, x[~is_q], p, k, least)
+        if not found:
+            return None
+        i, j = (np.array([f[c] for f in found]) for c in (0, 1))
+        return {"query_id": q[i], "vec_id": p[j], "score": [f[2] for f in found], "n": np.minimum(n[is_q][i] * n[~is_q][j], k)}
+
+    found = map_groups(asked.unionByName(given), ["part", "task"], search, "query_id bigint, vec_id bigint, score bigint, n bigint")
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-
-def _lists(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(v) for v in column.to_pylist()]
