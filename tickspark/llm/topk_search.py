@@ -7,7 +7,8 @@ queries and one over the part's vectors are walked together: a pair of nodes is
 
     <q, p> + r_q |p| + r_p |q| + r_q r_p
 
-with the nodes' points and covering radii is below the worst k-th score of the queries under the node.
+with the nodes' points and covering radii is below the worst k-th score of the queries under the node. Below a
+leaf of queries each query goes on by itself, r_q = 0.
 
 Groups of queries and parts are compared in blocks by their balls alone. The work per query grows with the parts
 that its bound cannot rule out.
@@ -87,25 +88,40 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids:
     if not len(queries) or not len(x):
         return [], compared
 
-    def visit(q: Node, p: Node, product: float) -> None:
+    lengths = np.linalg.norm(queries, axis=1)
+
+    def ask(rows: np.ndarray, p: Node) -> None:
+        """Queries of one leaf, each a node of its own with radius 0, against the rows under ``p``."""
         nonlocal compared
+        bound = queries[rows] @ p.point + p.radius * lengths[rows]
+        rows = rows[~(bound + 1e-6 * (1 + np.abs(bound)) < kth[rows])]
+        if not len(rows):
+            return
+        if p.children:
+            product = queries[rows] @ np.array([c.point for c in p.children]).T
+            for i in np.argsort(-product.max(axis=0)):
+                ask(rows, p.children[i])
+            return
+        s = products(queries[rows], x[p.rows])
+        compared += s.size
+        hit = (s >= kth[rows][:, None]) & (query_ids[rows][:, None] != ids[p.rows][None, :])
+        for i in np.flatnonzero(hit.any(axis=1)):
+            row = int(rows[i])
+            at = np.flatnonzero(hit[i])
+            found = best[row] + [(-int(s[i, j]), int(ids[p.rows[j]]), int(p.rows[j])) for j in at]
+            found.sort()
+            best[row] = found[:k]
+            if len(found) >= k:
+                kth[row] = max(kth[row], -found[k - 1][0])
+
+    def visit(q: Node, p: Node, product: float) -> None:
         bound = product + q.radius * p.norm + p.radius * q.norm + q.radius * p.radius
         if bound + 1e-6 * (1 + abs(bound)) < kth[q.rows].min():
             return
-        if not q.children and not p.children:
-            s = products(queries[q.rows], x[p.rows])
-            compared += s.size
-            hit = (s >= kth[q.rows][:, None]) & (query_ids[q.rows][:, None] != ids[p.rows][None, :])
-            for i in np.flatnonzero(hit.any(axis=1)):
-                row = int(q.rows[i])
-                at = np.flatnonzero(hit[i])
-                found = best[row] + [(-int(s[i, j]), int(ids[p.rows[j]]), int(p.rows[j])) for j in at]
-                found.sort()
-                best[row] = found[:k]
-                if len(found) >= k:
-                    kth[row] = max(kth[row], -found[k - 1][0])
+        if not q.children:
+            ask(q.rows, p)
             return
-        if q.children and (not p.children or q.radius * p.norm > p.radius * q.norm):
+        if not p.children or q.radius * p.norm > p.radius * q.norm:
             for c in q.children:
                 visit(c, p, float(c.point @ p.point))
             return
