@@ -8,7 +8,8 @@ queries and one over the part's vectors are walked together: a pair of nodes is
     <q, p> + r_q |p| + r_p |q| + r_q r_p
 
 with the nodes' points and covering radii is below the worst k-th score of the queries under the node. Below a
-leaf of queries each query goes on by itself, r_q = 0.
+leaf of queries each query goes on by itself, r_q = 0, down to leaves or to small nodes whose children would
+rule out next to nothing.
 
 Groups of queries and parts are compared in blocks by their balls alone. The work per query grows with the parts
 that its bound cannot rule out.
@@ -43,6 +44,9 @@ GROUPS_PER_TASK = 64
 PARTS_PER_BLOCK = 64
 LEAF = 32
 FAN = 16
+# A node of at most WHOLE rows is compared whole if its children rule out less than the share WORTH of its pairs.
+WHOLE = 256
+WORTH = 0.125
 TOP = np.iinfo(np.int64).max
 
 
@@ -57,7 +61,7 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Node:
-    __slots__ = ("point", "norm", "radius", "rows", "children")
+    __slots__ = ("point", "norm", "radius", "rows", "children", "below")
 
     def __init__(self, x: np.ndarray, rows: np.ndarray, center: int):
         self.point, self.rows, self.children = x[center], rows, []
@@ -76,6 +80,7 @@ class Node:
             owner[closer], near = len(centers) - 1, np.minimum(near, d)
         if len(centers) > 1:  # distances may overflow
             self.children = [Node(x, rows[owner == k], c) for k, c in enumerate(centers)]
+            self.below = (x[centers], np.array([c.radius for c in self.children]), np.array([len(c.rows) for c in self.children]))
 
 
 def dual_search(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, least: np.ndarray
@@ -93,15 +98,18 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids:
     def ask(rows: np.ndarray, p: Node) -> None:
         """Queries of one leaf, each a node of its own with radius 0, against the rows under ``p``."""
         nonlocal compared
-        bound = queries[rows] @ p.point + p.radius * lengths[rows]
-        rows = rows[~(bound + 1e-6 * (1 + np.abs(bound)) < kth[rows])]
-        if not len(rows):
-            return
         if p.children:
-            product = queries[rows] @ np.array([c.point for c in p.children]).T
-            for i in np.argsort(-product.max(axis=0)):
-                ask(rows, p.children[i])
-            return
+            points, radii, sizes = p.below
+            product = queries[rows] @ points.T
+            bound = product + radii * lengths[rows][:, None]
+            bound += 1e-6 * (1 + np.abs(bound))
+            left = ~(bound < kth[rows][:, None]) @ sizes
+            if len(p.rows) > WHOLE or left.sum() <= (1 - WORTH) * len(rows) * len(p.rows):
+                for i in np.argsort(-product.max(axis=0)):
+                    some = rows[~(bound[:, i] < kth[rows])]  # bounds have risen meanwhile
+                    if len(some):
+                        ask(some, p.children[i])
+                return
         s = products(queries[rows], x[p.rows])
         compared += s.size
         hit = (s >= kth[rows][:, None]) & (query_ids[rows][:, None] != ids[p.rows][None, :])
@@ -119,7 +127,10 @@ def dual_search(queries: np.ndarray, query_ids: np.ndarray, x: np.ndarray, ids:
         if bound + 1e-6 * (1 + abs(bound)) < kth[q.rows].min():
             return
         if not q.children:
-            ask(q.rows, p)
+            alone = queries[q.rows] @ p.point + p.radius * lengths[q.rows]
+            some = q.rows[~(alone + 1e-6 * (1 + np.abs(alone)) < kth[q.rows])]
+            if len(some):
+                ask(some, p)
             return
         if not p.children or q.radius * p.norm > p.radius * q.norm:
             for c in q.children:
