@@ -110,9 +110,32 @@ def test_vector_links_equal_all_pairs(spark, monkeypatch):
         count[rows[a][0]] += 1
         count[rows[b][0]] += 1
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
-    for tile in (512, 8):
+    for tile, lead, block in ((512, 8, 256), (8, 8, 4), (8, 2, 256), (40, 3, 8)):
         monkeypatch.setattr(E, "TILE", tile)
+        monkeypatch.setattr(E, "LEAD", lead)
+        monkeypatch.setattr(E, "BLOCK", block)
         got = {r.vec_id: r for r in E.near_duplicates(df).collect()}
         assert {k: r.n_links for k, r in got.items()} == count
         assert {k: r.component_id for k, r in got.items()} == want
     assert E.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_vector_columns_may_have_any_name(spark):
+    rows = [(None, [1.0, 0.0], "a", 1), ("x", [1.0, 0.0], "a", 2), ("x", [2.0, 0.1], "a", 3), ("y", [0.0, 1.0], "a", 4), ("z", [1.0, 0.0], "b", 5)]
+    df = spark.createDataFrame(rows, "cls string, given array<double>, space string, row_key int")
+    got = sorted((str(r.cls), r.n_links, str(r.component_id), r.kept) for r in E.near_duplicates(df, "cls", "given", "space").collect())
+    assert got == [("None", 2, "x", False), ("x", 2, "x", True), ("x", 2, "x", True), ("y", 0, "y", True), ("z", 0, "z", True)]
+
+
+def test_cells_and_their_neighbours(spark):
+    rng = random.Random(8)
+    cells = [[int(rng.gauss(0, 2)) for _ in range(E.LEAD)] for _ in range(600)]
+    levels = E.cut(spark.createDataFrame([(1, c) for c in cells], "space bigint, cell array<bigint>"), 20)
+    at = {r.id: tuple(r["at"]) for c in levels for r in c.select("at", F.xxhash64("space", "at").alias("id")).collect()}
+    assert len(levels) > 3
+    # every row is in one cell
+    assert all(sum(tuple(c[:len(a)]) == a for a in at.values()) == 1 for c in cells)
+    got = sorted(tuple(sorted((r.a, r.b))) for r in E.neighbours(levels).collect())
+    want = sorted((a, b) for a, b in itertools.combinations_with_replacement(sorted(at), 2)
+                  if all(abs(x - y) <= 1 for x, y in zip(at[a], at[b])))
+    assert got == want

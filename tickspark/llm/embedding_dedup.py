@@ -1,14 +1,17 @@
 """Near-duplicate vectors within a label, by PCA-ordered tiled comparison.
 
-Unit vectors are turned into the basis of their principal components, which changes no product. The first few
+Unit vectors are turned into the basis of their principal components, which changes no product. Their leading
 coordinates cut a label into cells as wide as two linked vectors can be apart, so links stay within a cell
-and its neighbours; cells are cut into tiles. A pair of tiles is one task: it adds up products over
-leading coordinates first, bounds the rest by the product of the suffix norms and drops a pair as soon as
-its cosine cannot reach the threshold. What is left is decided by the cosine of the given vectors in double precision.
+and its neighbours. A cell is cut by one coordinate more only where it holds more rows than a tile, so small labels are
+one cell, and the rows that meet a cell do not grow with the table until the coordinates are used up; what is
+larger even then is cut into tiles. A pair of tiles is one task: it rules out blocks by their bounding
+boxes, adds up products over leading coordinates first, bounds the rest by the product of the suffix norms and drops a pair
+as soon as its cosine cannot reach the threshold. What is left is decided by the cosine of the given vectors in double precision.
 
 Equal vectors of one label are compared once. A task returns, per class of equal vectors, how many rows
 it links to, and a spanning forest, never the pairs. The basis comes from sums over all vectors; it is one
-matrix of the vectors' length, whatever the table.
+matrix of the vectors' length, whatever the table. A vector is shuffled once for each cell it meets, as given, and turned
+again in the task. Cells, tiles and partners are found without the vectors.
 
 Defined cases: rows with a null label, or a vector that is null, empty, zero or holds null or non-finite
 components, link with nothing. Vectors of different lengths do not link. Repeated rows link with each other; a
@@ -30,8 +33,11 @@ from pyspark.sql import functions as F
 from tickspark.llm.common import map_batches, map_groups, stored
 from tickspark.llm.components import named_groups, spanning_forest
 
-TILE = 512
-LEAD = 3
+TILE = 2048
+BLOCK = 256
+#: Leading coordinates that may cut cells, and those by which neighbours are looked up.
+LEAD = 8
+LOOKUP = 3
 STEPS = (8, 16, 32)
 
 
@@ -72,35 +78,83 @@ def basis(vectors: DataFrame, column: str) -> tuple[int, np.ndarray]:
     return d, directions[:, np.argsort(-values)]
 
 
-def turned(vectors: DataFrame, key: str, column: str, label: str, width: float) -> DataFrame:
-    """Key, class, cell and turned unit vector of each row; no class where it links with nothing."""
-    d, directions = basis(vectors, column)
+def turn(v: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """The unit vector of ``v`` in the basis, if it has the basis' length."""
+    return unit(v) @ directions if len(v) == len(directions) else unit(v)
+
+
+def placed(vectors: DataFrame, key: str, column: str, label: str, width: float, directions: np.ndarray) -> DataFrame:
+    """Key, class, cell and vector of each row; no class where it links with nothing."""
     kind = vectors.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cls, cell, space, unit_, given = [], [], [], [], []
+            cls, cell, space, given = [], [], [], []
             for values, mark in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 v = valid(values) if mark is not None else None
                 if v is None:
-                    for column_ in (cls, cell, space, unit_, given):
+                    for column_ in (cls, cell, space, given):
                         column_.append(None)
                     continue
-                u = unit(v) @ directions if len(v) == d else unit(v)
                 where = f"{mark!r}|{len(v)}".encode("utf-8", "surrogatepass")
-                lead = np.floor(u[:LEAD] / width).astype(np.int64)
+                lead = np.floor(turn(v, directions)[:LEAD] / width).astype(np.int64)
                 cls.append(xxhash.xxh3_64_intdigest(where + b"|" + v.tobytes()) - (1 << 63))
                 space.append(xxhash.xxh3_64_intdigest(where) - (1 << 63))
                 cell.append([*lead.tolist(), *[0] * (LEAD - len(lead))])
-                unit_.append(u.tobytes())
                 top = np.abs(v).max()
                 given.append((v if 1e-100 < top < 1e100 else v / top).tobytes())  # squares must neither vanish nor overflow
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(cls, pa.int64()), pa.array(space, pa.int64()), pa.array(cell, pa.list_(pa.int64())),
-                 pa.array(unit_, pa.binary()), pa.array(given, pa.binary())], [key, "cls", "space", "cell", "unit", "given"])
+                 pa.array(given, pa.binary())], [key, "cls", "space", "cell", "given"])
 
     return map_batches(vectors.select(key, column, label), run,
-                       f"`{key}` {kind}, cls bigint, space bigint, cell array<bigint>, unit binary, given binary")
+                       f"`{key}` {kind}, cls bigint, space bigint, cell array<bigint>, given binary")
+
+
+def cut(rows: DataFrame, tile: int) -> list[DataFrame]:
+    """Cells by the number of coordinates that cut them: ``space``, ``at`` (their coordinates) and ``tiles``.
+
+    Each row of ``rows`` (``space``, ``cell``) is in one cell. A cell of more than ``tile`` rows is cut by the next
+    coordinate, so only as many cells are counted as a small multiple of rows / ``tile``.
+    """
+    levels, crowded = [], None
+    for depth in range(LEAD + 1):
+        at = F.slice("cell", 1, depth)
+        if crowded is not None:
+            rows_now = rows.join(crowded.withColumnRenamed("at", "above"), [
+                rows["space"] == crowded["space"], F.slice("cell", 1, depth - 1) == F.col("above")], "left_semi")
+        else:
+            rows_now = rows
+        counts = stored(rows_now.groupBy("space", at.alias("at")).agg(F.count("*").alias("n")), "cells")
+        full = F.col("n") > (tile if depth < LEAD else 1 << 62)
+        levels.append(counts.where(~full).select("space", "at", F.ceil(F.col("n") / tile).cast("int").alias("tiles")))
+        crowded = counts.where(full).select("space", "at")
+        if crowded.isEmpty():
+            break
+    return levels
+
+
+def neighbours(levels: list[DataFrame]) -> DataFrame:
+    """Pairs of cells that links may cross, each once: ``a`` and ``b`` (their numbers) and their tiles ``na``, ``nb``."""
+    named = [c.select("space", "at", "tiles", F.xxhash64("space", "at").alias("id"), F.lit(d).alias("depth")) for d, c in enumerate(levels)]
+    pairs = named[0].select(F.col("id").alias("a"), F.col("id").alias("b"), F.col("tiles").alias("na"), F.col("tiles").alias("nb"))
+    for d in range(1, min(LOOKUP, len(levels) - 1) + 1):
+        deeper = named[d]
+        for c in named[d + 1:]:
+            deeper = deeper.unionByName(c)
+        of = deeper if d == LOOKUP else named[d]
+        steps = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in s]) for s in itertools.product((-1, 0, 1), repeat=d)])
+        left = of.select("space", F.col("at").alias("x"), F.col("id").alias("a"), F.col("tiles").alias("na"), F.col("depth").alias("da"),
+                         F.explode(steps).alias("step")).withColumn("near", F.zip_with(F.slice("x", 1, d), "step", lambda c, s: c + s))
+        right = deeper.select("space", F.slice("at", 1, d).alias("near"), F.col("at").alias("y"), F.col("id").alias("b"),
+                              F.col("tiles").alias("nb"), F.col("depth").alias("db"))
+        # coordinates that both cells have are at most one apart; a missing one gives NULL
+        apart = F.exists(F.zip_with("x", "y", lambda c, e: F.coalesce(F.abs(c - e), F.lit(0))), lambda v: v > 1)
+        once = F.col("a") <= F.col("b")
+        if d < LOOKUP:
+            once = once | (F.col("db") > F.col("da"))
+        pairs = pairs.unionByName(left.join(right, ["space", "near"]).where(~apart & once).select("a", "b", "na", "nb"))
+    return pairs
 
 
 def close_pairs(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, threshold: float, same: bool) -> np.ndarray:
@@ -140,52 +194,93 @@ def close_pairs(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, thre
     return np.concatenate(found) if found else pairs
 
 
+def blocks_of(u: np.ndarray, width: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows in blocks of near ones, with the least and the greatest of their coordinates."""
+    lead = np.floor(u[:, :LEAD] / width)
+    order = np.lexsort(lead.T[::-1])
+    parts = [order[k: k + BLOCK] for k in range(0, len(order), BLOCK)]
+    return [(p, u[p].min(axis=0), u[p].max(axis=0)) for p in parts]
+
+
+def linked_pairs(u: np.ndarray, v: np.ndarray, side: np.ndarray | None, threshold: float) -> np.ndarray:
+    """Pairs of linked rows, all or (``side`` given) those across; ``u``: turned units, ``v``: the given vectors."""
+    reach = 2 - 2 * threshold + 1e-9
+    width = math.sqrt(reach)
+    if side is None:
+        one = two = blocks_of(u, width)
+    else:
+        at = [np.flatnonzero(side == s) for s in (0, 1)]
+        one, two = ([(a[p], lo, hi) for p, lo, hi in blocks_of(u[a], width)] for a in at)
+    found = [np.zeros((0, 2), np.int64)]
+    low, high = (np.array([b[k] for b in two]) for k in (1, 2))
+    for k, (p, lo, hi) in enumerate(one):
+        gap = np.maximum(0, np.maximum(low - hi, lo - high))
+        for i in np.flatnonzero((gap * gap).sum(axis=1) <= reach):
+            if side is None and i < k:
+                continue
+            q = two[i][0]
+            pairs = close_pairs(u[p], u[q], v[p], v[q], threshold, side is None and i == k)
+            if len(pairs):
+                found.append(np.stack([p[pairs[:, 0]], q[pairs[:, 1]]], axis=1))
+    return np.concatenate(found)
+
+
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", label: str = "label",
                     threshold: float = 0.98) -> DataFrame:
     """One row per vector: ``key``, ``class_id``, ``n_links``, ``component_id`` and ``kept``."""
     width = math.sqrt(2 - 2 * threshold) + 1e-9
-    rows = stored(turned(vectors, key, column, label, width), "turned")
+    _, directions = basis(vectors, column)
+    named = vectors.select(F.col(key).alias("row_key"), F.col(column).alias("vector"), F.col(label).alias("mark"))
+    rows = stored(placed(named, "row_key", "vector", "mark", width, directions), "placed")
     held = rows.where("cls IS NOT NULL")
-    counts = stored(held.groupBy("cls").agg(F.count("*").alias("copies"), F.min(key).alias("rep")), "classes")
-    reps = held.select("cls", "space", "cell", "unit", "given").dropDuplicates(["cls"])
-    reps = stored(reps.join(counts.select("cls", "copies"), "cls"), "reps")
-    cells = stored(reps.groupBy("space", "cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "cells")
-    steps = [s for s in itertools.product((-1, 0, 1), repeat=LEAD) if s >= (0,) * LEAD]
-    offsets = F.array(*[F.array(*[F.lit(v).cast("bigint") for v in s]) for s in steps])
-    near = cells.select("space", "cell", "tiles", F.explode(offsets).alias("step")).select(
-        "space", F.col("cell").alias("ca"), F.col("tiles").alias("na"), F.zip_with("cell", "step", lambda c, s: c + s).alias("cb"))
-    near = stored(near.join(cells.select("space", F.col("cell").alias("cb"), F.col("tiles").alias("nb")), ["space", "cb"]), "cell-pairs")
-    tiled = reps.join(cells, ["space", "cell"]).withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
-    tiled = stored(tiled.select("cls", "copies", "space", "cell", "tile", "unit", "given"), "tiled")
-    first = tiled.join(near.withColumnRenamed("ca", "cell"), ["space", "cell"]).withColumn(
-        "other", F.explode(F.sequence(F.when(F.col("cell") == F.col("cb"), F.col("tile")).otherwise(0), F.col("nb") - 1))).select(
-        F.xxhash64("space", "cell", "tile").alias("a"), F.xxhash64("space", "cb", "other").alias("b"), F.lit(0).alias("side"),
-        "cls", "copies", "unit", "given")
-    second = tiled.join(near.withColumnRenamed("cb", "cell"), ["space", "cell"]).withColumn(
-        "other", F.explode(F.filter(F.sequence(F.lit(0), F.col("na") - 1), lambda i: (F.col("cell") != F.col("ca")) | (i < F.col("tile"))))).select(
-        F.xxhash64("space", "ca", "other").alias("a"), F.xxhash64("space", "cell", "tile").alias("b"), F.lit(1).alias("side"),
-        "cls", "copies", "unit", "given")
+    counts = stored(held.groupBy("cls").agg(F.count("*").alias("copies"), F.min("row_key").alias("rep")), "classes")
+    reps = stored(held.select("cls", "space", "cell", "given").dropDuplicates(["cls"]), "reps")
+    levels = cut(reps.select("space", "cell"), TILE)
+    near = stored(neighbours(levels), "cell-pairs")
+    homes = None
+    for depth, cells in enumerate(levels):
+        found = reps.select("cls", "space", F.slice("cell", 1, depth).alias("at")).join(cells, ["space", "at"]).select(
+            "cls", F.xxhash64("space", "at").alias("id"), F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int").alias("tile"))
+        homes = found if homes is None else homes.unionByName(found)
+    homes = stored(homes, "homes")
+
+    def met(mine: str, other: str, side: int) -> DataFrame:
+        """The comparisons that a class takes part in as one side: pairs of (cell, tile)."""
+        with_pairs = homes.join(near.withColumnRenamed(mine, "id"), "id")
+        same = F.col("id") == F.col(other)
+        tiles = F.sequence(F.lit(0), F.col("n" + other) - 1)
+        tiles = F.filter(tiles, lambda t: ~same | (t >= F.col("tile") if side == 0 else t < F.col("tile")))
+        me, you = F.xxhash64("id", "tile"), F.xxhash64(F.col(other), F.col("partner"))
+        return with_pairs.withColumn("partner", F.explode(tiles)).select(
+            "cls", (me if side == 0 else you).alias("a"), (you if side == 0 else me).alias("b"), F.lit(side).alias("side"))
+
+    tasks = met("a", "b", 0).unionByName(met("b", "a", 1))
+    compared = tasks.join(reps.select("cls", "given").join(counts.select("cls", "copies"), "cls"), "cls").select(
+        "a", "b", "side", "cls", "copies", "given")
 
     def compare(group: pa.Table) -> dict[str, list] | None:
         if group.num_rows < 2:
             return None
         cls, copies, side = (group.column(c).to_numpy() for c in ("cls", "copies", "side"))
         same = group.column("a")[0] == group.column("b")[0]
-        u = np.array([np.frombuffer(v) for v in group.column("unit").to_pylist()])
-        v = np.array([np.frombuffer(v) for v in group.column("given").to_pylist()])
-        at = [np.arange(len(cls))] * 2 if same else [np.flatnonzero(side == s) for s in (0, 1)]
-        if not len(at[0]) or not len(at[1]):
+        v = np.array([np.frombuffer(g) for g in group.column("given").to_pylist()])
+        u = v / np.abs(v).max(axis=1, keepdims=True)
+        u /= np.sqrt(np.einsum("ij,ij->i", u, u))[:, None]
+        if u.shape[1] == len(directions):
+            u = u @ directions
+        if not same and (side == side[0]).all():
             return None
-        pairs = close_pairs(u[at[0]], u[at[1]], v[at[0]], v[at[1]], threshold, same)
+        pairs = linked_pairs(u, v, None if same else side, threshold)
         if not len(pairs):
             return None
-        i, j = at[0][pairs[:, 0]], at[1][pairs[:, 1]]
+        i, j = pairs.T
         count = np.bincount(i, copies[j], len(cls)) + np.bincount(j, copies[i], len(cls))
         linked = np.flatnonzero(count)
-        forest = np.array(spanning_forest(np.stack([i, j], axis=1), len(cls)))
+        forest = np.array(spanning_forest(pairs, len(cls)))
         return {"u": [*cls[linked], *cls[forest[:, 0]]], "v": [*[None] * len(linked), *cls[forest[:, 1]]],
                 "n": [*count[linked].astype(np.int64), *[None] * len(forest)]}
 
-    found = stored(map_groups(first.unionByName(second), ["a", "b"], compare, "u bigint, v bigint, n bigint"), "links")
+    found = stored(map_groups(compared, ["a", "b"], compare, "u bigint, v bigint, n bigint"), "links")
     per_class = counts.join(found.where("v IS NULL").groupBy(F.col("u").alias("cls")).agg(F.sum("n").alias("n")), "cls", "left")
-    return named_groups(rows.select(key, "cls"), per_class, found.where("v IS NOT NULL").select("u", "v"), key)
+    return named_groups(rows.select("row_key", "cls"), per_class, found.where("v IS NOT NULL").select("u", "v"), "row_key"
+                        ).withColumnRenamed("row_key", key)
