@@ -139,3 +139,32 @@ def test_cells_and_their_neighbours(spark):
     want = sorted((a, b) for a, b in itertools.combinations_with_replacement(sorted(at), 2)
                   if all(abs(x - y) <= 1 for x, y in zip(at[a], at[b])))
     assert got == want
+
+
+def test_vectors_of_floats_and_doubles_agree(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("vec_id < 300")
+    wide = df.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    one, two = (sorted(map(tuple, E.near_duplicates(d).collect())) for d in (df, wide))
+    assert one == two and len(one) == df.count()
+
+
+def test_many_rows_of_one_key(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choices(vocabulary, k=60)) for _ in range(40)]
+    texts += [t + " tail" for t in texts]
+    rows = [(None, t) for t in texts] + [(None, texts[0])] * 3
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    signed, per_class, forest = N.links(df)
+    assert forest.count() == 40 and signed.count() == 83
+    got = N.near_duplicates(df).collect()
+    assert sorted(r.n_links for r in got) == [1] * 78 + [4] * 5
+    # a text meets only the classes of its own hash, whatever its key
+    classes = N.signatures(df, "doc_id", "text", 5, 31, 6).groupBy("cls").agg(F.min("h").alias("h"))
+    assert classes.join(df.withColumn("h", F.xxhash64("text")), "h").count() == 83
+
+
+def test_stars_of_a_bucket(spark):
+    classes = spark.createDataFrame([(c, [7, c // 2]) for c in range(-5, 50)] + [(99, [8, 99])], "cls bigint, bands array<bigint>")
+    got = {(r.u, r.v) for r in N.stars(classes).collect()}
+    assert got == {(c, -5) for c in range(-4, 50)} | {(c, c - 1) for c in range(-5, 50) if c % 2 and c - 1 >= -5}

@@ -33,7 +33,10 @@ from pyspark.sql import functions as F
 from tickspark.llm.common import map_batches, map_groups, stored
 from tickspark.llm.components import named_groups, spanning_forest
 
-TILE = 2048
+#: At most so many rows and, down to LEAST_TILE rows, so many numbers in a tile.
+TILE = 4096
+TILE_NUMBERS = 1 << 21
+LEAST_TILE = 512
 BLOCK = 256
 #: Leading coordinates that may cut cells, and those by which neighbours are looked up.
 LEAD = 8
@@ -83,9 +86,15 @@ def turn(v: np.ndarray, directions: np.ndarray) -> np.ndarray:
     return unit(v) @ directions if len(v) == len(directions) else unit(v)
 
 
+def _number(vectors: DataFrame, column: str) -> str:
+    """The number type that holds the components exactly; floats stay short on their way."""
+    return "<f4" if vectors.schema[column].dataType.simpleString() == "array<float>" else "<f8"
+
+
 def placed(vectors: DataFrame, key: str, column: str, label: str, width: float, directions: np.ndarray) -> DataFrame:
     """Key, class, cell and vector of each row; no class where it links with nothing."""
     kind = vectors.schema[key].dataType.simpleString()
+    number = _number(vectors, column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,7 +111,7 @@ def placed(vectors: DataFrame, key: str, column: str, label: str, width: float,
                 space.append(xxhash.xxh3_64_intdigest(where) - (1 << 63))
                 cell.append([*lead.tolist(), *[0] * (LEAD - len(lead))])
                 top = np.abs(v).max()
-                given.append((v if 1e-100 < top < 1e100 else v / top).tobytes())  # squares must neither vanish nor overflow
+                given.append((v if 1e-100 < top < 1e100 else v / top).astype(number).tobytes())  # squares must neither vanish nor overflow
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(cls, pa.int64()), pa.array(space, pa.int64()), pa.array(cell, pa.list_(pa.int64())),
                  pa.array(given, pa.binary())], [key, "cls", "space", "cell", "given"])
@@ -229,13 +238,14 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", column: str = "embe
                     threshold: float = 0.98) -> DataFrame:
     """One row per vector: ``key``, ``class_id``, ``n_links``, ``component_id`` and ``kept``."""
     width = math.sqrt(2 - 2 * threshold) + 1e-9
-    _, directions = basis(vectors, column)
+    d, directions = basis(vectors, column)
+    number, tile = _number(vectors, column), min(TILE, max(LEAST_TILE, TILE_NUMBERS // max(d, 1)))
     named = vectors.select(F.col(key).alias("row_key"), F.col(column).alias("vector"), F.col(label).alias("mark"))
     rows = stored(placed(named, "row_key", "vector", "mark", width, directions), "placed")
     held = rows.where("cls IS NOT NULL")
     counts = stored(held.groupBy("cls").agg(F.count("*").alias("copies"), F.min("row_key").alias("rep")), "classes")
     reps = stored(held.select("cls", "space", "cell", "given").dropDuplicates(["cls"]), "reps")
-    levels = cut(reps.select("space", "cell"), TILE)
+    levels = cut(reps.select("space", "cell"), tile)
     near = stored(neighbours(levels), "cell-pairs")
     homes = None
     for depth, cells in enumerate(levels):
@@ -263,7 +273,7 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", column: str = "embe
             return None
         cls, copies, side = (group.column(c).to_numpy() for c in ("cls", "copies", "side"))
         same = group.column("a")[0] == group.column("b")[0]
-        v = np.array([np.frombuffer(g) for g in group.column("given").to_pylist()])
+        v = np.array([np.frombuffer(g, number) for g in group.column("given").to_pylist()], np.float64)
         u = v / np.abs(v).max(axis=1, keepdims=True)
         u /= np.sqrt(np.einsum("ij,ij->i", u, u))[:, None]
         if u.shape[1] == len(directions):
