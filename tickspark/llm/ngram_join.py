@@ -8,7 +8,8 @@ candidates. Candidates are verified on their full sets.
 A bucket never emits its pairs. Its members hang on the first of them, which joins candidates into clusters; a
 cluster is cut into tiles, and each pair of tiles is one task that compares the members that share a
 band and returns, per class, its number of links, and a spanning forest of the links. So a group of many
-near copies costs comparisons, but neither rows nor memory of one task.
+near copies returns few rows and fills no task's memory; it costs its comparisons, and its sets are
+shuffled once for each tile of their cluster.
 
 Defined cases: a text of fewer than ``n`` words has one n-gram of all its words. A null text, or one
 without words, links with nothing and is a class of its own row. Words are compared as they are. Repeated rows
@@ -103,7 +104,7 @@ def _class_of(grams: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: int) -> DataFrame:
-    """``key``, ``cls`` (null without words), ``grams`` (set size) and ``bands`` of every document."""
+    """``key``, ``cls`` (null without words), ``grams`` (set size), ``bands`` and ``h`` (hash of the text) of every document."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,32 +117,21 @@ def signatures(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: i
                 cls.append(_class_of(grams) if len(grams) else None)
                 keys.append(sign(grams) if len(grams) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(cls, pa.int64()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                [key, "cls", "grams", "bands"])
+                [batch.column(0), pa.array(cls, pa.int64()), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64())), batch.column(2)],
+                [key, "cls", "grams", "bands", "h"])
 
-    return map_batches(docs.select(key, text), run, f"`{key}` {kind}, cls bigint, grams bigint, bands array<bigint>")
+    return map_batches(docs.select(key, text, F.xxhash64(text)), run, f"`{key}` {kind}, cls bigint, grams bigint, bands array<bigint>, h bigint")
 
 
 def stars(classes: DataFrame) -> DataFrame:
-    """``u``, ``v``: every member of a bucket with the first one. ``classes`` has ``cls`` and ``bands``."""
-    rows = classes.select("cls", F.posexplode("bands").alias("band", "hash"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, head = None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cls, band, h = (batch.column(i).to_numpy() for i in range(3))
-            new = np.ones(len(cls), bool)
-            new[1:] = (band[1:] != band[:-1]) | (h[1:] != h[:-1])
-            if last == (band[0], h[0]):
-                new[0] = False
-            at = np.maximum.accumulate(np.where(new, np.arange(len(cls)), -1))
-            first = np.where(at >= 0, cls[np.maximum(at, 0)], head)
-            yield pa.RecordBatch.from_pydict({"u": cls[~new], "v": first[~new]})
-            last, head = (band[-1], h[-1]), first[-1]
+    """``u``, ``v``: every member of a bucket with the first one. ``classes`` has ``cls`` and ``bands``.
 
-    return map_batches(rows.repartition("band", "hash").sortWithinPartitions("band", "hash", "cls"), run, "u bigint, v bigint")
+    The first ones are a minimum that combines before the shuffle, and only buckets of several members are joined
+    back, so a bucket that holds many classes is no task of its own.
+    """
+    rows = classes.select("cls", F.posexplode("bands").alias("band", "hash"))
+    heads = stored(rows.groupBy("band", "hash").agg(F.min("cls").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n"), "heads")
+    return rows.join(heads, ["band", "hash"]).where("cls <> v").select(F.col("cls").alias("u"), "v").distinct()
 
 
 def similar(sets: list[np.ndarray], pairs: np.ndarray, threshold: float) -> np.ndarray:
@@ -182,10 +172,11 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5,
     bands, rows = choose_bands(threshold, recall)
     signed = stored(signatures(docs, key, text, n, bands, rows), "signatures")
     classes = stored(signed.where("cls IS NOT NULL").groupBy("cls").agg(
-        F.count("*").alias("copies"), F.min(key).alias("rep"), F.max("grams").alias("grams"), F.first("bands").alias("bands")), "classes")
+        F.count("*").alias("copies"), F.min(key).alias("rep"), F.max("grams").alias("grams"), F.first("bands").alias("bands"),
+        F.min("h").alias("h"), F.min_by(key, "h").alias("of")), "classes")
     clusters = stored(components(stars(classes)), "clusters")
     members = classes.join(clusters, F.col("cls") == F.col("node")).select(
-        "cls", "copies", "rep", "bands", "component", "grams")
+        "cls", "copies", "h", "of", "bands", "component", "grams")
     sizes = clusters.join(classes, F.col("cls") == F.col("node")).groupBy("component").agg(
         F.count("*").alias("members"), F.sum("grams").alias("total"))
     tiles = stored(sizes.select("component", F.greatest(
@@ -229,15 +220,17 @@ def links(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5,
 
 def _sets_of(docs: DataFrame, members: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """``members`` with the n-gram set of one document of each class."""
-    wanted = members.select(F.col("rep").alias("_rep"), "cls", "copies", "bands", "component", "tiles", "tile")
-    joined = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(
-        wanted, F.col("_key").eqNullSafe(F.col("_rep"))).select("cls", "copies", "bands", "component", "tiles", "tile", "_text")
+    # A text of the class with one of its keys: a key that many rows share meets its own texts only.
+    wanted = members.select("h", F.col("of").alias("_of"), "cls", "copies", "bands", "component", "tiles", "tile")
+    joined = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.xxhash64(text).alias("_h")).join(
+        wanted, (F.col("_h") == F.col("h")) & F.col("_key").eqNullSafe(F.col("_of"))).select(
+        "cls", "copies", "bands", "component", "tiles", "tile", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(n)
         for batch in batches:
             sets = [shingle(t) for t in batch.column(6).to_pylist()]
-            # keys may repeat with other texts; those are not of this class
+            # texts of equal hashes are told apart
             same = [len(s) > 0 and _class_of(s) == c for s, c in zip(sets, batch.column(0).to_pylist())]
             at = np.flatnonzero(same)
             yield pa.RecordBatch.from_arrays(
