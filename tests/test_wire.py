@@ -1,12 +1,16 @@
 """Messages to rows: accepted, rejected and odd ones."""
 
+import datetime
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tickspark.operators import micro as M
 from tickspark.operators import quality as Q
 from tickspark.sources import wire as W
+from verification.bindings import Market
 
 
 def feed(spark, *messages):
@@ -110,3 +114,23 @@ def test_flat_book_sorts_drops_deletions_and_breaks_ties_to_the_near_level(spark
     assert abs(a.wall_dist_ask_bps - 0.25 / 10.25 * 1e4) < 1e-9
     assert b.b1_price is None and b.microprice is None and b.i1 == 0.0 and b.i5 == 0.0 and b.a1_price == 11.0
     assert c.total_bid_qty == 0.0 and c.wall_size_bid is None
+
+
+def test_l1_of_escaped_event_names_and_odd_messages(spark):
+    escaped = json.dumps(depth()).replace("depthUpdate", "\\u0064epthUpdate")
+    rows = W.depth_to_l1(bare(spark, escaped, depth(), depth(e="other", s="depthUpdate"), {"e": "bookTicker"}, "not json"), "venue")
+    assert [r.symbol for r in rows.collect()] == ["AAAUSDT"] * 2
+    parsers = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains" in parsers and parsers.index("Contains") > parsers.index("explode(array(from_json(MapType")  # below the parser
+
+
+def test_messages_are_dealt_evenly(spark, tmp_path):
+    """Events of one row group: their messages are not made and parsed in one task."""
+    start, kinds = datetime.datetime(2024, 1, 1), ["view", "error", "purchase", "click"]
+    pq.write_table(pa.table({
+        "event_id": list(range(4000)), "ts": pa.array([start + datetime.timedelta(seconds=i) for i in range(4000)], pa.timestamp("us")),
+        "user_id": list(range(4000)), "event_type": [kinds[i % 4] for i in range(4000)], "value": [i / 8 for i in range(4000)],
+        "props": ['{"k": %d}' % (i % 100) for i in range(4000)]}), tmp_path / "events.parquet")
+    rows = W.depth_to_l1(W.read_envelope(Market(spark, str(tmp_path)).messages), "spot")
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 750

@@ -164,6 +164,14 @@ def parse_depth(df: DataFrame, missing_prev: int | None = None) -> DataFrame:
     return _parsed(df, DEPTH, cols, ["ts_exchange", "first_update_id", "final_update_id", "bids", "asks"])
 
 
+def _may_be(event: str) -> Column:
+    """Whether a message's text can name the event: its name stands there, or an escape that may hide it.
+
+    Costs a search of the text, so messages of other events need not be parsed to be left out.
+    """
+    return F.col("data").contains(event) | F.col("data").contains("\\")
+
+
 def _checked(df: DataFrame) -> DataFrame:
     complete = _text("e") == DEPTH
     for field in ("E", "s", "b", "a"):
@@ -187,7 +195,7 @@ def depth_to_l1(df: DataFrame, exchange: str) -> DataFrame:
         return _finite(F.try_element_at(F.try_element_at(F.col("_sides")[side], F.lit(1)), F.lit(i)).try_cast("double"))
 
     return (
-        _checked(df).filter("is_valid")
+        _checked(df.filter(_may_be(DEPTH))).filter("is_valid")
         .select(
             F.lit(exchange).alias("exchange"), _text("s").alias("symbol"),
             (_number("E", "bigint") * 1000).alias("timestamp"), F.unix_micros(_ingest(df)).alias("local_timestamp"),

@@ -14,6 +14,9 @@ EVENTS = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
 ])
 
+#: Levels on each side of a book.
+LEVELS = 5
+
 
 def _typed(raw: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("bigint")
@@ -60,20 +63,25 @@ class Market:
 
     @property
     def tr(self) -> DataFrame:
-        return self._keyed.filter("event_type IN ('purchase', 'click')").select(
+        return self._trades(self._keyed)
+
+    def _trades(self, keyed: DataFrame) -> DataFrame:
+        return keyed.filter("event_type IN ('purchase', 'click')").select(
             F.col("ts").alias("ts_exchange"), "ts_ingest", "symbol_id", F.col("event_id").alias("agg_trade_id"),
             F.col("value").alias("price"), ((F.col("k") + 1) / F.lit(10.0)).alias("qty"),
             (F.col("event_id") % 2 == 1).alias("is_buyer_maker"))
 
     @property
     def de(self) -> DataFrame:
+        return self._depth(self._keyed)
+
+    def _depth(self, keyed: DataFrame) -> DataFrame:
         cents = F.round(F.col("value") * 100).cast("bigint")
-        steps = F.sequence(F.lit(0).cast("bigint"), F.lit(4).cast("bigint"))
-        rows = self._keyed.filter("event_type <> 'error'").withColumn("cents", cents)
+        rows = keyed.filter("event_type <> 'error'").withColumn("cents", cents)
 
         def side(price, qty):
-            return F.transform(steps, lambda i: F.struct(
-                (price(i) / F.lit(100.0)).alias("price"), qty(i).cast("double").alias("qty")))
+            return F.array(*[F.struct(
+                (price(i) / F.lit(100.0)).alias("price"), qty(i).cast("double").alias("qty")) for i in range(LEVELS)])
 
         return rows.select(
             F.col("ts").alias("ts_exchange"), "ts_ingest", "symbol_id",
@@ -96,6 +104,15 @@ class Market:
             F.col("ts").alias("ts_exchange"), "ts_ingest", "symbol_id", kind.alias("stream_type"), "event_id",
             (F.col("event_type") != "error").alias("ok"))
 
+    @property
+    def _dealt(self) -> DataFrame:
+        """The events dealt evenly over the cores. Making and parsing its messages costs far more than moving an event, and
+        files may have few row groups."""
+        if self.streaming:
+            return self._keyed
+        cores = self.spark.sparkContext.defaultParallelism
+        return self._keyed.repartition(max(4 * cores, self.table("events").rdd.getNumPartitions()))
+
     def _symbol_text(self):
         return F.concat(F.lit("NATION_"), F.col("symbol_id").cast("string"))
 
@@ -111,15 +128,16 @@ class Market:
             return F.col(c).cast("string")
 
         def levels(side):
-            return F.transform(F.col(side), lambda level: F.array(
-                level["price"].cast("string"), level["qty"].cast("string")))
+            return F.array(*[F.array(
+                F.col(side)[i]["price"].cast("string"), F.col(side)[i]["qty"].cast("string")) for i in range(LEVELS)])
 
         def envelope(mark, payload, df):
             return df.select("ts_ingest", F.to_json(F.struct(
                 F.concat(F.lower(s), F.lit(mark)).alias("stream"), payload.alias("data"))).alias("value"))
 
         bid = F.when(F.col("event_type") == "error", "n/a").otherwise(text("best_bid"))
-        quotes = self._keyed.filter("event_type <> 'purchase'").select(
+        events = self._dealt
+        quotes = events.filter("event_type <> 'purchase'").select(
             F.col("ts").alias("ts_exchange"), "ts_ingest", "symbol_id", "event_type",
             F.col("event_id").alias("update_id"), F.col("value").alias("best_bid"),
             (F.col("value") + (F.col("event_id") % 11 - 1) * F.lit(0.01)).alias("best_ask"),
@@ -130,9 +148,9 @@ class Market:
         tr = envelope("@aggTrade", F.struct(
             F.lit("aggTrade").alias("e"), ms.alias("E"), ms.alias("T"), s.alias("s"),
             F.col("agg_trade_id").alias("a"), text("price").alias("p"), text("qty").alias("q"),
-            F.col("is_buyer_maker").alias("m")), self.tr)
+            F.col("is_buyer_maker").alias("m")), self._trades(events))
         de = envelope("@depth", F.struct(
             F.lit("depthUpdate").alias("e"), ms.alias("E"), s.alias("s"), F.col("first_update_id").alias("U"),
             F.col("final_update_id").alias("u"), F.col("prev_final_update_id").alias("pu"),
-            levels("bids").alias("b"), levels("asks").alias("a")), self.de)
+            levels("bids").alias("b"), levels("asks").alias("a")), self._depth(events))
         return bt.unionByName(tr).unionByName(de)
