@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import posixpath
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -113,6 +114,11 @@ def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
         fs.delete(root, True)
 
 
+def _beside(path: str) -> str:
+    """The folder ``path`` lies in: an overwrite of ``path`` leaves what is staged there alone."""
+    return posixpath.dirname(path.rstrip("/")) or "."
+
+
 def _on_days(live: DataFrame, days: list) -> DataFrame:
     """Live rows of the given days, as a filter on the partitions; None is the partition of rows without a time."""
     there = F.col(DATE).isin([d for d in days if d is not None])
@@ -208,11 +214,15 @@ def write_bucketed(df: DataFrame, table: str, path: str, by: list[str], buckets:
 
 
 def export_csv(df: DataFrame, path: str, order: list[str], by: list[str] | None = None) -> None:
-    """Gzip CSV with header; each file is in time order and files follow each other in range order."""
-    writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
-    if by:
-        writer = writer.partitionBy(*by)
-    writer.csv(path, header=True, compression="gzip", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    """Gzip CSV with header; each file is in time order and files follow each other in range order.
+
+    ``df`` is evaluated once, see :func:`staged`: finding the ranges reads it before they are filled.
+    """
+    with staged(df, _beside(path)) as rows:
+        writer = rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite")
+        if by:
+            writer = writer.partitionBy(*by)
+        writer.csv(path, header=True, compression="gzip", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
 
 
 def export_json(df: DataFrame, path: str) -> None:
