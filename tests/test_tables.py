@@ -170,3 +170,22 @@ def test_only_near_times_are_compared(spark, tmp_path):
     assert [r.update_id for r in near.collect()] == [1]
     text = near._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "PartitionFilters: [" in text and "GreaterThanOrEqual(ts_exchange" in text
+
+
+def test_exports_evaluate_their_rows_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    l1 = spark.createDataFrame([(f"s{i % 3}", 1_700_000_000_000_000 + i, float(i)) for i in range(50)],
+                               "symbol string, timestamp long, bid_price double")
+    for write in (S.rotate_files, lambda df, p: S.export_csv(df, p, ["symbol", "timestamp"])):
+        for _ in range(2):
+            before = seen.value
+            write(l1.mapInArrow(count, l1.schema), str(tmp_path / "out"))
+            assert seen.value - before == 50
+        assert spark.read.csv(str(tmp_path / "out"), header=True).count() == 50
+        assert os.listdir(tmp_path) == ["out"]  # nothing staged is left

@@ -238,14 +238,15 @@ def rotate_files(l1: DataFrame, path: str, hours: int = 24, max_records: int = 5
     """One folder of gzip CSV files per symbol and rotation window; big windows split by count.
 
     A run replaces the windows it has records of and leaves the others, so pass whole windows; repeating it changes
-    nothing.
+    nothing. ``l1`` is evaluated once, see :func:`staged`.
     """
     window = X.time_bucket(F.timestamp_micros("timestamp"), f"{hours} hours")
-    (l1.withColumn("rotation", F.date_format(window, "yyyyMMdd_HHmmss"))
-     .repartitionByRange("symbol", "timestamp").sortWithinPartitions("symbol", "timestamp")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records)
-     .partitionBy("symbol", "rotation")
-     .csv(path, header=True, compression="gzip"))
+    with staged(l1, _beside(path)) as rows:
+        (rows.withColumn("rotation", F.date_format(window, "yyyyMMdd_HHmmss"))
+         .repartitionByRange("symbol", "timestamp").sortWithinPartitions("symbol", "timestamp")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_records)
+         .partitionBy("symbol", "rotation")
+         .csv(path, header=True, compression="gzip"))
 
 
 def load_fallback_csv(spark: SparkSession, path: str, schema=L1_CSV) -> DataFrame:
