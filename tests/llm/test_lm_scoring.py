@@ -149,3 +149,56 @@ def test_odd_rows(odd_docs, no_docs):
     untrained = odd_docs.withColumn("train", F.lit(None).cast("boolean"))
     check(untrained, L.score(untrained, "train"))
     assert L.score(no_docs.withColumn("train", F.lit(True)), "train").count() == 0
+
+
+def test_bits_of_the_text_are_predicted():
+    """The bytes of all texts, repeated words and all, against the mixer that goes through them one by one."""
+    import numpy as np
+    texts = ["the cat sat on the mat the cat", "", "the mat", "x" * 700 + " the cat", None, "the cat sat \u00fc"]
+    learner, ids = L.Learner(10, code_bits=8), L._Ids()
+    docs = [ids.of(t) for t in texts * 3]
+    spelled = L.Spelling(docs, ids, 10)
+    learner.read(spelled)
+    model = L.Model(dict(learner.rows()), 10, 8)
+    got = model.texts(spelled)
+
+    codes, one, two, firsts = [], [], [], []
+    for d in docs:
+        firsts.append(len(codes))
+        before = 0
+        for w in d:
+            word = ids.words[w] + b" "
+            codes += word
+            one += L.Spelling.prefixes(np.frombuffer(word, np.uint8), np.array([0]), np.array([len(word)])).tolist()
+            two += [before] * len(word)
+            before = int(ids.hashes()[w] >> np.uint64(32))
+    each = model.judge(L.Contexts.of(np.array(codes), np.array(one, np.uint32), np.array(two, np.uint32), 10))
+    assert np.allclose(got, np.add.reduceat(each, firsts), atol=1e-6)
+    # what was counted: each bit of each byte, once for each time it stands there
+    assert learner.seen == len(codes) and learner.root[:, 1].sum() == len(codes)
+    assert learner.root[1, 1] == sum(c >> 7 for c in codes)
+    assert all(t.sum() == 8 * len(codes) for t in learner.tables)
+    assert len(set(L.Spelling.prefixes(np.frombuffer(b"abcabc ", np.uint8), np.array([0]), np.array([7])).tolist())) == 7
+
+
+def test_probabilities_of_all_bytes_add_up():
+    import numpy as np
+    learner, ids = L.Learner(12, code_bits=8), L._Ids()
+    learner.read(L.Spelling([ids.of("the cat sat on the mat " * 20)], ids, 12))
+    where = L.Contexts.of(np.arange(256), np.full(256, 7, np.uint32), np.full(256, 9, np.uint32), 12)
+    assert abs((10 ** L.Model(dict(learner.rows()), 12, 8).judge(where)).sum() - 1) < 1e-4
+
+
+def test_words_of_one_count_differ_by_their_bytes(spark):
+    """Two unknown words cost what their bytes cost, not what one shared event costs."""
+    docs = spark.createDataFrame([(i, "banana bandana banner " * 20, True) for i in range(8)] + [(8, "banan", False), (9, "qzjxv", False)],
+                                 "doc_id bigint, text string, train boolean")
+    got = {r.doc_id: r.score for r in L.score(docs, "train", unit="bytes").collect()}
+    assert got[8] > got[9] + 3
+
+
+def test_odd_rows_by_bytes(odd_docs):
+    docs = odd_docs.withColumn("train", F.lit(True))
+    check(docs, L.score(docs, "train", unit="bytes"))
+    untrained = odd_docs.withColumn("train", F.lit(None).cast("boolean"))
+    check(untrained, L.score(untrained, "train", unit="bytes"))
