@@ -202,3 +202,134 @@ def test_odd_rows_by_bytes(odd_docs):
     check(docs, L.score(docs, "train", unit="bytes"))
     untrained = odd_docs.withColumn("train", F.lit(None).cast("boolean"))
     check(untrained, L.score(untrained, "train", unit="bytes"))
+
+
+def spelled(texts):
+    return [b"".join(w + b" " for w in (t or "").encode().lower().split()) + b" " for t in texts]
+
+
+def test_grams_are_held_once_and_found_everywhere(monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(L, "LOOK_BYTES", 64)  # long texts are cut, short ones taken together
+    monkeypatch.setattr(L, "SUM_BYTES", 100)
+    texts = ["the cat sat on the mat the cat", "", "the mat", "x" * 700 + " the cat", None, "the cat sat ü \x00 \x00a"] * 30
+    docs = [L.spelled(t) for t in texts]
+    assert docs == spelled(texts)
+    grams = L.Grams(docs, 10)
+    want = [int.from_bytes((bytes(5) + d)[i: i + 6], "big") for d in docs for i in range(len(d))]
+    assert grams.keys[grams.gram].tolist() == want
+    assert len(grams) - 1 == len(set(want))  # the distinct ones only: what stands often costs no more
+    assert sorted(grams.times[1:].tolist()) == sorted(Counter(want).values())
+    starts = np.cumsum([0, *map(len, docs)])
+    values = np.arange(len(grams), dtype=float)
+    assert grams.sums(values).tolist() == [values[grams.gram[a:b]].sum() for a, b in zip(starts, starts[1:])]
+
+
+def test_full_slots_lose_no_gram(monkeypatch):
+    monkeypatch.setattr(L, "LOOK_BITS", 3)
+    docs = [L.spelled(" ".join(f"w{i * i}" for i in range(3000))), L.spelled("w1 w4")]
+    grams = L.Grams(docs, 10)
+    want = [int.from_bytes((bytes(5) + d)[i: i + 6], "big") for d in docs for i in range(len(d))]
+    assert grams.keys[grams.gram].tolist() == want and grams.times.sum() == len(want)
+
+
+def plain_grams(chunks, asked, table_bits):
+    """The mixer over bytes, place by place; each chunk counted, then predicted without the place itself."""
+    mask = (1 << 32) - 1
+    root, tables, weights, refined = {}, [{} for _ in L.ORDERS], {}, {}
+
+    def places(docs):
+        return [(int.from_bytes((bytes(5) + d)[i: i + 6], "big")) for d in docs for i in range(len(d))]
+
+    def look(j, key):
+        code = key & 255
+        node = code >> (8 - j) | 1 << j
+        at = [key & 0xFF00 | node]
+        for order in L.ORDERS[1:]:
+            base = ((key >> 8 & (1 << 8 * order) - 1) * L.POWER & (1 << 64) - 1) >> 32
+            at.append(((base ^ (node * 0x27D4EB2F & mask)) * 0x165667B1 & mask) >> (32 - table_bits))
+        return code >> (7 - j) & 1, node, list(zip([root, *tables], [node, *at]))
+
+    def predict(j, counts):
+        gate = (j, *((sum(c) > 0) + (sum(c) > 8) for c in counts[-2:]))
+        x = [math.log((b + 0.4) / (a + 0.4)) for a, b in counts]
+        z = sum(w * v for w, v in zip(weights.get(gate, [0.2] * 6), x))
+        return gate, x, z, min(max(round(z * 2) + L.STEPS // 2, 0), L.STEPS - 1)
+
+    for docs in chunks:
+        keys = places(docs)
+        for key in keys:
+            for j in range(8):
+                bit, node, at = look(j, key)
+                for t, s in at:
+                    a, b = t.get(s, (0, 0))
+                    t[s] = (a + (not bit), b + bit)
+        for j in range(8):
+            moves = {}
+            for key in keys:
+                bit, node, at = look(j, key)
+                gate, x, z, step = predict(j, [(a - (not bit), b - bit) for a, b in (t[s] for t, s in at)])
+                p = 1 / (1 + math.exp(-z))
+                moves.setdefault(gate, []).append(((p * (1 - p) + L.LEAST) * sum(v * v for v in x) + L.FLAT, [(bit - p) * v for v in x]))
+                a, b = refined.get((node, step), (0, 0))
+                refined[node, step] = (a + (not bit), b + bit)
+            for gate, parts in moves.items():
+                old, n = weights.get(gate, [0.2] * 6), sum(p[0] for p in parts)
+                weights[gate] = [w + L.NEAR * sum(p[1][k] for p in parts) / n for k, w in enumerate(old)]
+    out = []
+    for key in places(asked):
+        total = 0.0
+        for j in range(8):
+            bit, node, at = look(j, key)
+            _, _, z, step = predict(j, [t.get(s, (0, 0)) for t, s in at])
+            a, b = refined.get((node, step), (0, 0))
+            fine = (b + 8 / (1 + math.exp(-(step - L.STEPS // 2) / 2))) / (a + b + 8)
+            p = (1 / (1 + math.exp(-z)) + fine) / 2
+            total += math.log10(p if bit else 1 - p)
+        out.append(total)
+    return out
+
+
+def test_grams_equal_the_plain_mixer():
+    import numpy as np
+    chunks = [[L.spelled("the cat sat on the mat the cat"), L.spelled(None)], [L.spelled("the mat sat"), L.spelled("a cat on a mat " * 9)]]
+    asked = [L.spelled("the cat sat on a mat"), L.spelled("unheard zebra"), L.spelled("")]
+    sizes = L.sizes_of("grams", 9)
+    learner = L.Learner(9, code_bits=8, sizes=sizes)
+    for docs in chunks:
+        learner.read_grams(L.Grams(docs, 9))
+    places = sum(len(d) for docs in chunks for d in docs)
+    assert learner.seen == places and learner.root[:, 1].sum() == places and all(t.sum() == 8 * places for t in learner.tables)
+    got = L.Model(dict(learner.rows()), 9, 8, sizes).texts(L.Grams(asked, 9))
+    want = np.add.reduceat(plain_grams(chunks, asked, 9), np.cumsum([0, *map(len, asked[:-1])]))
+    assert np.allclose(got, want, rtol=0.01)
+
+
+def test_probabilities_of_all_bytes_after_a_gram_add_up():
+    import numpy as np
+    sizes = L.sizes_of("grams", 12)
+    learner = L.Learner(12, code_bits=8, sizes=sizes)
+    learner.read_grams(L.Grams([L.spelled("the cat sat on the mat " * 20_000)], 12))
+    model = L.Model(dict(learner.rows()), 12, 8, sizes)
+    for before in (b"e cat", b"zzzzz", bytes(5)):
+        each = model.judge(L.Contexts.after(np.array([int.from_bytes(before + bytes([b]), "big") for b in range(256)], np.uint64), 12))
+        assert np.isfinite(each).all()  # also for bytes next to a certain one
+        assert abs((10 ** each).sum() - 1) < 1e-4
+
+
+def test_scores_by_grams(spark, odd_docs, no_docs, monkeypatch):
+    monkeypatch.setattr(L, "CHUNK_BYTES", 4000)
+    docs = odd_docs.withColumn("train", F.col("doc_id").isNull() | (F.col("doc_id") < 6))
+    out = L.score(docs, "train", table_bits=12, unit="grams").cache()
+    check(docs, out)
+    assert all(r.score < 0 and math.isfinite(r.score) for r in out.collect())
+    untrained = odd_docs.withColumn("train", F.lit(None).cast("boolean"))
+    check(untrained, L.score(untrained, "train", table_bits=12, unit="grams"))
+    assert L.score(no_docs.withColumn("train", F.lit(True)), "train", table_bits=12, unit="grams").count() == 0
+
+
+def test_grams_predict_held_out_texts_better_than_words_before(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("train", F.col("doc_id") % 3 != 0)
+    held = {u: L.score(docs, "train", table_bits=18, unit=u).where("doc_id % 3 = 0").agg(F.sum("score")).first()[0]
+            for u in ("grams", "bytes")}
+    assert held["grams"] > held["bytes"]

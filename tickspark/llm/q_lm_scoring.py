@@ -10,7 +10,7 @@ from tickspark.llm.lm_scoring import score
 
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold(F.col("doc_id"), 7) != 2).alias("train"))
-    return score(docs, "train", table_bits=20, unit="bytes").select(
+    return score(docs, "train", table_bits=20, unit="grams").select(
         "doc_id", (fold(F.col("doc_id"), 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
         "score", "bits_per_byte")
 
